@@ -125,4 +125,4 @@ def sql_for(name: str) -> str:
 
 
 def all_sql() -> dict[str, str]:
-    return {n: sql_for(n) for n in list(TABLES) + list(READS)}
+    return {n: sql_for(n) for n in list(TABLES) + [r for r in READS if r not in ("kpi_catalog", "kpi_values")]}

@@ -1,6 +1,180 @@
-"""Read layer over the built tables: KPI reads, read-time ratios, validation."""
+"""Read layer over the built tables: KPI reads, read-time ratios, ranked
+worklist reads and the IT layer checks.
+
+Facts store additive measures only, so every ratio here is SUM/SUM over the
+requested grain (never an average of stored ratios).
+"""
 
 from __future__ import annotations
 
-READS: dict = {}
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import days_in_month, safe_ratio
+from . import kpi
+from .layer import IT_TABLES
+
+# Fixed values of the ranked reads.
+TOP_K = 25
+AR_DAYS_BASIS = 30.0
+
+
+def _exec(layer) -> dict[str, DataFrame]:
+    return {"exec_kpi_month": layer["exec_kpi_month"], "exec_it_kpi_month": layer["exec_it_kpi_month"]}
+
+
+def kpi_latest(layer) -> DataFrame:
+    return kpi.kpi_latest(layer.spark, _exec(layer))
+
+
+def kpi_trend(layer) -> DataFrame:
+    return kpi.kpi_trend(layer.spark, _exec(layer))
+
+
+def kpi_scorecard(layer) -> DataFrame:
+    return kpi.kpi_scorecard(layer.spark, _exec(layer))
+
+
+def payer_revenue_ratios(layer) -> DataFrame:
+    """Denial rate and appeal win rate per payer (claims and appeal rows add up)."""
+    f = layer["fact_revenue_cycle_month"]
+    return f.groupBy("payer_id").agg(
+        F.sum("total_claims").alias("total_claims"), F.sum("denied_claims").alias("denied_claims"),
+        F.sum("appeals_decided").alias("appeals_decided"), F.sum("appeals_won").alias("appeals_won"),
+    ).select("payer_id", "total_claims", "denied_claims", "appeals_decided", "appeals_won",
+             safe_ratio("denied_claims", "total_claims").alias("denial_rate"),
+             safe_ratio("appeals_won", "appeals_decided").alias("win_rate"))
+
+
+def facility_labor_ratios(layer) -> DataFrame:
+    f = layer["fact_workforce_month"]
+    g = f.groupBy("facility_id").agg(
+        F.sum("worked_hours").alias("worked_hours"), F.sum("agency_hours").alias("agency_hours"),
+        F.sum("overtime_hours").alias("overtime_hours"), F.sum("total_labor_cost").alias("total_labor_cost"))
+    return g.select("facility_id", "worked_hours", "agency_hours", "overtime_hours", "total_labor_cost",
+                    safe_ratio("agency_hours", "worked_hours").alias("agency_pct"),
+                    safe_ratio("total_labor_cost", "worked_hours").alias("cost_per_worked_hour"),
+                    safe_ratio("overtime_hours", "worked_hours").alias("ot_pct"))
+
+
+def bed_occupancy(layer) -> DataFrame:
+    """Inpatient bed-days over bed capacity x days in the month, per facility-month."""
+    t = layer["fact_throughput_month"].select("month", "facility_id", "ip_los_sum")
+    d = layer["dim_facility"].select("facility_id", "bed_capacity")
+    out = t.join(d, "facility_id", "inner")
+    return out.select("month", "facility_id", "ip_los_sum", "bed_capacity",
+                      safe_ratio("ip_los_sum", F.col("bed_capacity") * days_in_month("month")).alias("bed_occupancy"))
+
+
+def ar_days_daily(layer) -> DataFrame:
+    """Daily cash-velocity proxy: 30 x (1 - paid / billed) over the day's claim flow."""
+    f = layer["fact_charge_capture_day"]
+    g = f.groupBy("day").agg(F.sum("claims_billed_amount").alias("claims_billed_amount"),
+                             F.sum("claims_paid_amount").alias("claims_paid_amount"))
+    collected = safe_ratio("claims_paid_amount", "claims_billed_amount")
+    return g.select("day", "claims_billed_amount", "claims_paid_amount",
+                    (F.lit(AR_DAYS_BASIS) * (1 - F.coalesce(collected, F.lit(0.0)))).alias("ar_days_proxy"))
+
+
+def incident_ratios(layer) -> DataFrame:
+    f = layer["fact_it_incident_month"]
+    g = f.groupBy("system_id").agg(
+        F.sum("incident_count").alias("incident_count"), F.sum("resolved_count").alias("resolved_count"),
+        F.sum("resolution_minutes_sum").alias("resolution_minutes_sum"),
+        F.sum("within_sla_count").alias("within_sla_count"),
+        F.sum("clinical_downtime_count").alias("clinical_downtime_count"))
+    return g.select("system_id", "incident_count",
+                    safe_ratio("resolution_minutes_sum", "resolved_count").alias("mttr_minutes"),
+                    safe_ratio("within_sla_count", "incident_count").alias("pct_within_sla"),
+                    safe_ratio("clinical_downtime_count", "incident_count").alias("pct_clinical"))
+
+
+def security_ratios(layer) -> DataFrame:
+    f = layer["fact_it_security_month"]
+    g = f.groupBy("facility_id", "severity").agg(
+        F.sum("within_sla_count").alias("within_sla_count"), F.sum("sla_breached_count").alias("sla_breached_count"),
+        F.sum("remediation_days_sum").alias("remediation_days_sum"),
+        F.sum("remediated_count").alias("remediated_count"))
+    return g.select("facility_id", "severity", "remediated_count",
+                    safe_ratio("within_sla_count", F.col("within_sla_count") + F.col("sla_breached_count"))
+                    .alias("vuln_sla_pct"),
+                    safe_ratio("remediation_days_sum", "remediated_count").alias("mean_remediation_days"))
+
+
+def cloud_waste_pct(layer) -> DataFrame:
+    f = layer["fact_it_cost_month"]
+    g = f.groupBy("system_id").agg(F.sum("cloud_cost").alias("cloud_cost"),
+                                   F.sum("cloud_idle_cost").alias("cloud_idle_cost"))
+    return g.select("system_id", "cloud_cost", "cloud_idle_cost",
+                    safe_ratio("cloud_idle_cost", "cloud_cost").alias("cloud_waste_pct"))
+
+
+def change_lead_time(layer) -> DataFrame:
+    f = layer["fact_it_servicedesk_month"]
+    g = f.groupBy("month").agg(F.sum("change_total").alias("change_total"),
+                               F.sum("change_lead_time_minutes_sum").alias("change_lead_time_minutes_sum"))
+    return g.select("month", "change_total",
+                    safe_ratio("change_lead_time_minutes_sum", "change_total").alias("avg_change_lead_minutes"))
+
+
+def dex_ratios(layer) -> DataFrame:
+    f = layer["fact_it_dex_month"]
+    g = f.groupBy("facility_id").agg(
+        F.sum("login_seconds_sum").alias("login_seconds_sum"), F.sum("login_observations").alias("login_observations"),
+        F.sum("governed_session_count").alias("governed_session_count"),
+        F.sum("ai_sessions_sum").alias("ai_sessions_sum"))
+    return g.select("facility_id",
+                    safe_ratio("login_seconds_sum", "login_observations").alias("mean_login_latency"),
+                    safe_ratio("governed_session_count", "ai_sessions_sum").alias("governed_share"))
+
+
+def _ranked(df: DataFrame, key: str, k: int) -> DataFrame:
+    # Ties at the cut are broken by every other column, so the k rows are a
+    # well-defined multiset. Planned as TakeOrderedAndProject: each task keeps
+    # a k-row heap; only k rows per task reach the final merge.
+    others = [F.col(c).asc_nulls_first() for c in df.columns if c != key]
+    return df.orderBy(F.col(key).desc_nulls_last(), *others).limit(k)
+
+
+def top_underpayments(layer) -> DataFrame:
+    return _ranked(layer["worklist_underpayments"], "underpayment_variance", TOP_K)
+
+
+def top_cloud_waste(layer) -> DataFrame:
+    return _ranked(layer["worklist_cloud_waste"], "annualized_savings", TOP_K)
+
+
+def check_it_nonempty(layer) -> DataFrame:
+    """Row count of every IT metric table."""
+    parts = [layer[t].agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("t"), "n") for t in IT_TABLES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def check_exec_it(layer) -> DataFrame:
+    e = layer["exec_it_kpi_month"]
+    return e.agg(F.count(F.lit(1)).alias("months"),
+                 F.count_if(F.col("change_failure_rate").isNull()).alias("null_cfr"),
+                 F.round(F.avg("service_availability_pct"), 4).alias("avg_avail"))
+
+
+READS = {
+    "kpi_latest": kpi_latest,
+    "kpi_trend": kpi_trend,
+    "kpi_scorecard": kpi_scorecard,
+    "payer_revenue_ratios": payer_revenue_ratios,
+    "facility_labor_ratios": facility_labor_ratios,
+    "bed_occupancy": bed_occupancy,
+    "ar_days_daily": ar_days_daily,
+    "incident_ratios": incident_ratios,
+    "security_ratios": security_ratios,
+    "cloud_waste_pct": cloud_waste_pct,
+    "change_lead_time": change_lead_time,
+    "dex_ratios": dex_ratios,
+    "top_underpayments": top_underpayments,
+    "top_cloud_waste": top_cloud_waste,
+    "check_it_nonempty": check_it_nonempty,
+    "check_exec_it": check_exec_it,
+}
 NO_ORACLE: set[str] = set()
