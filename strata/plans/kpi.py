@@ -94,13 +94,15 @@ def kpi_values(exec_tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def _with_latest(vals: DataFrame) -> DataFrame:
+    """Tag each row with its table's latest month (one pass, no subquery)."""
+    return vals.withColumn("_latest", F.max("month").over(Window.partitionBy("source_table")))
+
+
 def kpi_latest(spark: SparkSession, exec_tables: dict[str, DataFrame]) -> DataFrame:
     """Each KPI's value in its table's latest month (WHERE month = MAX(month))."""
-    latest = []
-    for table, df in exec_tables.items():
-        latest.append(df.filter(F.col("month") == df.agg(F.max("month")).scalar()))
-    vals = kpi_values(dict(zip(exec_tables, latest)))
-    return (catalog(spark).join(vals, ["source_table", "value_column"], "inner")
+    vals = _with_latest(kpi_values(exec_tables)).filter(F.col("month") == F.col("_latest"))
+    return (vals.join(F.broadcast(catalog(spark)), ["source_table", "value_column"], "inner")
             .select("kpi", "dashboard", "display_order", "month", "value"))
 
 
@@ -112,7 +114,7 @@ def kpi_trend(spark: SparkSession, exec_tables: dict[str, DataFrame], latest: bo
     order = F.col("month").desc() if latest else F.col("month").asc()
     w = Window.partitionBy("source_table", "value_column").orderBy(order)
     ranked = vals.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= TREND_POINTS)
-    return (catalog(spark).join(ranked, ["source_table", "value_column"], "inner")
+    return (ranked.join(F.broadcast(catalog(spark)), ["source_table", "value_column"], "inner")
             .select("kpi", F.date_format("month", "yyyy-MM-dd").alias("period"), "value"))
 
 
@@ -129,16 +131,19 @@ def kpi_scorecard(spark: SparkSession, exec_tables: dict[str, DataFrame]) -> Dat
     The comparison value is the KPI at the calendar month one month (prior
     period) or twelve months (prior year) before the latest month; NULL when
     that month has no row. Display values scale fractions to percent first.
+    One pass: rows are tagged with the latest month, then a per-KPI
+    conditional aggregate picks the current and the comparison value.
     """
-    cat = catalog(spark)
-    vals = kpi_values(exec_tables)
-    latest_month = vals.groupBy("source_table").agg(F.max("month").alias("month"))
-    cur = (vals.join(latest_month, ["source_table", "month"], "inner")
-           .join(cat, ["source_table", "value_column"], "inner"))
-    prior = vals.select("source_table", "value_column", F.col("month").alias("prior_month"),
-                        F.col("value").alias("prior_value"))
-    cur = cur.withColumn("prior_month", F.add_months("month", -F.col("comparison_months")))
-    out = cur.join(prior, ["source_table", "value_column", "prior_month"], "left")
+    vals = _with_latest(kpi_values(exec_tables)).join(
+        F.broadcast(catalog(spark)), ["source_table", "value_column"], "inner")
+    prior_month = F.add_months(F.col("_latest"), -F.col("comparison_months"))
+    keys = ["kpi", "dashboard", "display_order", "direction", "threshold_op", "threshold", "target",
+            "comparison", "scale"]
+    out = vals.groupBy(*keys).agg(
+        F.max("_latest").alias("month"),
+        F.max(F.when(F.col("month") == F.col("_latest"), F.col("value"))).alias("value"),
+        F.max(prior_month).alias("prior_month"),
+        F.max(F.when(F.col("month") == prior_month, F.col("value"))).alias("prior_value"))
     display = F.col("value") * F.col("scale")
     delta = F.col("value") - F.col("prior_value")
     improving = F.when(F.col("direction") == "higher", delta > 0).otherwise(delta < 0)
