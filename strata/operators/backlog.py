@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import month_of
-from .spine import dense_grid
+from .spine import month_sequence
 
 def _day_number(c: Column) -> Column:
     """Days since 1970-01-01."""
@@ -64,13 +64,23 @@ def open_backlog_by_month(rows: DataFrame, keys: list[str], open_date: str, clos
     exploded = rows.select(*keys, F.explode(F.array(*events)).alias("e")).filter(F.col("e").isNotNull())
     exploded = exploded.select(*keys, "e.*")
     measure_cols = names + ["open_d", "age_d"]
+    # 1) records -> (key, month) totals: map-side partial aggregation, small shuffle.
     per_month = exploded.groupBy(*keys, "month").agg(*[F.sum(c).alias(c) for c in measure_cols])
 
-    combos = per_month.select(*keys).distinct()
-    grid = dense_grid(combos, first_month, last_month).select(
-        *keys, "month", *[zero.alias(c) for c in measure_cols])
-    in_range = per_month.filter(F.col("month").isNotNull() & (F.col("month") <= F.lit(last_month).cast("date")))
-    dense = in_range.unionByName(grid).groupBy(*keys, "month").agg(*[F.sum(c).alias(c) for c in measure_cols])
+    # 2) Densify without a second scan or a join: the first row of each key
+    # (one shuffle on the key) also emits the key's zero-valued calendar rows.
+    # The re-aggregation and the running-sum window below reuse that key
+    # partitioning, so they add no shuffle.
+    first_of_key = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("month").asc_nulls_first())) == 1
+    tagged = per_month.withColumn("_first", first_of_key)
+    own = F.array(F.struct(F.col("month").alias("month"), *[F.col(c).alias(c) for c in measure_cols]))
+    calendar = F.transform(month_sequence(first_month, last_month),
+                           lambda m: F.struct(m.alias("month"), *[zero.alias(c) for c in measure_cols]))
+    rows_out = tagged.select(*keys, F.explode(F.when(F.col("_first"), F.concat(own, calendar)).otherwise(own))
+                             .alias("e")).select(*keys, "e.*")
+    last = F.lit(last_month).cast("date")
+    rows_out = rows_out.filter(F.col("month").isNotNull() & (F.col("month") <= last))
+    dense = rows_out.groupBy(*keys, "month").agg(*[F.sum(c).alias(c) for c in measure_cols])
 
     w = Window.partitionBy(*keys).orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run_open = F.sum("open_d").over(w)
