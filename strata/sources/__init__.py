@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from . import testdata
 
 RAW_TABLES = tuple(testdata.BINDINGS)
+# Raw tables whose storage name differs from the name the jobs use.
+STORAGE_NAMES = {"orders_raw": "orders"}
 
 
 class RawTables:
@@ -41,7 +43,7 @@ class RawTables:
 
     @classmethod
     def parquet(cls, spark: SparkSession, base: str) -> "RawTables":
-        return cls(spark, lambda n: spark.read.parquet(os.path.join(base, n)), base)
+        return cls(spark, lambda n: spark.read.parquet(os.path.join(base, STORAGE_NAMES.get(n, n))), base)
 
     @classmethod
     def testdata(cls, spark: SparkSession, sf_dir: str) -> "RawTables":
