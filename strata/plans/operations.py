@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions import (as_numeric, as_of_lit, count_where, day_of, days_between, flag, month_of,
                          safe_ratio, sum_where, ttm_window, whole_units, zero_money)
-from ..operators.dedupe import duplicate_lines
+from ..operators.dedupe import duplicate_line_counts
 from ..operators.spine import align, conformed_rollup
 from ..sources import RawTables
 from .params import DEFAULT_AS_OF
@@ -169,9 +169,9 @@ def fact_quality_month(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
         flag(F.col("query_status") == "NO_RESPONSE").cast("bigint").alias("cdi_no_response"),
         F.coalesce(F.col("financial_impact"), zero_money()).alias("cdi_financial_impact"))
     posted = raw.charges.filter(F.col("status") == "POSTED")
-    dup = (duplicate_lines(posted, ["encounter_id", "cpt_code", "billed_amount"])
-           .select("encounter_id", month_of("charge_datetime").alias("month"),
-                   F.lit(1).cast("bigint").alias("duplicate_charge_lines")))
+    dup = (duplicate_line_counts(posted, ["encounter_id", "cpt_code", "billed_amount"],
+                                 [month_of("charge_datetime").alias("month")], "duplicate_charge_lines")
+           .select("encounter_id", "month", "duplicate_charge_lines"))
     clm = raw.claims.select("encounter_id", month_of("submission_datetime").alias("month"),
                             flag(F.col("denial_code") == "CO-197").cast("bigint").alias("co197_denials"))
     t = raw.care_management

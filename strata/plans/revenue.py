@@ -17,6 +17,9 @@ DECIDED_OUTCOMES = ("WON", "PARTIAL_WON", "LOST")
 WON_OUTCOMES = ("WON", "PARTIAL_WON")
 EMPI_CONFIDENCE_THRESHOLD = 0.85
 EXPIRY_HORIZON_DAYS = 90
+# Block splitting for the duplicate-pair self-join (tuning, not semantics).
+HOT_BLOCK_ROWS = 100_000
+SALT_BUCKETS = 64
 
 
 def _underpaid(c) -> "F.Column":
@@ -158,25 +161,38 @@ def worklist_expiring_contracts(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFram
                       | F.col("days_to_expiry").between(0, EXPIRY_HORIZON_DAYS))
 
 
-def worklist_empi_duplicate_pairs(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
+def worklist_empi_duplicate_pairs(raw: RawTables, as_of=DEFAULT_AS_OF, hot_block_rows: int = HOT_BLOCK_ROWS,
+                                  salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Patient pairs sharing a name hash where at least one side is low-confidence.
 
     Only pairs that can qualify are generated: every low-confidence record is
     joined to the records of its block, so high/high pairs (never output) are
     never built. A low/low pair is met from both sides and kept once (the side
-    with the smaller id drives it). Hot blocks are split by AQE's skew-join
-    handling; no block is capped.
+    with the smaller id drives it).
+
+    Hot blocks (more than ``hot_block_rows`` records under one hash) are
+    split: their low-confidence side is spread over ``salt_buckets`` salts and
+    their other side is replicated once per salt, so one block's pairs are
+    produced by many tasks. Nothing is capped; every qualifying pair is emitted.
     """
     pmi = raw.patient_master_index.select(
         "master_patient_id", "name_hash", "match_confidence_score", "primary_facility_id")
-    low = pmi.filter(F.col("match_confidence_score") < EMPI_CONFIDENCE_THRESHOLD).select(
+    hot = (pmi.filter(F.col("name_hash").isNotNull()).groupBy("name_hash").agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > hot_block_rows).select("name_hash", F.lit(True).alias("_hot")))
+    tagged = pmi.join(hot, "name_hash", "left")
+    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    low = tagged.filter(F.col("match_confidence_score") < EMPI_CONFIDENCE_THRESHOLD).select(
         F.col("master_patient_id").alias("l_id"), F.col("name_hash").alias("l_hash"),
-        F.col("match_confidence_score").alias("l_conf"), F.col("primary_facility_id").alias("l_fac"))
-    other = pmi.select(
+        F.col("match_confidence_score").alias("l_conf"), F.col("primary_facility_id").alias("l_fac"),
+        F.when(is_hot, F.pmod(F.xxhash64("master_patient_id"), F.lit(salt_buckets))).otherwise(F.lit(0))
+        .cast("int").alias("l_salt"))
+    other = tagged.select(
         F.col("master_patient_id").alias("o_id"), F.col("name_hash").alias("o_hash"),
-        F.col("match_confidence_score").alias("o_conf"), F.col("primary_facility_id").alias("o_fac"))
+        F.col("match_confidence_score").alias("o_conf"), F.col("primary_facility_id").alias("o_fac"),
+        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0))))
+        .alias("o_salt"))
     other_low = F.coalesce(F.col("o_conf") < EMPI_CONFIDENCE_THRESHOLD, F.lit(False))
-    pairs = low.join(other, (F.col("l_hash") == F.col("o_hash"))
+    pairs = low.join(other, (F.col("l_hash") == F.col("o_hash")) & (F.col("l_salt") == F.col("o_salt"))
                      & (F.col("l_id") != F.col("o_id"))
                      & (~other_low | (F.col("l_id") < F.col("o_id"))), "inner")
     l_first = F.col("l_id") < F.col("o_id")
