@@ -1 +1,6 @@
+"""Streaming operators.
 
+The metric layer this package rebuilds is batch only: full-overwrite jobs with
+no watermark, event-time window or stateful operator. No streaming operator is
+provided; see README ("Not built").
+"""
