@@ -80,12 +80,3 @@ def month_sequence(start, end) -> Column:
 def calendar(spark, start, end, name: str = "month") -> DataFrame:
     """One row per month start in [start, end] (GENERATE_DATE_ARRAY ... MONTH)."""
     return spark.range(1).select(F.explode(month_sequence(start, end)).alias(name))
-
-
-def dense_grid(combos: DataFrame, start, end, name: str = "month") -> DataFrame:
-    """Every observed key combination x every month, generated per combo row.
-
-    Uses a generator over each combo row rather than a join with a calendar
-    table, so the grid is produced where the combos are, with no shuffle.
-    """
-    return combos.select("*", F.explode(month_sequence(start, end)).alias(name))

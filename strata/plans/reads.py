@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import days_in_month, safe_ratio
+from ..operators.scoring import top_k
 from . import kpi
 from .layer import IT_TABLES
 
@@ -135,7 +136,7 @@ def _ranked(df: DataFrame, key: str, k: int) -> DataFrame:
     # well-defined multiset. Planned as TakeOrderedAndProject: each task keeps
     # a k-row heap; only k rows per task reach the final merge.
     others = [F.col(c).asc_nulls_first() for c in df.columns if c != key]
-    return df.orderBy(F.col(key).desc_nulls_last(), *others).limit(k)
+    return top_k(df, [F.col(key).desc_nulls_last(), *others], k)
 
 
 def top_underpayments(layer) -> DataFrame:
