@@ -4,10 +4,14 @@
 raw accessor; the executive scorecards and the rationalisation worklist read
 other built tables (the aggregate layer), never the raw tables.
 
-Without ``materialize_to`` dependencies are composed lazily into one plan.
-With it, each table is written once (partitioned and clustered as in the
-warehouse layout) and dependents read the written table, which also cuts the
-lineage of the long executive plans.
+With ``materialize_to`` each table is written once (partitioned and clustered
+as in the warehouse layout) and every dependent reads the written table.
+Without it, a table asked for directly (``layer[name]``) is its full lazy plan
+from the raw tables (derived jobs compose their inputs into one plan), and a
+table read by a read query (``layer.input(name)``) is, with ``reuse_inputs``,
+computed once and ``checkpoint()``-ed to the session's checkpoint folder
+(``spark.checkpoint.dir``, shared storage on a cluster): the KPI reads then
+scan the small scorecards instead of recomputing the fact stack.
 """
 
 from __future__ import annotations
@@ -111,12 +115,31 @@ IT_TABLES = (
 
 
 class MetricLayer:
-    def __init__(self, raw: RawTables, as_of=DEFAULT_AS_OF, materialize_to: str | None = None):
+    def __init__(self, raw: RawTables, as_of=DEFAULT_AS_OF, materialize_to: str | None = None,
+                 reuse_inputs: bool = False):
         self.raw = raw
         self.spark = raw.spark
         self.as_of = as_of
         self.materialize_to = materialize_to
+        self.reuse_inputs = reuse_inputs
         self._tables: dict[str, DataFrame] = {}
+        self._inputs: dict[str, DataFrame] = {}
+
+    def input(self, name: str) -> DataFrame:
+        """A built table as read by another job or a read query."""
+        if self.materialize_to or not self.reuse_inputs:
+            return self[name]
+        if name not in self._inputs:
+            from ..session import checkpoint_dir
+
+            checkpoint_dir(self.spark)
+            self._inputs[name] = self[name].checkpoint(eager=True)
+        return self._inputs[name]
+
+    def _dep(self, name: str) -> DataFrame:
+        # Inside a derived job: the written table when materialising, else the
+        # lazy plan (one optimised plan over the whole fact stack).
+        return self[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -130,11 +153,11 @@ class MetricLayer:
         if name in RAW_JOBS:
             return RAW_JOBS[name](self.raw, self.as_of)
         if name == "exec_kpi_month":
-            return executive.exec_kpi_month(*[self[d] for d in DERIVED_JOBS[name]])
+            return executive.exec_kpi_month(*[self._dep(d) for d in DERIVED_JOBS[name]])
         if name == "worklist_app_rationalization":
-            return it.worklist_app_rationalization(self["dim_it_system"])
+            return it.worklist_app_rationalization(self._dep("dim_it_system"))
         if name == "exec_it_kpi_month":
-            inc, sec, cost, desk, dex, systems = [self[d] for d in DERIVED_JOBS[name]]
+            inc, sec, cost, desk, dex, systems = [self._dep(d) for d in DERIVED_JOBS[name]]
             return executive.exec_it_kpi_month(self.spark, it_spine(self.as_of), inc, sec, cost, desk, dex,
                                                systems)
         raise KeyError(name)

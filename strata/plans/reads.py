@@ -23,7 +23,7 @@ AR_DAYS_BASIS = 30.0
 
 
 def _exec(layer) -> dict[str, DataFrame]:
-    return {"exec_kpi_month": layer["exec_kpi_month"], "exec_it_kpi_month": layer["exec_it_kpi_month"]}
+    return {"exec_kpi_month": layer.input("exec_kpi_month"), "exec_it_kpi_month": layer.input("exec_it_kpi_month")}
 
 
 def kpi_latest(layer) -> DataFrame:
@@ -40,7 +40,7 @@ def kpi_scorecard(layer) -> DataFrame:
 
 def payer_revenue_ratios(layer) -> DataFrame:
     """Denial rate and appeal win rate per payer (claims and appeal rows add up)."""
-    f = layer["fact_revenue_cycle_month"]
+    f = layer.input("fact_revenue_cycle_month")
     return f.groupBy("payer_id").agg(
         F.sum("total_claims").alias("total_claims"), F.sum("denied_claims").alias("denied_claims"),
         F.sum("appeals_decided").alias("appeals_decided"), F.sum("appeals_won").alias("appeals_won"),
@@ -50,7 +50,7 @@ def payer_revenue_ratios(layer) -> DataFrame:
 
 
 def facility_labor_ratios(layer) -> DataFrame:
-    f = layer["fact_workforce_month"]
+    f = layer.input("fact_workforce_month")
     g = f.groupBy("facility_id").agg(
         F.sum("worked_hours").alias("worked_hours"), F.sum("agency_hours").alias("agency_hours"),
         F.sum("overtime_hours").alias("overtime_hours"), F.sum("total_labor_cost").alias("total_labor_cost"))
@@ -62,8 +62,8 @@ def facility_labor_ratios(layer) -> DataFrame:
 
 def bed_occupancy(layer) -> DataFrame:
     """Inpatient bed-days over bed capacity x days in the month, per facility-month."""
-    t = layer["fact_throughput_month"].select("month", "facility_id", "ip_los_sum")
-    d = layer["dim_facility"].select("facility_id", "bed_capacity")
+    t = layer.input("fact_throughput_month").select("month", "facility_id", "ip_los_sum")
+    d = layer.input("dim_facility").select("facility_id", "bed_capacity")
     out = t.join(d, "facility_id", "inner")
     return out.select("month", "facility_id", "ip_los_sum", "bed_capacity",
                       safe_ratio("ip_los_sum", F.col("bed_capacity") * days_in_month("month")).alias("bed_occupancy"))
@@ -71,7 +71,7 @@ def bed_occupancy(layer) -> DataFrame:
 
 def ar_days_daily(layer) -> DataFrame:
     """Daily cash-velocity proxy: 30 x (1 - paid / billed) over the day's claim flow."""
-    f = layer["fact_charge_capture_day"]
+    f = layer.input("fact_charge_capture_day")
     g = f.groupBy("day").agg(F.sum("claims_billed_amount").alias("claims_billed_amount"),
                              F.sum("claims_paid_amount").alias("claims_paid_amount"))
     collected = safe_ratio("claims_paid_amount", "claims_billed_amount")
@@ -80,7 +80,7 @@ def ar_days_daily(layer) -> DataFrame:
 
 
 def incident_ratios(layer) -> DataFrame:
-    f = layer["fact_it_incident_month"]
+    f = layer.input("fact_it_incident_month")
     g = f.groupBy("system_id").agg(
         F.sum("incident_count").alias("incident_count"), F.sum("resolved_count").alias("resolved_count"),
         F.sum("resolution_minutes_sum").alias("resolution_minutes_sum"),
@@ -93,7 +93,7 @@ def incident_ratios(layer) -> DataFrame:
 
 
 def security_ratios(layer) -> DataFrame:
-    f = layer["fact_it_security_month"]
+    f = layer.input("fact_it_security_month")
     g = f.groupBy("facility_id", "severity").agg(
         F.sum("within_sla_count").alias("within_sla_count"), F.sum("sla_breached_count").alias("sla_breached_count"),
         F.sum("remediation_days_sum").alias("remediation_days_sum"),
@@ -105,7 +105,7 @@ def security_ratios(layer) -> DataFrame:
 
 
 def cloud_waste_pct(layer) -> DataFrame:
-    f = layer["fact_it_cost_month"]
+    f = layer.input("fact_it_cost_month")
     g = f.groupBy("system_id").agg(F.sum("cloud_cost").alias("cloud_cost"),
                                    F.sum("cloud_idle_cost").alias("cloud_idle_cost"))
     return g.select("system_id", "cloud_cost", "cloud_idle_cost",
@@ -113,7 +113,7 @@ def cloud_waste_pct(layer) -> DataFrame:
 
 
 def change_lead_time(layer) -> DataFrame:
-    f = layer["fact_it_servicedesk_month"]
+    f = layer.input("fact_it_servicedesk_month")
     g = f.groupBy("month").agg(F.sum("change_total").alias("change_total"),
                                F.sum("change_lead_time_minutes_sum").alias("change_lead_time_minutes_sum"))
     return g.select("month", "change_total",
@@ -121,7 +121,7 @@ def change_lead_time(layer) -> DataFrame:
 
 
 def dex_ratios(layer) -> DataFrame:
-    f = layer["fact_it_dex_month"]
+    f = layer.input("fact_it_dex_month")
     g = f.groupBy("facility_id").agg(
         F.sum("login_seconds_sum").alias("login_seconds_sum"), F.sum("login_observations").alias("login_observations"),
         F.sum("governed_session_count").alias("governed_session_count"),
@@ -140,21 +140,21 @@ def _ranked(df: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def top_underpayments(layer) -> DataFrame:
-    return _ranked(layer["worklist_underpayments"], "underpayment_variance", TOP_K)
+    return _ranked(layer.input("worklist_underpayments"), "underpayment_variance", TOP_K)
 
 
 def top_cloud_waste(layer) -> DataFrame:
-    return _ranked(layer["worklist_cloud_waste"], "annualized_savings", TOP_K)
+    return _ranked(layer.input("worklist_cloud_waste"), "annualized_savings", TOP_K)
 
 
 def check_it_nonempty(layer) -> DataFrame:
     """Row count of every IT metric table."""
-    parts = [layer[t].agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("t"), "n") for t in IT_TABLES]
+    parts = [layer.input(t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("t"), "n") for t in IT_TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 
 def check_exec_it(layer) -> DataFrame:
-    e = layer["exec_it_kpi_month"]
+    e = layer.input("exec_it_kpi_month")
     return e.agg(F.count(F.lit(1)).alias("months"),
                  F.count_if(F.col("change_failure_rate").isNull()).alias("null_cfr"),
                  F.round(F.avg("service_availability_pct"), 4).alias("avg_avail"))
