@@ -6,6 +6,8 @@ inside whole-stage codegen.
 
 from __future__ import annotations
 
+import calendar
+import datetime as _dt
 from functools import reduce
 
 from pyspark.sql import Column
@@ -99,10 +101,25 @@ def as_of_lit(as_of) -> Column:
     return F.lit(as_of).cast("date")
 
 
+def _shift_months(d: _dt.date, n: int) -> _dt.date:
+    """ADD_MONTHS on a Python date (day clamped to the month's last day)."""
+    y, m = divmod(d.month - 1 + n, 12)
+    y, m = d.year + y, m + 1
+    return _dt.date(y, m, min(d.day, calendar.monthrange(y, m)[1]))
+
+
 def ttm_window(date_col, as_of, months: int = 12, bounded: bool = False) -> Column:
-    """Trailing window: date > as_of - months (exclusive), optionally <= as_of."""
-    d = F.to_date(col(date_col))
-    cond = d > F.add_months(as_of_lit(as_of), -months)
+    """Trailing window on DATE(col): > as_of - months (exclusive), optionally <= as_of.
+
+    Written against the raw column with literal day boundaries
+    (``col >= lower + 1 day`` and ``col < as_of + 1 day``), which is the same
+    predicate for DATE and TIMESTAMP columns but, unlike ``to_date(col) > x``,
+    is pushed down to the parquet scan and prunes row groups.
+    """
+    a = _dt.date.fromisoformat(str(as_of)) if not isinstance(as_of, _dt.date) else as_of
+    start = _shift_months(a, -months) + _dt.timedelta(days=1)
+    c = col(date_col)
+    cond = c >= F.lit(start)
     if bounded:
-        cond = cond & (d <= as_of_lit(as_of))
+        cond = cond & (c < F.lit(a + _dt.timedelta(days=1)))
     return cond

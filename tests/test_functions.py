@@ -43,3 +43,17 @@ def test_month_of_is_date(spark):
     r = df.select(month_of("t").alias("m"))
     assert dict(r.dtypes)["m"] == "date"
     assert r.first()[0] == dt.date(2001, 3, 1)
+
+
+def test_ttm_window_same_for_dates_and_timestamps(spark):
+    import datetime as dt
+
+    from strata.functions import ttm_window
+
+    as_of = dt.date(2001, 3, 31)
+    days = [dt.date(2000, 3, 30), dt.date(2000, 3, 31), dt.date(2000, 4, 1), dt.date(2001, 3, 31), dt.date(2001, 4, 1)]
+    df = spark.createDataFrame([(d,) for d in days], "d date").selectExpr("d", "cast(d as timestamp_ntz) + interval 23 hours t")
+    got_d = [r[0] for r in df.select(ttm_window("d", as_of, bounded=True)).collect()]
+    got_t = [r[0] for r in df.select(ttm_window("t", as_of, bounded=True)).collect()]
+    # DATE(x) > add_months(2001-03-31, -12) = 2000-03-31, and <= as_of
+    assert got_d == got_t == [False, False, True, True, False]
