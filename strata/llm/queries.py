@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from .bag_minhash import op7_bag_minhash_dedup
+from .kneser_ney import op3_kneser_ney_scores
 from .suffix_dedup import op1_suffix_array_dedup
 
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op3_kneser_ney_scores": op3_kneser_ney_scores,
+    "op7_bag_minhash_dedup": op7_bag_minhash_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
