@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from . import quality_rules
 from .bag_minhash import op7_bag_minhash_dedup
+from .byte_bpe import op5_byte_level_bpe
+from .decontaminate import op8_pigeonhole_decontamination
+from .html_extraction import op4_block_tree_html_extraction
 from .kneser_ney import op3_kneser_ney_scores
+from .language_id import op9_hyperdimensional_language_id
+from .license_scan import op2_fuzzy_license_scan
+from .quality_rules import op6_quality_rules
 from .suffix_dedup import op1_suffix_array_dedup
 
-QUERIES = {
-    "op1_suffix_array_dedup": op1_suffix_array_dedup,
-    "op3_kneser_ney_scores": op3_kneser_ney_scores,
-    "op7_bag_minhash_dedup": op7_bag_minhash_dedup,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_suffix_array_dedup, op2_fuzzy_license_scan, op3_kneser_ney_scores, op4_block_tree_html_extraction,
+    op5_byte_level_bpe, op6_quality_rules, op7_bag_minhash_dedup, op8_pigeonhole_decontamination,
+    op9_hyperdimensional_language_id)}
 
-ORACLE_SQL: dict[str, str] = {}
+#: The other operators cannot be written in SQL, or too slowly; tests hold them against plain versions.
+ORACLE_SQL: dict[str, str] = {
+    "op6_quality_rules": quality_rules.ORACLE,
+}
