@@ -49,6 +49,14 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that nothing reads any more."""
+    for df in tables:
+        for f in {os.path.dirname(x) for x in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared one as a plain path workers can map.
 

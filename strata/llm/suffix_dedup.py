@@ -5,7 +5,7 @@ else in the corpus (same document included, overlaps counted, judged on the
 input). Steps:
 
 1. *Anchors.* In every run of ``length`` bytes the leftmost smallest hash of a
-   32-byte piece is its anchor. Equal strings have equal anchors at equal
+   128-byte piece is its anchor. Equal strings have equal anchors at equal
    offsets, so a repeated string has an anchor whose hash occurs twice.
 2. *Probes.* The string starts an anchor can serve are cut into ``RANGES``
    ranges. All strings of one range share a core (from the last start to the
@@ -20,8 +20,8 @@ input). Steps:
    repeats of each other.
 4. The removed ranges of a text meet its documents by digest.
 
-Copies of a text count once with their number, identical segments likewise
-(map-side sums), so a large group of copies is a few rows. What meets in one
+Copies of a text count once with their number, segments that a text repeats
+are cut within it, and identical segments are counted together (map-side sums), so a large group of copies is a few rows. What meets in one
 task is the set of *different* segments with one core, that is with at least
 ``length - ceil(window starts / RANGES) + 1`` equal bytes.
 
@@ -39,13 +39,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, slices, stored, text_digest, utf8
+from .common import discard, ship, slices, stored, table, text_digest, utf8
 from .gsaca import suffix_array
 from .textcore import U, mix, powers
 
 LENGTH = 400
-PIECE = 32
-RANGES = 8
+RANGES = 6
 BLOCK = 16
 #: Symbols of one suffix array, unless a single core has more.
 ARRAY_SYMBOLS = 1 << 16
@@ -53,6 +52,11 @@ _POS = U((1 << 24) - 1)
 _inverse = np.ones(1, dtype=U)
 
 
+def piece_size(length: int) -> int:
+    """Bytes of an anchor: shorter ones recur by chance, longer ones are denser."""
+    return max(1, length * 8 // 25)
+
+
 def _inverse_powers(n: int) -> np.ndarray:
     global _inverse
     if len(_inverse) < n:
@@ -67,13 +71,14 @@ def anchors(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, n
     sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
     first = np.cumsum(sizes) - sizes
     joined = b"".join(pieces)
-    n, w = len(joined), length - PIECE + 1
+    n, piece = len(joined), piece_size(length)
+    w = length - piece + 1
     none = np.zeros(0, dtype=np.int64)
     if n < length:
         return none, none, none
     buf = np.frombuffer(joined, dtype=np.uint8).astype(U) + U(1)
     total = np.concatenate(([U(0)], np.cumsum(buf * powers(n), dtype=U)))
-    h = mix((total[PIECE:] - total[:-PIECE]) * _inverse_powers(n)[:n - PIECE + 1])
+    h = mix((total[piece:] - total[:-piece]) * _inverse_powers(n)[:n - piece + 1])
     key = (h & ~_POS) | np.arange(len(h), dtype=U)
     pad = np.full(-len(key) % w + w, U(0xFFFFFFFFFFFFFFFF), dtype=U)
     rows = np.concatenate((key, pad)).reshape(-1, w)
@@ -82,8 +87,8 @@ def anchors(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, n
     count = np.maximum(sizes - length + 1, 0)
     begin = np.repeat(first, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
     at = np.unique((np.minimum(since[begin], upto[begin + w - 1]) & _POS).astype(np.int64))
-    piece = np.searchsorted(first, at, "right") - 1
-    return piece, at - first[piece], h[at].view(np.int64)
+    own = np.searchsorted(first, at, "right") - 1
+    return own, at - first[own], h[at].view(np.int64)
 
 
 def _anchor_rows(length: int):
@@ -96,22 +101,46 @@ def _anchor_rows(length: int):
             size = [min(len(texts[i]) - a, cut + length - 1) for i, a in parts]
             for lo, hi in slices(size):
                 own = parts[lo:hi]
-                p, at, h = anchors([texts[i][a:a + cut + length - 1] for i, a in own], length)
+                p, _, h = anchors([texts[i][a:a + cut + length - 1] for i, a in own], length)
                 row = np.array([i for i, _ in own])[p]
-                base = np.array([a for _, a in own])[p]
+                order = np.lexsort((h, row))
+                row, h = row[order], h[order]
+                first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (h[1:] != h[:-1]))))
                 yield pa.RecordBatch.from_arrays(
-                    [digest.take(pa.array(row)), pa.array((at + base).astype(np.int32)), pa.array(h)],
-                    names=["digest", "pos", "hash"])
+                    [digest.take(pa.array(row[first])), pa.array(h[first]), pa.array(np.diff(np.append(first, len(h))))],
+                    names=["digest", "hash", "n"])
     return run
 
 
+def _anchor_places(t: bytes, length: int, hashes: list[int]) -> list[int]:
+    """Places of the anchors of one text that have one of the hashes."""
+    wanted, out, cut = np.array(hashes, dtype=np.int64), [], 1 << 20
+    for a in range(0, max(len(t) - length + 1, 1), cut):
+        _, at, h = anchors([t[a:a + cut + length - 1]], length)
+        out.append(at[np.isin(h, wanted)] + a)
+    return np.unique(np.concatenate(out)).tolist()
+
+
 def _ranges(length: int) -> list[tuple[int, int]]:
     """First and last start of each range, relative to the anchor."""
-    starts = np.array_split(np.arange(PIECE - length, 1), RANGES)
+    starts = np.array_split(np.arange(piece_size(length) - length, 1), RANGES)
     return [(int(x[0]), int(x[-1])) for x in starts]
 
 
+def merged(ranges) -> list[list[int]]:
+    """Joined (first, end) ranges in order."""
+    runs: list[list[int]] = []
+    for a, b in sorted(ranges):
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], b)
+        else:
+            runs.append([a, b])
+    return runs
+
+
 def _probe_rows(length: int):
+    """A row for each different segment of a text; a segment that the text
+    itself repeats is cut at once (rows without a core: first and size)."""
     spans = _ranges(length)
 
     def run(batches):
@@ -119,17 +148,28 @@ def _probe_rows(length: int):
             digests = batch.column(0).to_pylist()
             texts, found, copies = utf8(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()
             out: list[tuple] = []
-            for digest, t, where, c in zip(digests, texts, found, copies, strict=True):
+            for digest, t, hashes, c in zip(digests, texts, found, copies, strict=True):
                 n = len(t)
-                for p in sorted(set(where)):
+                own: dict[tuple, tuple] = {}
+                cuts = []
+                for p in _anchor_places(t, length, hashes):
                     for j, (lo, hi) in enumerate(spans):
                         first, last = max(p + lo, 0), min(p + hi, n - length)
                         if first > last:
                             continue
                         whole = t[first:last + length]
-                        a = xxhash.xxh3_128_digest(whole, seed=j)
-                        out.append((xxhash.xxh3_64_intdigest(t[p + hi:p + lo + length], seed=j) - (1 << 63),
-                                    a, digest, first, len(whole), p + hi - first, p + lo + length - first, min(c, 2)))
+                        key = (j, xxhash.xxh3_128_digest(whole, seed=j), p + hi - first)
+                        if key in own:
+                            seen = own[key]
+                            cuts += [(seen[3], seen[3] + seen[4]), (first, first + len(whole))]
+                            own[key] = (*seen[:7], 2)
+                        else:
+                            core = xxhash.xxh3_64_intdigest(t[p + hi:p + lo + length], seed=j) - (1 << 63)
+                            own[key] = (core, key[1], digest, first, len(whole), p + hi - first,
+                                        p + lo + length - first, min(c, 2))
+                out += own.values()
+                if c == 1:  # a text with copies goes as a whole
+                    out += [(None, None, digest, a, b - a, None, None, None) for a, b in merged(cuts)]
                 if len(out) > 50_000:
                     yield _batch(out, PROBE)
                     out = []
@@ -224,6 +264,7 @@ def repeats(before: list[bytes], core: list[bytes], after: list[bytes], times: n
 
 def _array_rows(length: int):
     def solve(rows):
+        rows = {x[:3]: x for x in rows}.values()  # a row of the documents may be there twice
         core, digest, first, times, before, middle, after = zip(*rows, strict=True)
         hit = repeats(list(before), list(middle), list(after), np.array(times), length)
         out = []
@@ -249,68 +290,56 @@ def _array_rows(length: int):
     return run
 
 
-def _kept_rows(length: int):
-    def run(batches):
-        for batch in batches:
-            rest = batch.num_columns - 3
-            texts = utf8(batch.column(rest))
-            copies, cuts = batch.column(rest + 1).to_pylist(), batch.column(rest + 2).to_pylist()
-            size, gone, spans, kept = [], [], [], []
-            for t, c, ranges in zip(texts, copies, cuts, strict=True):
-                n = len(t)
-                runs: list[list[int]] = []
-                if n >= length and (c or 0) > 1:
-                    runs = [[0, n]]
-                elif ranges:
-                    for a, b in sorted((x["first"], x["last"]) for x in ranges):
-                        if runs and a <= runs[-1][1]:
-                            runs[-1][1] = max(runs[-1][1], b)
-                        else:
-                            runs.append([a, b])
-                at, parts = 0, []
-                for a, b in runs:
-                    parts.append(t[at:a])
-                    at = b
-                parts.append(t[at:])
-                size.append(n)
-                gone.append(sum(b - a for a, b in runs))
-                spans.append([{"first": a, "last": b} for a, b in runs])
-                kept.append(b"".join(parts))
-            span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:rest], pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, span),
-                 pa.array(kept, pa.binary())],
-                names=[*batch.schema.names[:rest], "n_bytes", "n_removed", "spans", "kept"])
-    return run
-
-
-def suffix_dedup(spark: SparkSession, docs: DataFrame, carry: list[str], length: int = LENGTH) -> DataFrame:
-    """``carry`` columns of ``docs`` (doc_id, text, ...) with n_bytes, n_removed,
-    spans (removed byte ranges) and kept (the remaining bytes)."""
+def _kept_rows(batches):
+    """(digest, n_removed, spans, kept) of texts with ranges to cut."""
+    span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+    for batch in batches:
+        gone, spans, kept = [], [], []
+        for t, ranges in zip(utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            runs = merged((x["first"], x["last"]) for x in ranges)
+            at, parts = 0, []
+            for a, b in runs:
+                parts.append(t[at:a])
+                at = b
+            parts.append(t[at:])
+            gone.append(sum(b - a for a, b in runs))
+            spans.append([{"first": a, "last": b} for a, b in runs])
+            kept.append(b"".join(parts))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(gone, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())],
+            names=["digest", "n_removed", "spans", "kept"])
+
+
+KEPT = "digest binary, n_removed long, spans array<struct<first: int, last: int>>, kept binary"
+
+
+def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """For each different text that loses bytes: its digest, n_removed, spans
+    (removed byte ranges) and kept (the remaining bytes)."""
     ship(spark)
-    base = docs.select(*carry, F.col("doc_id").alias("_doc"), F.col("text").alias("_text"),
-                       text_digest(F.col("text")).alias("_digest"))
-    long_docs = base.where(F.octet_length("_text") >= length)
-    texts = long_docs.groupBy("_digest").agg(F.count(F.lit(1)).alias("copies"), F.min("_doc").alias("_one"))
-    texts = stored(spark, texts, "dedup-texts")
-
-    found = stored(spark, long_docs.select("_digest", "_text").mapInArrow(
-        _anchor_rows(length), "digest binary, pos int, hash long"), "dedup-anchors")
-    often = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    places = found.join(often, "hash").groupBy("digest").agg(F.collect_set("pos").alias("places"))
+    base = docs.where(F.octet_length("text") >= length).select("doc_id", "text", text_digest(F.col("text")).alias("own"))
+    texts = stored(spark, base.groupBy("own").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("one"),
+        F.max(F.octet_length("text")).alias("size")), "dedup-texts")
+
+    found = stored(spark, base.select("own", "text").mapInArrow(
+        _anchor_rows(length), "digest binary, hash long, n long"), "dedup-anchors")
+    often = found.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
+    places = found.join(often, "hash").groupBy("digest").agg(F.collect_set("hash").alias("hashes"))
     # one document stands for all copies of its text
-    wanted = texts.join(places, texts["_digest"] == places["digest"]).select(
-        "digest", "copies", "_one", "places")
-    chosen = long_docs.select("_digest", "_doc", "_text").join(
-        wanted, (F.col("_digest") == F.col("digest")) & F.col("_doc").eqNullSafe(F.col("_one")))
-    chosen = stored(spark, chosen.select("digest", F.col("_text").alias("text"), "places", "copies"), "dedup-chosen")
-
-    probes = stored(spark, chosen.mapInArrow(_probe_rows(length), PROBE_SQL), "dedup-probes")
-    segments = probes.groupBy("core", "segment").agg(
+    wanted = texts.join(places, texts["own"] == places["digest"]).select("digest", "copies", "one", "hashes")
+    chosen = base.join(wanted, (F.col("own") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("one")))
+    chosen = stored(spark, chosen.select("digest", "text", "hashes", "copies"), "dedup-chosen")
+    discard(spark, found)
+
+    rows = stored(spark, chosen.mapInArrow(_probe_rows(length), PROBE_SQL), "dedup-probes")
+    within = rows.where("core is null").select("digest", "first", (F.col("first") + F.col("size")).alias("last"))
+    probes = rows.where("core is not null")
+    segments = stored(spark, probes.groupBy("core", "segment").agg(
         F.sum("copies").alias("times"),
-        F.min(F.struct("digest", "first", "size", "core_first", "core_end")).alias("one"))
-    segments = stored(spark, segments, "dedup-segments")
-    whole = probes.join(segments.where("times > 1").select("core", "segment"), ["core", "segment"], "left_semi").select(
+        F.min(F.struct("digest", "first", "size", "core_first", "core_end")).alias("one")), "dedup-segments")
+    whole = probes.where("copies = 1").join(
+        segments.where("times > 1").select("core", "segment"), ["core", "segment"], "left_semi").select(
         "digest", "first", (F.col("first") + F.col("size")).alias("last"))
     shared_core = segments.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"), F.min("times").alias("least")).where(
         "kinds > 1 and least = 1").select("core")
@@ -318,26 +347,46 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, carry: list[str], length:
         F.col("one.digest").alias("digest"),
         F.struct("core", "times", "one.first", "one.size", "one.core_first", "one.core_end").alias("x"))
     wanted = wanted.groupBy("digest").agg(F.collect_list("x").alias("want"))
-    lone = chosen.dropDuplicates(["digest"]).select("digest", "text").join(wanted, "digest").mapInArrow(
+    lone = chosen.select("digest", "text").join(wanted, "digest").mapInArrow(
         _segment_rows, "core long, digest binary, first int, times long, before binary, middle binary, after binary")
     partly = lone.repartition("core").sortWithinPartitions("core").mapInArrow(_array_rows(length), CUT_SQL)
+    cuts = stored(spark, within.unionByName(whole).unionByName(partly).groupBy("digest").agg(
+        F.collect_set(F.struct("first", "last")).alias("cuts")), "dedup-cuts")
+    discard(spark, rows, segments)
+
+    single = chosen.where("copies = 1").select("digest", "text").join(cuts, "digest").mapInArrow(_kept_rows, KEPT)
+    copied = texts.where("copies > 1").select(
+        F.col("own").alias("digest"), F.col("size").cast("long").alias("n_removed"),
+        F.array(F.struct(F.lit(0).alias("first"), F.col("size").alias("last"))).alias("spans"),
+        F.lit(b"").alias("kept"))
+    out = stored(spark, single.unionByName(copied), "dedup-removals")
+    discard(spark, texts, chosen, cuts)
+    return out
 
-    cuts = whole.unionByName(partly).groupBy("digest").agg(F.collect_set(F.struct("first", "last")).alias("cuts"))
-    lost = texts.join(cuts, texts["_digest"] == cuts["digest"], "left").where(
-        "copies > 1 or cuts is not null").select(F.col("_digest").alias("digest"), "copies", "cuts")
-    joined = base.join(lost, base["_digest"] == lost["digest"], "left").select(
-        *carry, "_text", "copies", F.when(F.col("copies") > 1, None).otherwise(F.col("cuts")).alias("cuts"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.select(*carry).schema)
-    return joined.mapInArrow(_kept_rows(length), f"{kinds}, n_bytes long, n_removed long, "
-                             "spans array<struct<first: int, last: int>>, kept binary")
 
+def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with n_removed, spans and kept (bytes) of each row's text."""
+    gone = removals(spark, docs, length).select(
+        F.col("digest").alias("_digest"), F.col("n_removed").alias("_n"), F.col("spans").alias("_spans"),
+        F.col("kept").alias("_kept"))
+    joined = docs.withColumn("_own", text_digest(F.col("text"))).join(gone, F.col("_own") == F.col("_digest"), "left")
+    none = F.array().cast("array<struct<first: int, last: int>>")
+    return joined.select(
+        *(joined[c] for c in docs.columns), F.coalesce("_n", F.lit(0)).alias("n_removed"),
+        F.coalesce("_spans", none).alias("spans"),
+        F.coalesce("_kept", F.col("text").cast("binary"), F.lit(b"")).alias("kept"))
 
-def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .common import table
 
-    out = suffix_dedup(spark, table(spark, sf_dir, "documents"), ["doc_id"])
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = removals(spark, docs).select("digest", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                                        F.sha2("kept", 256).alias("kept_sha"))
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = docs.select("doc_id", text_digest(F.col("text")).alias("digest"),
+                       F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole_sha"))
+    return rows.join(gone, "digest", "left").select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha", "whole_sha").alias("kept_sha256"))
 
 
 def brute_force(texts: list[bytes], length: int) -> list[tuple[int, int, str]]:
