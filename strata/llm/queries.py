@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import chat_format, quality_rules
 from .bag_minhash import op7_bag_minhash_dedup
 from .byte_bpe import op5_byte_level_bpe
+from .chat_format import op10_reply_tree_chat_format
 from .decontaminate import op8_pigeonhole_decontamination
 from .html_extraction import op4_block_tree_html_extraction
 from .kneser_ney import op3_kneser_ney_scores
@@ -16,9 +17,10 @@ from .suffix_dedup import op1_suffix_array_dedup
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_fuzzy_license_scan, op3_kneser_ney_scores, op4_block_tree_html_extraction,
     op5_byte_level_bpe, op6_quality_rules, op7_bag_minhash_dedup, op8_pigeonhole_decontamination,
-    op9_hyperdimensional_language_id)}
+    op9_hyperdimensional_language_id, op10_reply_tree_chat_format)}
 
 #: The other operators cannot be written in SQL, or too slowly; tests hold them against plain versions.
 ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": quality_rules.ORACLE,
+    "op10_reply_tree_chat_format": chat_format.ORACLE,
 }

@@ -365,16 +365,15 @@ def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> Data
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with n_removed, spans and kept (bytes) of each row's text."""
-    gone = removals(spark, docs, length).select(
-        F.col("digest").alias("_digest"), F.col("n_removed").alias("_n"), F.col("spans").alias("_spans"),
-        F.col("kept").alias("_kept"))
-    joined = docs.withColumn("_own", text_digest(F.col("text"))).join(gone, F.col("_own") == F.col("_digest"), "left")
+    """``docs`` with n_removed, spans and kept (bytes) of each row's text;
+    these replace columns of the same names."""
+    gone = removals(spark, docs, length)
+    docs = docs.drop("n_removed", "spans", "kept")
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), text_digest(F.col("text")).alias("own"))
     none = F.array().cast("array<struct<first: int, last: int>>")
-    return joined.select(
-        *(joined[c] for c in docs.columns), F.coalesce("_n", F.lit(0)).alias("n_removed"),
-        F.coalesce("_spans", none).alias("spans"),
-        F.coalesce("_kept", F.col("text").cast("binary"), F.lit(b"")).alias("kept"))
+    return rows.join(gone, F.col("own") == F.col("digest"), "left").select(
+        "row.*", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("spans", none).alias("spans"),
+        F.coalesce("kept", F.col("row.text").cast("binary"), F.lit(b"")).alias("kept"))
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
