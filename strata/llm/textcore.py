@@ -87,7 +87,7 @@ def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U)
     pw = powers(k + 1)
     run = np.zeros(len(h), dtype=U)
-    for j in range(k):
+    for j in range(min(k, len(h))):
         part = h[j:] * (pw[j] | U(1)) if j else h
         run[:len(h) - j] += part[:len(h) - j]
     # a short text: its words up to the text's end only
