@@ -39,16 +39,16 @@ from .common import shared_folder, ship, slices, table, utf8
 from .textcore import U, VISIBLE, Words, mix
 
 START, END = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
-#: Tokens aggregated or scored at once.
-CHUNK = 2_500_000
+#: Tokens aggregated, and tokens scored, at once.
+CHUNK, SCORED = 2_500_000, 1_000_000
 #: Bytes of training text for each shard of the model.
 SHARD_BYTES = 32 << 20
 FREQUENT = 2000
 _C = U(0x9E3779B97F4A7C15)
 
 
-def tokens(batches, column: int):
-    """(first row, token hashes, text number, batch) of runs of texts of about CHUNK tokens."""
+def tokens(batches, column: int, chunk: int):
+    """(batch, first row, end row, token hashes, row of each token) of runs of texts of about ``chunk`` tokens."""
     for batch in batches:
         texts = utf8(batch.column(column))
         got: list[tuple[np.ndarray, np.ndarray]] = []
@@ -65,7 +65,7 @@ def tokens(batches, column: int):
             h[last] = END
             got.append((h, text))
             count += len(h)
-            if count >= CHUNK:
+            if count >= chunk:
                 yield batch, first, hi, np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
                 got, first, count = [], hi, 0
         if got:
@@ -84,14 +84,18 @@ def gram(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * _C + word)
 
 
-def shard_of(context: np.ndarray, key: np.ndarray, frequent: np.ndarray, shards: int) -> np.ndarray:
-    by = np.where(np.isin(context, frequent), key, context)
+def sharded_by(context: np.ndarray, key: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """What decides a bigram's shard: its context, or itself if that is frequent."""
+    return np.where(np.isin(context, frequent), key, context)
+
+
+def shard_of(by: np.ndarray, shards: int) -> np.ndarray:
     return ((by >> U(32)) * U(shards) >> U(32)).astype(np.int64)
 
 
 def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys in order and the sums of each value."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     if not len(keys):
         return keys, *values
@@ -100,7 +104,7 @@ def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _frequent_words(batches):
-    for _, _, _, h, text in tokens(batches, 0):
+    for _, _, _, h, text in tokens(batches, 0, CHUNK):
         c = contexts(h, text)
         word, n = np.unique(c, return_counts=True)
         big = n * FREQUENT >= len(c)
@@ -115,23 +119,27 @@ BLOB = "shard int, context binary, followers binary, word binary, n binary"
 def _bigrams(shards: int, frequent: list[int]):
     def run(batches):
         often = np.array(frequent, dtype=np.int64).view(U)
-        for _, _, _, h, text in tokens(batches, 0):
+        for _, _, _, h, text in tokens(batches, 0, CHUNK):
             c = contexts(h, text)
-            s = shard_of(c, gram(c, h), often, shards)
-            order = np.lexsort((h, c, s))
-            s, c, h = s[order], c[order], h[order]
-            new = np.concatenate(([True], (c[1:] != c[:-1]) | (h[1:] != h[:-1])))
-            first = np.flatnonzero(new)
-            n = np.diff(np.append(first, len(c))).astype(np.uint32)
-            s, c, h = s[first], c[first], h[first]
-            at = np.searchsorted(s, np.arange(shards + 1))
+            key = gram(c, h)
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            n = np.diff(np.append(first, len(key))).astype(np.uint32)
+            key, c, h = key[first], c[order[first]], h[order[first]]
+            by = sharded_by(c, key, often)
+            order = np.argsort(by)
+            by, c, h, n = by[order], c[order], h[order], n[order]
+            at = np.searchsorted(shard_of(by, shards), np.arange(shards + 1))
             rows = []
             for i in np.flatnonzero(at[1:] > at[:-1]):
                 a, b = at[i], at[i + 1]
-                own = c[a:b]
+                inner = np.argsort(c[a:b])
+                own = c[a:b][inner]
                 head = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
                 run_length = np.diff(np.append(head, b - a)).astype(np.uint32)
-                rows.append((int(i), own[head].tobytes(), run_length.tobytes(), h[a:b].tobytes(), n[a:b].tobytes()))
+                rows.append((int(i), own[head].tobytes(), run_length.tobytes(), h[a:b][inner].tobytes(),
+                             n[a:b][inner].tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4), strict=True)],
@@ -168,7 +176,7 @@ def _bigram_shard(folder: str, shards: int):
             n.append(np.frombuffer(k, np.uint32))
         ctx, word, n = np.concatenate(ctx), np.concatenate(word), np.concatenate(n).astype(np.int64)
         key = gram(ctx, word)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key, ctx, word, n = key[order], ctx[order], word[order], n[order]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         key, ctx, word, n = key[first], ctx[first], word[first], np.add.reduceat(n, first)
@@ -186,8 +194,7 @@ def _bigram_shard(folder: str, shards: int):
         sums[at, COUNT], sums[at, BEFORE] = np.minimum(count, 2 ** 32 - 1), before
         at = np.searchsorted(both, c)
         sums[at, TOTAL], sums[at, ONE], sums[at, TWO], sums[at, MORE] = np.minimum(total, 2 ** 32 - 1), one, two, more
-        to = ((both >> U(32)) * U(shards) >> U(32)).astype(np.int64)
-        cut = np.searchsorted(to, np.arange(shards + 1))
+        cut = np.searchsorted(shard_of(both, shards), np.arange(shards + 1))
         rows = [(int(i), both[cut[i]:cut[i + 1]].tobytes(), np.ascontiguousarray(sums[cut[i]:cut[i + 1]].T).tobytes())
                 for i in np.flatnonzero(cut[1:] > cut[:-1])]
         rows.append((-1, b"", np.bincount(np.minimum(n, 5), minlength=6)[1:5].astype(np.int64).tobytes()))
@@ -241,7 +248,8 @@ class Model:
 
     def lookup(self, shard: np.ndarray, key: np.ndarray, name: str, value):
         """For each shard with keys: (places of its keys in sorted order, found, value rows)."""
-        order = np.lexsort((key, shard))
+        order = np.argsort(key)
+        order = order[np.argsort(shard[order].astype(np.uint16 if self.shards < 65536 else np.int64), kind="stable")]
         at = np.searchsorted(shard[order], np.arange(self.shards + 1))
         for s in np.flatnonzero(at[1:] > at[:-1]):
             own = order[at[s]:at[s + 1]]
@@ -257,8 +265,7 @@ class Model:
 
     def words(self, h: np.ndarray) -> np.ndarray:
         out = np.zeros((len(h), 6), dtype=np.int64)
-        shard = ((h >> U(32)) * U(self.shards) >> U(32)).astype(np.int64)
-        for rows, got in self.lookup(shard, h, "word", lambda s, p, _: _map(
+        for rows, got in self.lookup(shard_of(h, self.shards), h, "word", lambda s, p, _: _map(
                 self.folder, f"sums-{s}", np.int64).reshape(-1, 6)[p]):
             out[rows] = got
         return out
@@ -273,7 +280,7 @@ class Model:
                 big = _map(self.folder, f"big-{s}", U)
                 n[full] = _map(self.folder, f"bigcount-{s}", np.int64)[np.searchsorted(big, keys[full])]
             return n
-        for rows, got in self.lookup(shard_of(context, key, frequent, self.shards), key, "gram", value):
+        for rows, got in self.lookup(shard_of(sharded_by(context, key, frequent), self.shards), key, "gram", value):
             out[rows] = got
         return out
 
@@ -281,24 +288,26 @@ class Model:
         """(count in training, log10 probability) of each token."""
         frequent = np.array(self.frequent, dtype=np.int64).view(U)
         c = contexts(h, text)
-        known, back = np.unique(np.concatenate((h, c)), return_inverse=True)
-        stats = self.words(known)
-        w, ctx = stats[back[:len(h)]], stats[back[len(h):]]
+        known, back = np.unique(h, return_inverse=True)
+        stats = self.words(np.append(known, START))
+        before = np.full(len(h), len(known))
+        before[1:] = np.where(text[1:] == text[:-1], back[:-1], len(known))
 
         def less(n, d):
             return np.maximum(n - np.array([0.0, *d])[np.minimum(n, 3)], 0)
         uniform = 1 / (self.types + 1)
         if self.grams:
-            p = less(w[:, BEFORE], self.low) / self.grams + self.low_rest / self.grams * uniform
+            p = less(stats[:, BEFORE], self.low) / self.grams + self.low_rest / self.grams * uniform
         else:
-            p = np.full(len(h), uniform)
-        total = ctx[:, TOTAL]
+            p = np.full(len(stats), uniform)
+        p = p[back]
+        rest = stats[:, ONE:MORE + 1] @ np.array(self.high)
+        total = stats[before, TOTAL]
         seen = total > 0
         if seen.any():
             n = self.bigrams(c[seen], h[seen], frequent)
-            rest = ctx[seen][:, ONE:MORE + 1] @ np.array(self.high)
-            p[seen] = (less(n, self.high) + rest * p[seen]) / total[seen]
-        return w[:, COUNT], np.log10(p)
+            p[seen] = (less(n, self.high) + rest[before[seen]] * p[seen]) / total[seen]
+        return stats[back, COUNT], np.log10(p)
 
 
 def train(spark: SparkSession, texts: DataFrame) -> Model:
@@ -329,7 +338,7 @@ def _scores(model: Model):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches):
-        for batch, lo, hi, h, text in tokens(batches, 2):
+        for batch, lo, hi, h, text in tokens(batches, 2, SCORED):
             count, p = model.score(h, text)
             at, n = text - lo, hi - lo
             base = np.log10((count + 0.1) / (model.total + 0.1 * (model.types + 1)))
