@@ -35,14 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, slices, stored, table, text_digest, utf8
+from .common import discard, ship, slices, stored, table, text_digest, utf8
 from .textcore import ALNUM, U, Words, mix, shingles
 
 REGISTERS, BANDS = 128, 32
 SHINGLE, SIMILARITY = 5, 0.8
-HUB_ROUNDS = 3
-#: Members of one side in a block comparison.
-BLOCK = 256
+HUB_ROUNDS = 2
+#: Members, and bytes of their shingles, of one side in a block comparison.
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
 _TEXT_BYTES = 4 << 20
 
 
@@ -200,6 +200,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         jump = label.select(F.col("item").alias("via"), F.col("comp").alias("next"))
         step = stored(spark, lower.join(jump, lower["comp"] == jump["via"], "left").select(
             "item", F.least("comp", "next").alias("comp"), "was"), "components")
+        discard(spark, label)
         label = step.select("item", "comp")
         if step.where("comp != was").isEmpty():
             return label
@@ -209,29 +210,30 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(item, one, n_docs): for each digest of a text with words, the first
     document (doc_id, digest) of its group and the group's number of rows."""
     ship(spark)
+    kept: list[DataFrame] = []
+
+    def hold(df: DataFrame, name: str) -> DataFrame:
+        kept.append(stored(spark, df, name))
+        return kept[-1]
+
     rows = docs.select("doc_id", text_digest(F.col("text")).alias("item"), "text")
-    texts = stored(spark, rows.groupBy("item").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")),
-                   "near-texts")
-    sig = stored(spark, rows.select("item", "text").mapInArrow(_bands, "item binary, bands array<long>")
-                 .dropDuplicates(["item"]), "near-bands")
+    texts = hold(rows.groupBy("item").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "near-texts")
+    sig = hold(rows.select("item", "text").mapInArrow(_bands, "item binary, bands array<long>")
+               .dropDuplicates(["item"]), "near-bands")
     in_band = sig.select(F.explode("bands").alias("bucket"), "item")
     full = in_band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    member = stored(spark, in_band.join(full, "bucket"), "near-members")
+    member = hold(in_band.join(full, "bucket"), "near-members")
 
-    wanted = texts.join(member.select("item").distinct(), "item").select("item", "first")
-    body = rows.join(wanted.withColumnsRenamed({"item": "w", "first": "f"}),
-                     (F.col("item") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("f")))
-    packs = stored(spark, body.select("item", "text").mapInArrow(
+    wanted = texts.join(member.select("item").distinct(), "item").select(F.col("item").alias("w"), F.col("first").alias("f"))
+    body = rows.join(wanted, (F.col("item") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("f")))
+    packs = hold(body.select("item", "text").mapInArrow(
         _packed, "item binary, hashes binary, counts binary").dropDuplicates(["item"]), "near-packs")
 
     left = packs.select(F.col("item").alias("a"), F.col("hashes").alias("h1"), F.col("counts").alias("c1"))
     right = packs.select(F.col("item").alias("b"), F.col("hashes").alias("h2"), F.col("counts").alias("c2"))
     edges = seen = comp = None
     for turn in range(HUB_ROUNDS):
-        now = member if comp is None else member.join(comp, "item", "left").select(
-            "bucket", "item", F.coalesce("comp", "item").alias("comp"))
-        if comp is None:
-            now = now.withColumn("comp", F.col("item"))
+        now = member.withColumn("comp", F.col("item")) if comp is None else _with_comp(member, comp)
         hub = now.groupBy("bucket").agg(
             F.min(F.struct(F.xxhash64("item", F.lit(turn)).alias("o"), "item", "comp")).alias("hub"),
             F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 != c2").select("bucket", "hub")
@@ -239,38 +241,52 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
             F.least("item", "hub.item").alias("a"), F.greatest("item", "hub.item").alias("b")).distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = stored(spark, pairs, "near-pairs")
+        pairs = hold(pairs, "near-pairs")
         if pairs.isEmpty():
             break
         seen = pairs if seen is None else seen.union(pairs)
-        more = pairs.join(left, "a").join(right, "b").select("a", "b", "h1", "c1", "h2", "c2").mapInArrow(
-            _verify, "a binary, b binary")
-        more = stored(spark, more, "near-edges")
+        more = hold(pairs.join(left, "a").join(right, "b").select("a", "b", "h1", "c1", "h2", "c2").mapInArrow(
+            _verify, "a binary, b binary"), "near-edges")
         edges = more if edges is None else edges.union(more)
         comp = components(spark, edges)
-    else:
-        now = member.join(comp, "item", "left").select("bucket", "item", F.coalesce("comp", "item").alias("comp"))
-        mixed = now.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"),
-                                          F.count(F.lit(1)).alias("n")).where("c1 != c2").select(
-            "bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        if not mixed.isEmpty():
-            placed = now.join(mixed, "bucket").withColumn(
-                "block", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
-            spread = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-                "bucket", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "item", "comp", "block")
-            more = spread.join(sig, "item").join(packs, "item").groupBy("bucket", "i", "j").applyInArrow(
-                _compare_blocks, "a binary, b binary").distinct()
-            edges = edges.union(stored(spark, more, "near-edges"))
-            comp = components(spark, edges)
-
-    if comp is None:
-        grouped = texts.withColumn("comp", F.col("item"))
-    else:
-        grouped = texts.join(comp, "item", "left").withColumn("comp", F.coalesce("comp", "item"))
+        kept.append(comp)
+    if comp is not None:
+        more = hold(_block_edges(member, comp, packs, sig), "near-edges")
+        if not more.isEmpty():
+            comp = components(spark, edges.union(more))
+            kept.append(comp)
+
     # a text without words is a group of its own, however often it occurs
+    grouped = _with_comp(texts, comp) if comp is not None else texts.withColumn("comp", F.col("item"))
     grouped = grouped.join(sig.select(F.col("item").alias("s")), F.col("item") == F.col("s"), "left_semi")
-    group = grouped.groupBy("comp").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "item")).alias("one"), F.sum("n").alias("n_docs"))
-    return grouped.select("item", "comp").join(group, "comp").select("item", "one", "n_docs")
+    group = grouped.groupBy("comp").agg(
+        F.min(F.struct(F.col("first").isNull().alias("none"), "first", "item")).alias("one"), F.sum("n").alias("n_docs"))
+    out = stored(spark, grouped.select("item", "comp").join(group, "comp").select("item", "one", "n_docs"), "near-groups")
+    discard(spark, *kept)
+    return out
+
+
+def _with_comp(df: DataFrame, comp: DataFrame) -> DataFrame:
+    return df.join(comp, "item", "left").withColumn("comp", F.coalesce("comp", "item"))
+
+
+def _block_edges(member: DataFrame, comp: DataFrame, packs: DataFrame, sig: DataFrame) -> DataFrame:
+    """Verified pairs of members of one bucket that are still in different components.
+
+    A bucket is dealt into blocks of bounded members and bytes; a task compares
+    two blocks and returns only pairs that are similar.
+    """
+    sizes = packs.select("item", (F.octet_length("hashes") + F.octet_length("counts")).alias("size"))
+    now = _with_comp(member, comp)
+    mixed = now.join(sizes, "item").groupBy("bucket").agg(
+        F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count(F.lit(1)).alias("n"),
+        F.sum("size").alias("size")).where("c1 != c2").select(
+        "bucket", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    placed = now.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
+    spread = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "bucket", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "item", "comp", "block")
+    return spread.join(sig, "item").join(packs, "item").groupBy("bucket", "i", "j").applyInArrow(
+        _compare_blocks, "a binary, b binary").distinct()
 
 
 def op7_bag_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,18 +299,18 @@ def op7_bag_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents without near copies: the one with the smallest doc_id of
-    each group stays (the smaller digest, then any, among equal ids)."""
-    group = near_duplicates(spark, docs).where(
-        "n_docs > 1").select(F.col("item").alias("_item"), F.col("one").alias("_one"))
-    rows = docs.withColumn("_digest", text_digest(F.col("text")))
-    joined = rows.join(group, F.col("_digest") == F.col("_item"), "left")
-    kept = joined.where("_one is null or (_digest = _one.item and doc_id <=> _one.first)")
-    repeated = docs.groupBy("doc_id", text_digest(F.col("text")).alias("_d")).agg(F.count(F.lit(1)).alias("_n")).where(
-        "_n > 1").join(group, F.col("_d") == F.col("_item"), "left_semi")
+    """The documents without near copies, all columns kept: the one with the
+    smallest doc_id of each group stays (the smaller digest, then any, among
+    equal ids)."""
+    group = near_duplicates(spark, docs).where("n_docs > 1").select(F.col("item").alias("own"), "one")
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"),
+                       text_digest(F.col("text")).alias("digest"))
+    joined = rows.join(group, F.col("digest") == F.col("own"), "left")
+    kept = joined.where("one is null or (digest = one.item and id <=> one.first)")
+    repeated = rows.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(
+        group, F.col("digest") == F.col("own"), "left_semi").select(F.col("id").alias("id2"), F.col("digest").alias("digest2"))
     if not repeated.isEmpty():
-        again = repeated.select(F.col("doc_id").alias("_id"), "_d")
-        twice = (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.col("_digest") == F.col("_d"))
-        one = kept.join(again, twice, "left_semi").dropDuplicates(["doc_id", "_digest"])
-        kept = kept.join(again, twice, "left_anti").unionByName(one)
-    return kept.select(docs.columns)
+        twice = F.col("id").eqNullSafe(F.col("id2")) & (F.col("digest") == F.col("digest2"))
+        one = kept.join(repeated, twice, "left_semi").dropDuplicates(["id", "digest"])
+        kept = kept.join(repeated, twice, "left_anti").unionByName(one)
+    return kept.select("row.*")
