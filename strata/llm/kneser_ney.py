@@ -321,8 +321,9 @@ def train(spark: SparkSession, texts: DataFrame) -> Model:
     total = F.lit(common.agg(F.sum("tokens")).first()[0] or 0)
     # words of at least 1/4000 of all tokens, so 4000 rows at most
     frequent = sorted(r["word"] for r in common.where(F.col("n") * 2 * FREQUENT >= total).where("n > 0").collect())
-    parts = texts.mapInArrow(_bigrams(shards, frequent), BLOB).groupBy("shard").applyInArrow(
-        _bigram_shard(folder, shards), PART)
+    # as many tasks as shards, whatever the session's number of partitions
+    blobs = texts.mapInArrow(_bigrams(shards, frequent), BLOB).repartition(shards, "shard")
+    parts = blobs.groupBy("shard").applyInArrow(_bigram_shard(folder, shards), PART).repartition(shards, "shard")
     tally = parts.groupBy("shard").applyInArrow(_word_shard(folder), TALLY).groupBy("words").agg(
         *(F.sum(x).alias(x) for x in ("n1", "n2", "n3", "n4", "more", "types", "total", "grams"))).collect()
     high = next((r for r in tally if not r["words"]), None)

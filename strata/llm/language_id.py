@@ -195,7 +195,7 @@ def predict(texts: list[bytes], names: list[str], profile: np.ndarray,
 
 def _predictions(names: list[str], vectors: list[list[int]], column: str):
     def run(batches):
-        profile = np.array(vectors, dtype=np.float64).reshape(len(names), -1)
+        profile = np.array(vectors, dtype=np.float64).reshape(len(names), DIMENSIONS)
         profile /= np.maximum(np.linalg.norm(profile, axis=1, keepdims=True), 1e-300)
         kept = TrigramVectors()
         for batch in batches:
