@@ -13,7 +13,8 @@ their first character (one more where some are there already), which
 ``unescape`` takes away, so any text comes back unchanged. The loss mask is the
 spans (first code point from 0, length) of the assistant texts.
 
-A null role or text is empty, a null tree id is a tree of its own. Rows with
+A null role or text is empty, a null tree id is a tree of its own, a null turn
+comes first. Rows with
 the same tree and turn stand in the order of role and text; equal rows are
 turns of their own. Of paths with equal scores the one with the smaller leaf
 comes first. Extra columns are not read. Only DataFrame functions are used;
@@ -155,8 +156,8 @@ WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
 e AS (SELECT *, regexp_replace(role, '([\[<])(\\*){_CONTROL}', '\1\2\\\3', 'g') AS r,
              regexp_replace(text, '([\[<])(\\*){_CONTROL}', '\1\2\\\3', 'g') AS t FROM c)
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        sum(length(r) + length(t) + {len(OPEN) + len(MIDDLE) + len(CLOSE)})::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id"""
