@@ -33,7 +33,7 @@ def test_each_rule_decides(spark):
     good = "the cat and the dog sat in a garden of the old house\nand it is warm"
     texts = {"mean_word": "a b the c d e f g h i j k l", "symbol_ratio": good + " #### **** $$$$ |||| %%%% &&&& <<<< >>>>",
              "stop_ratio": "one two three four five six seven eight nine ten eleven", "none": good,
-             "dup_line_ratio": "\n".join(["the cat", "the cat", "the cat", "the cat", "old dog sat in a big red house of stone"]),
+             "dup_line_ratio": "\n".join(["cat"] * 4 + ["the old dog sat in a big red house of stone"]),
              "base": " ".join(["the cat and the dog ran"] * 4)}
     df = qr.apply_rules(spark.createDataFrame(list(texts.items()), "name string, text string"))
     out = {r["name"]: r for r in df.collect()}
