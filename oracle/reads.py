@@ -48,7 +48,7 @@ WHERE v.month = (SELECT max(month) FROM kpi_values x WHERE x.source_table = v.so
 READS["kpi_trend"] = (("kpi_catalog", "kpi_values"), """
 SELECT c.kpi, strftime(v.month, '%Y-%m-%d') AS period, v.value
 FROM kpi_catalog c JOIN (
-  SELECT *, row_number() OVER (PARTITION BY source_table, value_column ORDER BY month) AS rn FROM kpi_values) v
+  SELECT *, row_number() OVER (PARTITION BY source_table, value_column ORDER BY month NULLS FIRST) AS rn FROM kpi_values) v
   ON c.source_table = v.source_table AND c.value_column = v.value_column
 WHERE v.rn <= 13""", ("", "value"))
 
@@ -129,26 +129,55 @@ SELECT facility_id, {SD('sum(login_seconds_sum)', 'sum(login_observations)')} AS
   {SD('sum(governed_session_count)', 'sum(ai_sessions_sum)')} AS governed_share
 FROM fact_it_dex_month GROUP BY facility_id""", ("", "mean_login_latency governed_share"))
 
-_UNDER_COLS = ("claim_id payer_id payer_name contract_id plan_subtype drg_code cpt_code service_date_start "
-               "total_billed_amount total_allowed_amount total_paid_amount underpayment_pct").split()
-READS["top_underpayments"] = (("worklist_underpayments",), f"""
-SELECT * FROM worklist_underpayments
-ORDER BY underpayment_variance DESC NULLS LAST, {', '.join(c + ' ASC NULLS FIRST' for c in _UNDER_COLS)}
-LIMIT 25""", ("", "total_billed_amount total_allowed_amount total_paid_amount underpayment_variance underpayment_pct"))
 
-_WASTE_COLS = ("cost_id system_id system_name vendor_name facility_id period cloud_cost cloud_idle_pct "
-               "monthly_idle_amount owner_facility").split()
-READS["top_cloud_waste"] = (("worklist_cloud_waste",), f"""
-SELECT * FROM worklist_cloud_waste
-ORDER BY annualized_savings DESC NULLS LAST, {', '.join(c + ' ASC NULLS FIRST' for c in _WASTE_COLS)}
-LIMIT 25""", ("", "cloud_cost cloud_idle_pct monthly_idle_amount annualized_savings"))
+READS["top_underpayments"] = (("worklist_underpayments",), """
+SELECT *, rank() OVER (ORDER BY underpayment_variance DESC NULLS LAST) AS rank FROM worklist_underpayments""",
+                              ("rank", "total_billed_amount total_allowed_amount total_paid_amount "
+                                       "underpayment_variance underpayment_pct"))
+READS["top_cloud_waste"] = (("worklist_cloud_waste",), """
+SELECT *, rank() OVER (ORDER BY annualized_savings DESC NULLS LAST) AS rank FROM worklist_cloud_waste""",
+                            ("rank", "cloud_cost cloud_idle_pct monthly_idle_amount annualized_savings"))
+READS["ranked_eol_refresh"] = (("worklist_eol_refresh",), """
+SELECT *, rank() OVER (ORDER BY refresh_priority_score DESC) AS rank FROM worklist_eol_refresh""",
+                               ("days_past_eol open_critical_findings refresh_priority_score rank", "annual_run_cost"))
+READS["ranked_open_vulns"] = (("worklist_open_critical_vulns",), """
+SELECT *, rank() OVER (ORDER BY exposure_score DESC) AS rank FROM worklist_open_critical_vulns""",
+                              ("days_open exposure_score rank", ""))
+READS["ranked_duplicate_pairs"] = (("worklist_empi_duplicate_pairs",), """
+SELECT *, rank() OVER (ORDER BY min_confidence ASC NULLS LAST) AS rank FROM worklist_empi_duplicate_pairs""",
+                                   ("rank", "confidence_a confidence_b min_confidence"))
+
+READS["payer_month_revenue_ratios"] = (("fact_revenue_cycle_month",), f"""
+SELECT payer_id, month, sum(total_claims) AS total_claims, sum(denied_claims) AS denied_claims,
+  sum(appeals_decided) AS appeals_decided, sum(appeals_won) AS appeals_won,
+  {SD('sum(denied_claims)', 'sum(total_claims)')} AS denial_rate,
+  {SD('sum(appeals_won)', 'sum(appeals_decided)')} AS win_rate
+FROM fact_revenue_cycle_month GROUP BY payer_id, month""",
+                                       ("total_claims denied_claims appeals_decided appeals_won", "denial_rate win_rate"))
+
+READS["region_month_labor_ratios"] = (("fact_workforce_month",), f"""
+SELECT region, month, sum(worked_hours) AS worked_hours, sum(agency_hours) AS agency_hours,
+  sum(overtime_hours) AS overtime_hours, sum(total_labor_cost) AS total_labor_cost,
+  {SD('sum(agency_hours)', 'sum(worked_hours)')} AS agency_pct,
+  {SD('sum(total_labor_cost)', 'sum(worked_hours)')} AS cost_per_worked_hour,
+  {SD('sum(overtime_hours)', 'sum(worked_hours)')} AS ot_pct
+FROM fact_workforce_month GROUP BY region, month""",
+                                      ("", "worked_hours agency_hours overtime_hours total_labor_cost agency_pct "
+                                           "cost_per_worked_hour ot_pct"))
+
+READS["kpi_trend_latest"] = (("kpi_catalog", "kpi_values"), """
+SELECT c.kpi, strftime(v.month, '%Y-%m-%d') AS period, v.value
+FROM kpi_catalog c JOIN kpi_values v ON c.source_table = v.source_table AND c.value_column = v.value_column
+WHERE (SELECT count(*) FROM kpi_values x WHERE x.source_table = v.source_table AND x.value_column = v.value_column
+       AND x.month > v.month) < 13 AND v.month IS NOT NULL""", ("", "value"))
 
 _IT_TABLES = ("dim_it_system", "dim_it_asset", "exec_it_kpi_month", "fact_it_incident_month", "fact_it_security_month",
               "fact_it_cost_month", "fact_it_servicedesk_month", "fact_it_dex_month", "worklist_open_critical_vulns",
               "worklist_eol_refresh", "worklist_app_rationalization", "worklist_cloud_waste",
               "worklist_vendor_renewals")
 READS["check_it_nonempty"] = (_IT_TABLES, "\nUNION ALL ".join(
-    f"SELECT '{t}' AS t, count(*) AS n FROM {t}" for t in _IT_TABLES), ("n", ""))
+    f"SELECT '{t}' AS t, {sorted(_IT_TABLES).index(t) + 1} AS place, count(*) AS n FROM {t}" for t in _IT_TABLES),
+                              ("place n", ""))
 
 READS["check_exec_it"] = (("exec_it_kpi_month",), """
 SELECT count(*) AS months, count(*) FILTER (WHERE change_failure_rate IS NULL) AS null_cfr,

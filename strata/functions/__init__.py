@@ -59,6 +59,19 @@ def sum_where(cond: Column, value, zero: Column | None = None) -> Column:
     return F.sum(F.when(cond, col(value)).otherwise(z))
 
 
+def exact_sum(value) -> Column:
+    """SUM of a floating column, added as decimals and given back as DOUBLE.
+
+    The result does not depend on the order in which tasks finish.
+    """
+    return F.sum(as_numeric(value)).cast("double")
+
+
+def exact_sum_where(cond: Column, value) -> Column:
+    """SUM(IF(cond, value, 0)) of a floating column, added as decimals."""
+    return F.sum(F.when(cond, as_numeric(value)).otherwise(F.lit(0).cast(NUMERIC))).cast("double")
+
+
 def safe_ratio(num, den) -> Column:
     """SAFE_DIVIDE as a DOUBLE: NULL when the divisor is 0 or NULL."""
     return F.try_divide(col(num).cast("double"), col(den).cast("double"))
@@ -71,12 +84,6 @@ def strict_least(*cols) -> Column:
     return F.when(any_null, F.lit(None)).otherwise(F.least(*cs))
 
 
-def strict_greatest(*cols) -> Column:
-    cs = [col(c) for c in cols]
-    any_null = reduce(lambda a, b: a | b, [c.isNull() for c in cs])
-    return F.when(any_null, F.lit(None)).otherwise(F.greatest(*cs))
-
-
 def days_between(later, earlier) -> Column:
     """DATE_DIFF(later, earlier, DAY): signed day count."""
     return F.datediff(col(later), col(earlier))

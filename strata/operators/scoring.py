@@ -22,11 +22,49 @@ def sla_limit(key: Column, limits: dict[str, int]) -> Column:
     return expr
 
 
-def rank_within(df: DataFrame, partition: str, order: Column, name: str) -> DataFrame:
-    """RANK() OVER (PARTITION BY partition ORDER BY order)."""
-    return df.withColumn(name, F.rank().over(Window.partitionBy(partition).orderBy(order)))
+def first_match(rules: list[tuple[Column, str]], otherwise: str) -> Column:
+    """Label of the first rule that holds, from an ordered rule table."""
+    expr = None
+    for cond, label in rules:
+        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
+    return F.lit(otherwise) if expr is None else expr.otherwise(otherwise)
+
+
+def points(parts: list[tuple[Column, Column | int]]) -> Column:
+    """Sum of the points of the conditions that hold (NULL counts as not)."""
+    total = F.lit(0)
+    for cond, n in parts:
+        total = total + F.when(cond, n if isinstance(n, Column) else F.lit(n)).otherwise(F.lit(0))
+    return total
+
 
+def rank_within(df: DataFrame, partition: list[str], value: str, name: str, descending: bool = True) -> DataFrame:
+    """RANK() OVER (PARTITION BY partition ORDER BY value), NULL values last.
 
-def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
-    """Global top-k read (planned as TakeOrderedAndProject: per-partition heaps)."""
-    return df.orderBy(*order).limit(k)
+    No task holds a whole partition: rows are first reduced to counts per value
+    (equal values have equal ranks), values are put into bands that keep their
+    order (logarithmic, per sign), each band is ranked by itself, and the rows
+    of earlier bands are added. With an empty ``partition`` the rank is global.
+    """
+    v = F.col("_v").cast("double")
+    size = F.floor(F.log(F.abs(v)) * 64) + 2048
+    rising = F.when(v > 0, size).when(v < 0, -size).otherwise(0)
+    order = F.when(F.col("_v").isNull(), F.lit(1 << 20)).otherwise(-rising if descending else rising)
+    first = F.col("_v").desc_nulls_last() if descending else F.col("_v").asc_nulls_last()
+    values = df.groupBy(*[F.col(p).alias(f"_{p}") for p in partition], F.col(value).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n")).withColumn("_band", order)
+    keys = [f"_{p}" for p in partition]
+    bands = values.groupBy(*keys, "_band").agg(F.sum("_n").alias("_m"))
+    before = Window.partitionBy(*keys).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = bands.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0))).select(
+        *[F.col(k).alias(f"{k}_b") for k in keys], F.col("_band").alias("_band_b"), "_before")
+    same = F.col("_band") == F.col("_band_b")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_b"))
+    inside = Window.partitionBy(*keys, "_band").orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = values.join(bands, same).withColumn(
+        name, (F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0)) + 1).cast("bigint"))
+    match = F.col(value).eqNullSafe(F.col("_v"))
+    for p in partition:
+        match = match & F.col(p).eqNullSafe(F.col(f"_{p}"))
+    return df.join(ranked.select(*keys, "_v", name), match).select(*[df[c] for c in df.columns], name)

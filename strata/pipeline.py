@@ -18,7 +18,7 @@ import datetime as dt
 import os
 import time
 
-from .plans.layer import BUILD_ORDER, MetricLayer
+from .plans.layer import BUILD_ORDER, DERIVED_JOBS, MetricLayer
 from .plans.params import DEFAULT_AS_OF
 from .session import build_session, warehouse_path
 from .sources import RawTables
@@ -26,11 +26,14 @@ from .sources.testdata import BINDING_AS_OF
 
 
 def run(spark, raw: RawTables, out_dir: str, as_of=DEFAULT_AS_OF, tables=None) -> dict[str, float]:
-    layer = MetricLayer(raw, as_of, materialize_to=out_dir)
+    layer = MetricLayer(raw, as_of, store=out_dir)
+    wanted = set(tables or BUILD_ORDER)
+    for name in list(wanted):
+        wanted.update(DERIVED_JOBS.get(name, ()))
     timings = {}
-    for name in tables or BUILD_ORDER:
+    for name in sorted(wanted, key=lambda n: (n in DERIVED_JOBS, BUILD_ORDER.index(n))):
         t0 = time.perf_counter()
-        layer[name]
+        layer.build(name)
         timings[name] = round(time.perf_counter() - t0, 3)
     return timings
 
@@ -43,6 +46,7 @@ def main(argv=None) -> None:
     ap.add_argument("--out", help="output base folder (default: <spark.checkpoint.dir>/metrics)")
     ap.add_argument("--as-of", help="anchor date YYYY-MM-DD")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--namespace", help="also register the written tables as <namespace>.<table>")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     if args.testdata:
@@ -54,6 +58,8 @@ def main(argv=None) -> None:
     out = args.out or warehouse_path(spark, "metrics")
     for name, secs in run(spark, raw, out, as_of).items():
         print(f"{name:40s} {secs:8.2f}s  {os.path.join(out, name)}")
+    if args.namespace:
+        MetricLayer(raw, as_of, store=out).register(args.namespace)
 
 
 if __name__ == "__main__":

@@ -1,26 +1,24 @@
 """The metric layer: every table-building job, its inputs and the build order.
 
 ``MetricLayer`` resolves a table name to a DataFrame. Raw-reading jobs get the
-raw accessor; the executive scorecards and the rationalisation worklist read
-other built tables (the aggregate layer), never the raw tables.
-
-With ``materialize_to`` each table is written once (partitioned and clustered
-as in the warehouse layout) and every dependent reads the written table.
-Without it, a table asked for directly (``layer[name]``) is its full lazy plan
-from the raw tables (derived jobs compose their inputs into one plan), and a
-table read by a read query (``layer.input(name)``) is, with ``reuse_inputs``,
-computed once and ``checkpoint()``-ed to the session's checkpoint folder
-(``spark.checkpoint.dir``, shared storage on a cluster): the KPI reads then
-scan the small scorecards instead of recomputing the fact stack.
+raw accessor; the executive scorecards, the rationalisation worklist and the
+read queries read other built tables, never the raw tables.
+
+``layer[name]`` is the lazy plan of a table. ``layer.input(name)`` is the table
+as others read it: with a ``store`` folder (a shared path) it is written there
+once, in its warehouse layout, and read back, so scorecards and reads scan
+small stored tables with filters and columns pushed down; a table that is there
+already is not built again. Without a store the plans are composed.
+``partitioned=False`` stores plain folders instead of the warehouse layout,
+for layers of a few thousand rows.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 
 from ..sources import RawTables
+from ..sources.sinks import register_table, stored_table, write_table
 from . import executive, it, operations, revenue
 from .params import DEFAULT_AS_OF, it_spine
 
@@ -115,60 +113,51 @@ IT_TABLES = (
 
 
 class MetricLayer:
-    def __init__(self, raw: RawTables, as_of=DEFAULT_AS_OF, materialize_to: str | None = None,
-                 reuse_inputs: bool = False):
+    def __init__(self, raw: RawTables, as_of=DEFAULT_AS_OF, store: str | None = None, partitioned: bool = True):
         self.raw = raw
         self.spark = raw.spark
         self.as_of = as_of
-        self.materialize_to = materialize_to
-        self.reuse_inputs = reuse_inputs
+        self.store = store
+        self.partitioned = partitioned
         self._tables: dict[str, DataFrame] = {}
         self._inputs: dict[str, DataFrame] = {}
 
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._plan(name)
+        return self._tables[name]
+
     def input(self, name: str) -> DataFrame:
         """A built table as read by another job or a read query."""
-        if self.materialize_to or not self.reuse_inputs:
+        if not self.store:
             return self[name]
         if name not in self._inputs:
-            from ..session import checkpoint_dir
-
-            checkpoint_dir(self.spark)
-            self._inputs[name] = self[name].checkpoint(eager=True)
+            if not stored_table(self.spark, self.path(name)):
+                self.build(name)
+            self._inputs[name] = self.spark.read.parquet(self.path(name))
         return self._inputs[name]
 
-    def _dep(self, name: str) -> DataFrame:
-        # Inside a derived job: the written table when materialising, else the
-        # lazy plan (one optimised plan over the whole fact stack).
-        return self[name]
+    def path(self, name: str) -> str:
+        return f"{self.store.rstrip('/')}/{name}"
 
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            df = self._build(name)
-            if self.materialize_to:
-                df = self._write_and_read(name, df)
-            self._tables[name] = df
-        return self._tables[name]
+    def build(self, name: str) -> None:
+        """Write one table into the store, replacing it."""
+        part, cluster = LAYOUT[name] if self.partitioned else (None, ())
+        write_table(self[name], self.path(name), partition_by=part, cluster_by=cluster)
+        self._inputs.pop(name, None)
+
+    def register(self, namespace: str, names=None) -> None:
+        """Make stored tables known to the catalog as ``namespace.table``."""
+        for name in names or BUILD_ORDER:
+            self.input(name)
+            register_table(self.spark, namespace, name, self.path(name))
 
-    def _build(self, name: str) -> DataFrame:
+    def _plan(self, name: str) -> DataFrame:
         if name in RAW_JOBS:
             return RAW_JOBS[name](self.raw, self.as_of)
+        inputs = {d: self.input(d) for d in DERIVED_JOBS[name]}
         if name == "exec_kpi_month":
-            return executive.exec_kpi_month(*[self._dep(d) for d in DERIVED_JOBS[name]])
+            return executive.exec_kpi_month(inputs)
         if name == "worklist_app_rationalization":
-            return it.worklist_app_rationalization(self._dep("dim_it_system"))
-        if name == "exec_it_kpi_month":
-            inc, sec, cost, desk, dex, systems = [self._dep(d) for d in DERIVED_JOBS[name]]
-            return executive.exec_it_kpi_month(self.spark, it_spine(self.as_of), inc, sec, cost, desk, dex,
-                                               systems)
-        raise KeyError(name)
-
-    def _write_and_read(self, name: str, df: DataFrame) -> DataFrame:
-        from ..sources.sinks import write_table
-
-        path = os.path.join(self.materialize_to, name)
-        part, cluster = LAYOUT[name]
-        write_table(df, path, partition_by=part, cluster_by=cluster)
-        return self.spark.read.parquet(path)
-
-    def build_all(self) -> dict[str, DataFrame]:
-        return {n: self[n] for n in BUILD_ORDER}
+            return it.worklist_app_rationalization(inputs["dim_it_system"])
+        return executive.exec_it_kpi_month(self.spark, it_spine(self.as_of), inputs, inputs["dim_it_system"])

@@ -3,16 +3,13 @@ facility/provider dimensions and the operational worklists."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from ..functions import (as_numeric, as_of_lit, count_where, day_of, days_between, flag, month_of,
-                         safe_ratio, sum_where, ttm_window, whole_units, zero_money)
+from ..functions import (NUMERIC, as_numeric, as_of_lit, count_where, day_of, days_between, exact_sum, exact_sum_where, flag,
+                         month_of, safe_ratio, sum_where, ttm_window, whole_units, zero_money)
 from ..operators.dedupe import duplicate_line_counts
-from ..operators.spine import align, conformed_rollup
+from ..operators.spine import conformed_rollup
 from ..sources import RawTables
 from .params import DEFAULT_AS_OF
 
@@ -28,11 +25,11 @@ SNF_TASK = "SNF_PLACEMENT_REQUEST"
 
 
 def _zero(kind: str):
-    """Typed zero for a measure kind: i = count, d = double, m = money."""
+    """Typed zero for a measure kind: i = count, d = double (added as decimals), m = money."""
     if kind == "i":
         return F.lit(0).cast("bigint")
     if kind == "d":
-        return F.lit(0.0).cast(DoubleType())
+        return F.lit(0).cast(NUMERIC)
     return zero_money()
 
 
@@ -50,8 +47,10 @@ def _with_facility(df: DataFrame, raw: RawTables, cols: list[str]) -> DataFrame:
     return out.select(*cols)
 
 
-def _encounter_bridge(raw: RawTables, *extra: str) -> DataFrame:
-    return raw.encounters.select("encounter_id", F.col("facility_id").alias("_enc_facility"), *extra)
+def _by_facility(raw: RawTables, summed: DataFrame, *extra: str) -> DataFrame:
+    """Give sums per (encounter, period) the facility of their encounter."""
+    bridge = raw.encounters.select("encounter_id", "facility_id", *extra)
+    return summed.join(bridge, "encounter_id", "inner").drop("encounter_id")
 
 
 # --------------------------------------------------------------------------- 02
@@ -61,10 +60,10 @@ def fact_workforce_month(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
     agg = w.groupBy(month_of("shift_date").alias("month"), "facility_id", "associate_role").agg(
         F.count(F.lit(1)).alias("total_shifts"),
         count_where(F.col("is_agency")).alias("agency_shifts"),
-        F.sum("scheduled_hours").alias("scheduled_hours"),
-        F.sum("worked_hours").alias("worked_hours"),
-        F.sum("overtime_hours").alias("overtime_hours"),
-        sum_where(F.col("is_agency"), "worked_hours", _zero("d")).alias("agency_hours"),
+        exact_sum("scheduled_hours").alias("scheduled_hours"),
+        exact_sum("worked_hours").alias("worked_hours"),
+        exact_sum("overtime_hours").alias("overtime_hours"),
+        exact_sum_where(F.col("is_agency"), "worked_hours").alias("agency_hours"),
         F.sum(cost).alias("total_labor_cost"),
         sum_where(F.col("is_agency"), cost, zero_money()).alias("agency_cost"),
         sum_where(~F.col("is_agency"), cost, zero_money()).alias("employed_cost"),
@@ -89,9 +88,8 @@ THROUGHPUT_MEASURES = {
 def fact_throughput_month(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
     """month x facility throughput from six sources in one aggregation.
 
-    Sources attributed to a facility through their encounter (prior
-    authorisations, imaging orders) are unioned first and meet the encounter
-    bridge in a single join.
+    Sources that reach a facility through their encounter or patient are summed
+    by that key first and meet it as sums. Hours are added as decimals.
     """
     e = raw.encounters
     ip = F.col("encounter_type") == "IP"
@@ -99,14 +97,14 @@ def fact_throughput_month(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
         month_of("admission_datetime").alias("month"), "facility_id",
         F.lit(1).cast("bigint").alias("encounters"),
         flag(ip & (F.col("status") == "DISCHARGED")).cast("bigint").alias("ip_discharges"),
-        F.when(ip & F.col("los_days").isNotNull(), F.col("los_days")).otherwise(_zero("d")).alias("ip_los_sum"),
+        F.when(ip & F.col("los_days").isNotNull(), as_numeric("los_days")).otherwise(_zero("d")).alias("ip_los_sum"),
         F.when(F.col("los_days").isNotNull() & F.col("drg_benchmark_los").isNotNull(),
-               F.greatest(F.col("los_days") - F.col("drg_benchmark_los"), _zero("d")))
+               F.greatest(as_numeric(F.col("los_days") - F.col("drg_benchmark_los")), _zero("d")))
         .otherwise(_zero("d")).alias("los_excess_sum"))
     b = raw.bed_management
     bed = b.select(
         month_of("assigned_datetime").alias("month"), "facility_id",
-        F.coalesce(F.col("ed_boarding_hours"), _zero("d")).alias("ed_boarding_sum"),
+        F.coalesce(as_numeric("ed_boarding_hours"), _zero("d")).alias("ed_boarding_sum"),
         flag(F.col("ed_boarding_hours").isNotNull()).cast("bigint").alias("ed_boarding_events"),
         flag(F.col("is_blocked")).cast("bigint").alias("blocked_bed_events"))
     a = raw.appointments_scheduling
@@ -115,31 +113,23 @@ def fact_throughput_month(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
         F.lit(1).cast("bigint").alias("appointments"),
         flag(F.col("status") == "NO_SHOW").cast("bigint").alias("no_shows"),
         flag(F.col("is_new_patient")).cast("bigint").alias("new_patient_appts"))
-    p = raw.prior_authorizations
     decided = F.col("decision_datetime").isNotNull()
-    pa = p.select(
-        "encounter_id", month_of("requested_datetime").alias("month"),
-        F.lit(1).cast("bigint").alias("prior_auths"),
-        flag(F.col("auth_status").isin(*PA_DENIED_STATUSES)).cast("bigint").alias("pa_denied"),
-        flag(decided).cast("bigint").alias("pa_decided"),
-        F.when(decided, whole_units("HOUR", "requested_datetime", "decision_datetime"))
-        .otherwise(_zero("i")).alias("pa_turnaround_hours_sum"))
-    o = raw.orders_raw
-    img = o.select("encounter_id", month_of("order_datetime").alias("month"),
-                   flag(F.col("order_type") == "IMAGING").cast("bigint").alias("imaging_orders"))
-    bridged_measures = {k: _zero(THROUGHPUT_MEASURES[k]) for k in
-                        ("prior_auths", "pa_denied", "pa_decided", "pa_turnaround_hours_sum", "imaging_orders")}
-    via_enc = align(pa, ["encounter_id", "month"], bridged_measures).unionByName(
-        align(img, ["encounter_id", "month"], bridged_measures))
-    via_enc = (via_enc.join(_encounter_bridge(raw), "encounter_id", "inner")
-               .withColumnRenamed("_enc_facility", "facility_id").drop("encounter_id"))
-    r = raw.referrals.join(
-        raw.patient_master_index.select("master_patient_id", F.col("primary_facility_id").alias("facility_id")),
-        "master_patient_id", "inner")
-    ref = r.select(month_of("created_date").alias("month"), "facility_id",
-                   F.lit(1).cast("bigint").alias("referrals_made"),
-                   flag(~F.col("is_in_network")).cast("bigint").alias("referrals_out_of_network"))
-    rolled = conformed_rollup([enc, bed, appt, via_enc, ref], ["month", "facility_id"], _zeros(THROUGHPUT_MEASURES))
+    pa = _by_facility(raw, raw.prior_authorizations.groupBy(
+        "encounter_id", month_of("requested_datetime").alias("month")).agg(
+        F.count(F.lit(1)).alias("prior_auths"),
+        count_where(F.col("auth_status").isin(*PA_DENIED_STATUSES)).alias("pa_denied"),
+        count_where(decided).alias("pa_decided"),
+        sum_where(decided, whole_units("HOUR", "requested_datetime", "decision_datetime"), _zero("i"))
+        .alias("pa_turnaround_hours_sum")))
+    img = _by_facility(raw, raw.orders_raw.groupBy("encounter_id", month_of("order_datetime").alias("month")).agg(
+        count_where(F.col("order_type") == "IMAGING").alias("imaging_orders")))
+    ref = raw.referrals.groupBy("master_patient_id", month_of("created_date").alias("month")).agg(
+        F.count(F.lit(1)).alias("referrals_made"),
+        count_where(~F.col("is_in_network")).alias("referrals_out_of_network"))
+    ref = ref.join(raw.patient_master_index.select("master_patient_id", F.col("primary_facility_id").alias("facility_id")),
+                   "master_patient_id", "inner").drop("master_patient_id")
+    rolled = conformed_rollup([enc, bed, appt, pa, img, ref], ["month", "facility_id"], _zeros(THROUGHPUT_MEASURES))
+    rolled = rolled.withColumns({m: F.col(m).cast("double") for m, kind in THROUGHPUT_MEASURES.items() if kind == "d"})
     return _with_facility(rolled, raw, ["month", "facility_id", "facility_name", "region",
                                         *THROUGHPUT_MEASURES])
 
@@ -161,32 +151,23 @@ def fact_quality_month(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
         flag(F.col("severity").isin(*SERIOUS_SEVERITIES)).cast("bigint").alias("serious_safety_events"),
         flag(F.col("event_type") == "READMISSION_30D").cast("bigint").alias("readmissions_30d"),
         flag(F.col("is_preventable")).cast("bigint").alias("preventable_events"))
-    cq = raw.cdi_queries
-    cdi = cq.select(
-        "encounter_id", month_of("created_datetime").alias("month"),
-        F.lit(1).cast("bigint").alias("cdi_queries"),
-        flag(F.col("query_status").isin(*CDI_RESPONSES)).cast("bigint").alias("cdi_responses"),
-        flag(F.col("query_status") == "NO_RESPONSE").cast("bigint").alias("cdi_no_response"),
-        F.coalesce(F.col("financial_impact"), zero_money()).alias("cdi_financial_impact"))
+    status = F.col("query_status")
+    cdi = _by_facility(raw, raw.cdi_queries.groupBy("encounter_id", month_of("created_datetime").alias("month")).agg(
+        F.count(F.lit(1)).alias("cdi_queries"),
+        count_where(status.isin(*CDI_RESPONSES)).alias("cdi_responses"),
+        count_where(status == "NO_RESPONSE").alias("cdi_no_response"),
+        F.sum(F.coalesce(F.col("financial_impact"), zero_money())).alias("cdi_financial_impact")))
     posted = raw.charges.filter(F.col("status") == "POSTED")
-    dup = (duplicate_line_counts(posted, ["encounter_id", "cpt_code", "billed_amount"],
-                                 [month_of("charge_datetime").alias("month")], "duplicate_charge_lines")
-           .select("encounter_id", "month", "duplicate_charge_lines"))
-    clm = raw.claims.select("encounter_id", month_of("submission_datetime").alias("month"),
-                            flag(F.col("denial_code") == "CO-197").cast("bigint").alias("co197_denials"))
-    t = raw.care_management
+    dup = _by_facility(raw, duplicate_line_counts(
+        posted, ["encounter_id", "cpt_code", "billed_amount"], [month_of("charge_datetime").alias("month")],
+        "duplicate_charge_lines").select("encounter_id", "month", "duplicate_charge_lines"))
+    clm = _by_facility(raw, raw.claims.groupBy("encounter_id", month_of("submission_datetime").alias("month")).agg(
+        count_where(F.col("denial_code") == "CO-197").alias("co197_denials")))
     snf = F.col("task_type") == SNF_TASK
-    cm = t.select("encounter_id", month_of("created_datetime").alias("month"),
-                  flag(snf).cast("bigint").alias("snf_requests"),
-                  flag(snf & (F.col("task_status") == "NOT_STARTED")).cast("bigint").alias("snf_requests_not_started"))
-    enc_keys = ["encounter_id", "month"]
-    bridged = {k: _zero(QUALITY_MEASURES[k]) for k in
-               ("cdi_queries", "cdi_responses", "cdi_no_response", "cdi_financial_impact",
-                "duplicate_charge_lines", "co197_denials", "snf_requests", "snf_requests_not_started")}
-    via_enc = reduce(DataFrame.unionByName, [align(x, enc_keys, bridged) for x in (cdi, dup, clm, cm)])
-    via_enc = (via_enc.join(_encounter_bridge(raw), "encounter_id", "inner")
-               .withColumnRenamed("_enc_facility", "facility_id").drop("encounter_id"))
-    rolled = conformed_rollup([qse, via_enc], ["month", "facility_id"], _zeros(QUALITY_MEASURES))
+    cm = _by_facility(raw, raw.care_management.groupBy("encounter_id", month_of("created_datetime").alias("month")).agg(
+        count_where(snf).alias("snf_requests"),
+        count_where(snf & (F.col("task_status") == "NOT_STARTED")).alias("snf_requests_not_started")))
+    rolled = conformed_rollup([qse, cdi, dup, clm, cm], ["month", "facility_id"], _zeros(QUALITY_MEASURES))
     return _with_facility(rolled, raw, ["month", "facility_id", "facility_name", "region", *QUALITY_MEASURES])
 
 
@@ -218,31 +199,19 @@ CAPTURE_MEASURES = {
 
 
 def fact_charge_capture_day(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
-    """day x facility charge capture and claim flow; one encounter join for both sources."""
-    ch = raw.charges.select(
-        "encounter_id", day_of("charge_datetime").alias("day"),
-        (F.col("status") == "POSTED").alias("_posted"),
-        F.col("billed_amount").alias("_billed"),
-        _zero("i").alias("claims_submitted"), zero_money().alias("claims_billed_amount"),
-        zero_money().alias("claims_paid_amount"))
-    cl = raw.claims.select(
-        "encounter_id", day_of("submission_datetime").alias("day"),
-        F.lit(None).cast("boolean").alias("_posted"), F.lit(None).cast("decimal(18,2)").alias("_billed"),
-        F.lit(1).cast("bigint").alias("claims_submitted"),
-        F.col("total_billed_amount").alias("claims_billed_amount"),
-        F.col("total_paid_amount").alias("claims_paid_amount"))
-    joined = ch.unionByName(cl).join(
-        _encounter_bridge(raw, "admission_datetime"), "encounter_id", "inner")
-    posted = F.coalesce(F.col("_posted"), F.lit(False))
-    lag = days_between("day", F.to_date("admission_datetime"))
-    rows = joined.select(
-        "day", F.col("_enc_facility").alias("facility_id"),
-        flag(posted).cast("bigint").alias("charges_posted"),
-        F.when(posted, F.col("_billed")).otherwise(zero_money()).alias("charges_billed_amount"),
-        F.when(posted, lag).otherwise(_zero("i")).alias("charge_lag_days_sum"),
-        flag(posted & (lag > LATE_CHARGE_DAYS)).cast("bigint").alias("late_charges"),
-        "claims_submitted", "claims_billed_amount", "claims_paid_amount")
-    rolled = conformed_rollup([rows], ["day", "facility_id"], _zeros(CAPTURE_MEASURES))
+    """day x facility charge capture and claim flow, each summed by encounter and day before the join."""
+    posted = F.col("status") == "POSTED"
+    ch = _by_facility(raw, raw.charges.groupBy("encounter_id", day_of("charge_datetime").alias("day")).agg(
+        count_where(posted).alias("charges_posted"),
+        sum_where(posted, "billed_amount", zero_money()).alias("charges_billed_amount")), "admission_datetime")
+    lag = days_between("day", F.to_date("admission_datetime")).cast("bigint")
+    ch = ch.select("day", "facility_id", "charges_posted", "charges_billed_amount",
+                   (F.coalesce(lag, _zero("i")) * F.col("charges_posted")).alias("charge_lag_days_sum"),
+                   F.when(lag > LATE_CHARGE_DAYS, F.col("charges_posted")).otherwise(_zero("i")).alias("late_charges"))
+    cl = _by_facility(raw, raw.claims.groupBy("encounter_id", day_of("submission_datetime").alias("day")).agg(
+        F.count(F.lit(1)).alias("claims_submitted"), F.sum("total_billed_amount").alias("claims_billed_amount"),
+        F.sum("total_paid_amount").alias("claims_paid_amount")))
+    rolled = conformed_rollup([ch, cl], ["day", "facility_id"], _zeros(CAPTURE_MEASURES))
     return _with_facility(rolled, raw, ["day", "facility_id", "facility_name", "region", *CAPTURE_MEASURES])
 
 
@@ -277,26 +246,28 @@ def dim_provider(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
 def worklist_agency_conversion(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Agency premium per facility x role against the role's employed hourly rate.
 
-    The employed rate is a ratio of sums, carried as DOUBLE.
+    One pass over the shifts gives agency and employed sums per facility and
+    role; the role's rate is a window over those few rows. The rate is a ratio
+    of sums as NUMERIC (nine fractional digits).
     """
     w = raw.workforce_shifts.filter(ttm_window("shift_date", as_of))
-    cost = as_numeric("worked_hours") * F.col("hourly_cost")
+    hours = as_numeric("worked_hours")
+    cost = hours * F.col("hourly_cost")
     agency = F.col("is_agency")
-    role_rate = w.groupBy("associate_role").agg(
-        safe_ratio(sum_where(~agency, cost, zero_money()),
-                   sum_where(~agency, as_numeric("worked_hours"), zero_money())).alias("employed_rate"))
     agg = w.groupBy("facility_id", "associate_role").agg(
-        sum_where(agency, "worked_hours", _zero("d")).alias("agency_hours"),
+        exact_sum_where(agency, "worked_hours").alias("agency_hours"),
         sum_where(agency, cost, zero_money()).alias("agency_cost"),
-        count_where(agency).alias("agency_shifts"))
-    out = (agg.filter(F.col("agency_hours") > 0)
-           .join(_facility_attrs(raw), "facility_id", "left")
-           .join(role_rate, "associate_role", "left"))
+        count_where(agency).alias("agency_shifts"),
+        sum_where(~agency, cost, zero_money()).alias("_cost"),
+        sum_where(~agency, hours, zero_money()).alias("_hours"))
+    role = Window.partitionBy("associate_role")
+    rated = agg.withColumn("employed_rate", as_numeric(safe_ratio(F.sum("_cost").over(role), F.sum("_hours").over(role))))
+    out = rated.filter(F.col("agency_hours") > 0).join(_facility_attrs(raw), "facility_id", "left")
+    wide = "decimal(29,9)"
+    premium = F.col("agency_cost").cast(wide) - (F.col("agency_hours").cast(wide) * F.col("employed_rate")).cast(wide)
     return out.select(
         "facility_id", "facility_name", "region", "associate_role", "agency_shifts", "agency_hours",
-        "agency_cost", "employed_rate",
-        (F.col("agency_cost").cast("double") - F.col("agency_hours") * F.col("employed_rate"))
-        .alias("fte_conversion_opportunity"))
+        "agency_cost", "employed_rate", premium.alias("fte_conversion_opportunity"))
 
 
 # --------------------------------------------------------------------------- 17
@@ -307,15 +278,15 @@ def worklist_los_outliers(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
     active = e.filter(F.col("status").isin(*ACTIVE_STATUSES)
                       & F.col("drg_benchmark_los").isNotNull()
                       & ((los - F.col("drg_benchmark_los")) > LOS_OUTLIER_EXCESS_DAYS))
-    t = raw.care_management
-    snf = (t.groupBy("encounter_id")
-           .agg(F.bool_or((F.col("task_type") == SNF_TASK) & (F.col("task_status") != "NOT_STARTED"))
-                .alias("snf_request_started")))
+    started = raw.care_management.filter((F.col("task_type") == SNF_TASK) & (F.col("task_status") != "NOT_STARTED"))
+    snf = started.select("encounter_id").distinct().withColumn("snf_request_started", F.lit(True))
     pr = raw.providers.filter(F.col("is_current")).select(
         F.col("provider_npi").alias("attending_provider_npi"), "department_id")
     dept = raw.departments.select("department_id", "service_line")
     fac = raw.facilities.select("facility_id", "facility_name")
-    out = (active.join(pr, "attending_provider_npi", "left")
+    attended = active.filter(F.col("attending_provider_npi").isNotNull()).join(pr, "attending_provider_npi", "left")
+    alone = active.filter(F.col("attending_provider_npi").isNull()).withColumn("department_id", F.lit(None).cast("string"))
+    out = (attended.unionByName(alone)
            .join(dept, "department_id", "left")
            .join(fac, "facility_id", "left")
            .join(snf, "encounter_id", "left"))

@@ -1,5 +1,5 @@
 """Read layer over the built tables: KPI reads, read-time ratios, ranked
-worklist reads and the IT layer checks.
+worklist reads (every row with its rank) and the IT layer checks.
 
 Facts store additive measures only, so every ratio here is SUM/SUM over the
 requested grain (never an average of stored ratios).
@@ -13,12 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import days_in_month, safe_ratio
-from ..operators.scoring import top_k
+from ..operators.scoring import rank_within
 from . import kpi
 from .layer import IT_TABLES
 
-# Fixed values of the ranked reads.
-TOP_K = 25
+# Fixed value of the A/R proxy.
 AR_DAYS_BASIS = 30.0
 
 
@@ -38,26 +37,56 @@ def kpi_scorecard(layer) -> DataFrame:
     return kpi.kpi_scorecard(layer.spark, _exec(layer))
 
 
-def payer_revenue_ratios(layer) -> DataFrame:
-    """Denial rate and appeal win rate per payer (claims and appeal rows add up)."""
-    f = layer.input("fact_revenue_cycle_month")
-    return f.groupBy("payer_id").agg(
-        F.sum("total_claims").alias("total_claims"), F.sum("denied_claims").alias("denied_claims"),
-        F.sum("appeals_decided").alias("appeals_decided"), F.sum("appeals_won").alias("appeals_won"),
-    ).select("payer_id", "total_claims", "denied_claims", "appeals_decided", "appeals_won",
-             safe_ratio("denied_claims", "total_claims").alias("denial_rate"),
-             safe_ratio("appeals_won", "appeals_decided").alias("win_rate"))
-
-
-def facility_labor_ratios(layer) -> DataFrame:
-    f = layer.input("fact_workforce_month")
-    g = f.groupBy("facility_id").agg(
-        F.sum("worked_hours").alias("worked_hours"), F.sum("agency_hours").alias("agency_hours"),
-        F.sum("overtime_hours").alias("overtime_hours"), F.sum("total_labor_cost").alias("total_labor_cost"))
-    return g.select("facility_id", "worked_hours", "agency_hours", "overtime_hours", "total_labor_cost",
-                    safe_ratio("agency_hours", "worked_hours").alias("agency_pct"),
-                    safe_ratio("total_labor_cost", "worked_hours").alias("cost_per_worked_hour"),
-                    safe_ratio("overtime_hours", "worked_hours").alias("ot_pct"))
+def ratio_rollup(fact: DataFrame, by: list[str], ratios: dict[str, tuple[str, str]],
+                 show: tuple[str, ...] = ()) -> DataFrame:
+    """Ratios of sums of a fact's measures over any of its dimensions.
+
+    ``ratios`` maps a name to (numerator, denominator), each a measure or
+    several joined by ``+``; ``show`` are sums to return as well. The sums are
+    taken first, so a ratio is never an average of stored ratios.
+    """
+    parts = [p for pair in ratios.values() for side in pair for p in side.split("+")]
+    summed = fact.groupBy(*by).agg(*[F.sum(m).alias(m) for m in dict.fromkeys([*show, *parts])])
+
+    def side(text: str):
+        first, *rest = text.split("+")
+        return reduce(lambda a, b: a + F.col(b), rest, F.col(first))
+    return summed.select(*by, *show, *[safe_ratio(side(a), side(b)).alias(n) for n, (a, b) in ratios.items()])
+
+
+# The ratios read from each fact.
+REVENUE = {"denial_rate": ("denied_claims", "total_claims"), "win_rate": ("appeals_won", "appeals_decided")}
+LABOR = {"agency_pct": ("agency_hours", "worked_hours"), "cost_per_worked_hour": ("total_labor_cost", "worked_hours"),
+         "ot_pct": ("overtime_hours", "worked_hours")}
+INCIDENTS = {"mttr_minutes": ("resolution_minutes_sum", "resolved_count"),
+             "pct_within_sla": ("within_sla_count", "incident_count"),
+             "pct_clinical": ("clinical_downtime_count", "incident_count")}
+SECURITY = {"vuln_sla_pct": ("within_sla_count", "within_sla_count+sla_breached_count"),
+            "mean_remediation_days": ("remediation_days_sum", "remediated_count")}
+DEX = {"mean_login_latency": ("login_seconds_sum", "login_observations"),
+       "governed_share": ("governed_session_count", "ai_sessions_sum")}
+CLAIMS = ("total_claims", "denied_claims", "appeals_decided", "appeals_won")
+HOURS = ("worked_hours", "agency_hours", "overtime_hours", "total_labor_cost")
+
+
+def _ratios(table: str, by: list[str], ratios: dict, show: tuple[str, ...] = ()):
+    def read(layer) -> DataFrame:
+        return ratio_rollup(layer.input(table), by, ratios, show)
+    return read
+
+
+payer_revenue_ratios = _ratios("fact_revenue_cycle_month", ["payer_id"], REVENUE, CLAIMS)
+payer_month_revenue_ratios = _ratios("fact_revenue_cycle_month", ["payer_id", "month"], REVENUE, CLAIMS)
+facility_labor_ratios = _ratios("fact_workforce_month", ["facility_id"], LABOR, HOURS)
+region_month_labor_ratios = _ratios("fact_workforce_month", ["region", "month"], LABOR, HOURS)
+incident_ratios = _ratios("fact_it_incident_month", ["system_id"], INCIDENTS, ("incident_count",))
+security_ratios = _ratios("fact_it_security_month", ["facility_id", "severity"], SECURITY, ("remediated_count",))
+cloud_waste_pct = _ratios("fact_it_cost_month", ["system_id"], {"cloud_waste_pct": ("cloud_idle_cost", "cloud_cost")},
+                          ("cloud_cost", "cloud_idle_cost"))
+change_lead_time = _ratios("fact_it_servicedesk_month", ["month"],
+                           {"avg_change_lead_minutes": ("change_lead_time_minutes_sum", "change_total")},
+                           ("change_total",))
+dex_ratios = _ratios("fact_it_dex_month", ["facility_id"], DEX)
 
 
 def bed_occupancy(layer) -> DataFrame:
@@ -71,85 +100,44 @@ def bed_occupancy(layer) -> DataFrame:
 
 def ar_days_daily(layer) -> DataFrame:
     """Daily cash-velocity proxy: 30 x (1 - paid / billed) over the day's claim flow."""
-    f = layer.input("fact_charge_capture_day")
-    g = f.groupBy("day").agg(F.sum("claims_billed_amount").alias("claims_billed_amount"),
-                             F.sum("claims_paid_amount").alias("claims_paid_amount"))
-    collected = safe_ratio("claims_paid_amount", "claims_billed_amount")
-    return g.select("day", "claims_billed_amount", "claims_paid_amount",
-                    (F.lit(AR_DAYS_BASIS) * (1 - F.coalesce(collected, F.lit(0.0)))).alias("ar_days_proxy"))
-
-
-def incident_ratios(layer) -> DataFrame:
-    f = layer.input("fact_it_incident_month")
-    g = f.groupBy("system_id").agg(
-        F.sum("incident_count").alias("incident_count"), F.sum("resolved_count").alias("resolved_count"),
-        F.sum("resolution_minutes_sum").alias("resolution_minutes_sum"),
-        F.sum("within_sla_count").alias("within_sla_count"),
-        F.sum("clinical_downtime_count").alias("clinical_downtime_count"))
-    return g.select("system_id", "incident_count",
-                    safe_ratio("resolution_minutes_sum", "resolved_count").alias("mttr_minutes"),
-                    safe_ratio("within_sla_count", "incident_count").alias("pct_within_sla"),
-                    safe_ratio("clinical_downtime_count", "incident_count").alias("pct_clinical"))
-
-
-def security_ratios(layer) -> DataFrame:
-    f = layer.input("fact_it_security_month")
-    g = f.groupBy("facility_id", "severity").agg(
-        F.sum("within_sla_count").alias("within_sla_count"), F.sum("sla_breached_count").alias("sla_breached_count"),
-        F.sum("remediation_days_sum").alias("remediation_days_sum"),
-        F.sum("remediated_count").alias("remediated_count"))
-    return g.select("facility_id", "severity", "remediated_count",
-                    safe_ratio("within_sla_count", F.col("within_sla_count") + F.col("sla_breached_count"))
-                    .alias("vuln_sla_pct"),
-                    safe_ratio("remediation_days_sum", "remediated_count").alias("mean_remediation_days"))
-
-
-def cloud_waste_pct(layer) -> DataFrame:
-    f = layer.input("fact_it_cost_month")
-    g = f.groupBy("system_id").agg(F.sum("cloud_cost").alias("cloud_cost"),
-                                   F.sum("cloud_idle_cost").alias("cloud_idle_cost"))
-    return g.select("system_id", "cloud_cost", "cloud_idle_cost",
-                    safe_ratio("cloud_idle_cost", "cloud_cost").alias("cloud_waste_pct"))
-
-
-def change_lead_time(layer) -> DataFrame:
-    f = layer.input("fact_it_servicedesk_month")
-    g = f.groupBy("month").agg(F.sum("change_total").alias("change_total"),
-                               F.sum("change_lead_time_minutes_sum").alias("change_lead_time_minutes_sum"))
-    return g.select("month", "change_total",
-                    safe_ratio("change_lead_time_minutes_sum", "change_total").alias("avg_change_lead_minutes"))
-
-
-def dex_ratios(layer) -> DataFrame:
-    f = layer.input("fact_it_dex_month")
-    g = f.groupBy("facility_id").agg(
-        F.sum("login_seconds_sum").alias("login_seconds_sum"), F.sum("login_observations").alias("login_observations"),
-        F.sum("governed_session_count").alias("governed_session_count"),
-        F.sum("ai_sessions_sum").alias("ai_sessions_sum"))
-    return g.select("facility_id",
-                    safe_ratio("login_seconds_sum", "login_observations").alias("mean_login_latency"),
-                    safe_ratio("governed_session_count", "ai_sessions_sum").alias("governed_share"))
-
-
-def _ranked(df: DataFrame, key: str, k: int) -> DataFrame:
-    # Ties at the cut are broken by every other column, so the k rows are a
-    # well-defined multiset. Planned as TakeOrderedAndProject: each task keeps
-    # a k-row heap; only k rows per task reach the final merge.
-    others = [F.col(c).asc_nulls_first() for c in df.columns if c != key]
-    return top_k(df, [F.col(key).desc_nulls_last(), *others], k)
+    flow = ratio_rollup(layer.input("fact_charge_capture_day"), ["day"],
+                        {"_collected": ("claims_paid_amount", "claims_billed_amount")},
+                        ("claims_billed_amount", "claims_paid_amount"))
+    return flow.withColumn("ar_days_proxy", F.lit(AR_DAYS_BASIS) * (1 - F.coalesce("_collected", F.lit(0.0)))).drop(
+        "_collected")
 
 
 def top_underpayments(layer) -> DataFrame:
-    return _ranked(layer.input("worklist_underpayments"), "underpayment_variance", TOP_K)
+    """All underpaid claims with their rank, largest variance first."""
+    return rank_within(layer.input("worklist_underpayments"), [], "underpayment_variance", "rank")
 
 
 def top_cloud_waste(layer) -> DataFrame:
-    return _ranked(layer.input("worklist_cloud_waste"), "annualized_savings", TOP_K)
+    """All idle cloud lines with their rank, largest savings first."""
+    return rank_within(layer.input("worklist_cloud_waste"), [], "annualized_savings", "rank")
+
+
+def ranked_eol_refresh(layer) -> DataFrame:
+    return rank_within(layer.input("worklist_eol_refresh"), [], "refresh_priority_score", "rank")
+
+
+def ranked_open_vulns(layer) -> DataFrame:
+    return rank_within(layer.input("worklist_open_critical_vulns"), [], "exposure_score", "rank")
+
+
+def ranked_duplicate_pairs(layer) -> DataFrame:
+    """All duplicate-patient pairs with their rank, least confident first."""
+    return rank_within(layer.input("worklist_empi_duplicate_pairs"), [], "min_confidence", "rank", descending=False)
+
+
+def kpi_trend_latest(layer) -> DataFrame:
+    return kpi.kpi_trend(layer.spark, _exec(layer), latest=True)
 
 
 def check_it_nonempty(layer) -> DataFrame:
-    """Row count of every IT metric table."""
-    parts = [layer.input(t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("t"), "n") for t in IT_TABLES]
+    """Row count of every IT metric table, with the table's place by name."""
+    parts = [layer.input(t).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(t).alias("t"), F.lit(sorted(IT_TABLES).index(t) + 1).alias("place"), "n") for t in IT_TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -175,6 +163,12 @@ READS = {
     "dex_ratios": dex_ratios,
     "top_underpayments": top_underpayments,
     "top_cloud_waste": top_cloud_waste,
+    "payer_month_revenue_ratios": payer_month_revenue_ratios,
+    "region_month_labor_ratios": region_month_labor_ratios,
+    "ranked_eol_refresh": ranked_eol_refresh,
+    "ranked_open_vulns": ranked_open_vulns,
+    "ranked_duplicate_pairs": ranked_duplicate_pairs,
+    "kpi_trend_latest": kpi_trend_latest,
     "check_it_nonempty": check_it_nonempty,
     "check_exec_it": check_exec_it,
 }

@@ -17,9 +17,8 @@ DECIDED_OUTCOMES = ("WON", "PARTIAL_WON", "LOST")
 WON_OUTCOMES = ("WON", "PARTIAL_WON")
 EMPI_CONFIDENCE_THRESHOLD = 0.85
 EXPIRY_HORIZON_DAYS = 90
-# Block splitting for the duplicate-pair self-join (tuning, not semantics).
-HOT_BLOCK_ROWS = 100_000
-SALT_BUCKETS = 64
+# Records of one side that meet in one part of a duplicate-pair block (tuning, not semantics).
+PART_ROWS = 4096
 
 
 def _underpaid(c) -> "F.Column":
@@ -31,25 +30,31 @@ def fact_revenue_cycle_month(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
     """month x payer x contract claim measures, plus month x payer appeal rows (contract NULL)."""
     claims = raw.claims
     contracts = raw.payer_contracts.select("contract_id", "appeal_window_days")
-    c = claims.join(contracts, "contract_id", "left")
+    # NULL contracts match nothing and are many: they skip the join
+    named = claims.filter(F.col("contract_id").isNotNull()).join(contracts, "contract_id", "left")
+    unnamed = claims.filter(F.col("contract_id").isNull()).withColumn("appeal_window_days", F.lit(None).cast("int"))
+    c = named.unionByName(unnamed)
     deadline = F.date_add(F.to_date(c["denial_datetime"]), c["appeal_window_days"])
     at_risk = ((c["claim_status"] == "DENIED")
                & (c["appeal_status"].isNull() | (c["appeal_status"] == "NOT_APPEALED"))
                & c["denial_datetime"].isNotNull()
                & days_between(deadline, as_of_lit(as_of)).between(0, APPEAL_DEADLINE_HORIZON_DAYS))
     denied = c["claim_status"] == "DENIED"
+    # The name is a key of the large pass, which so is a hash aggregate over
+    # numbers; the few rows per (month, payer, contract) are joined after it.
+    sums = {"total_claims": F.count(F.lit(1)),
+            "total_billed": F.sum("total_billed_amount"),
+            "total_allowed": F.sum("total_allowed_amount"),
+            "total_paid": F.sum("total_paid_amount"),
+            "denied_claims": count_where(denied),
+            "denied_billed": sum_where(denied, "total_billed_amount", zero_money()),
+            "underpayment_dollars": sum_where(_underpaid(c), c["total_allowed_amount"] - c["total_paid_amount"], zero_money()),
+            "timely_filing_at_risk": count_where(at_risk)}
     claim_rows = (
-        c.groupBy(month_of("submission_datetime").alias("month"), "payer_id", "contract_id")
-        .agg(F.max("payer_name").alias("payer_name"),
-             F.count(F.lit(1)).alias("total_claims"),
-             F.sum("total_billed_amount").alias("total_billed"),
-             F.sum("total_allowed_amount").alias("total_allowed"),
-             F.sum("total_paid_amount").alias("total_paid"),
-             count_where(denied).alias("denied_claims"),
-             sum_where(denied, "total_billed_amount", zero_money()).alias("denied_billed"),
-             sum_where(_underpaid(c), c["total_allowed_amount"] - c["total_paid_amount"],
-                       zero_money()).alias("underpayment_dollars"),
-             count_where(at_risk).alias("timely_filing_at_risk"))
+        c.groupBy(month_of("submission_datetime").alias("month"), "payer_id", "contract_id", "payer_name")
+        .agg(*[x.alias(n) for n, x in sums.items()])
+        .groupBy("month", "payer_id", "contract_id")
+        .agg(F.max("payer_name").alias("payer_name"), *[F.sum(n).alias(n) for n in sums])
         .select("month", "payer_id", "payer_name", "contract_id", "total_claims", "total_billed",
                 "total_allowed", "total_paid", "denied_claims", "denied_billed",
                 "underpayment_dollars", "timely_filing_at_risk",
@@ -161,8 +166,7 @@ def worklist_expiring_contracts(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFram
                       | F.col("days_to_expiry").between(0, EXPIRY_HORIZON_DAYS))
 
 
-def worklist_empi_duplicate_pairs(raw: RawTables, as_of=DEFAULT_AS_OF, hot_block_rows: int = HOT_BLOCK_ROWS,
-                                  salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+def worklist_empi_duplicate_pairs(raw: RawTables, as_of=DEFAULT_AS_OF, part_rows: int = PART_ROWS) -> DataFrame:
     """Patient pairs sharing a name hash where at least one side is low-confidence.
 
     Only pairs that can qualify are generated: every low-confidence record is
@@ -170,27 +174,24 @@ def worklist_empi_duplicate_pairs(raw: RawTables, as_of=DEFAULT_AS_OF, hot_block
     never built. A low/low pair is met from both sides and kept once (the side
     with the smaller id drives it).
 
-    Hot blocks (more than ``hot_block_rows`` records under one hash) are
-    split: their low-confidence side is spread over ``salt_buckets`` salts and
-    their other side is replicated once per salt, so one block's pairs are
-    produced by many tasks. Nothing is capped; every qualifying pair is emitted.
+    Every block is split the same way: its records are counted, its
+    low-confidence side is spread over ``ceil(records / part_rows)`` parts and
+    its other side is repeated for each part, so a block's pairs come from as
+    many tasks as its size asks for. Every qualifying pair is emitted.
     """
     pmi = raw.patient_master_index.select(
-        "master_patient_id", "name_hash", "match_confidence_score", "primary_facility_id")
-    hot = (pmi.filter(F.col("name_hash").isNotNull()).groupBy("name_hash").agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_block_rows).select("name_hash", F.lit(True).alias("_hot")))
-    tagged = pmi.join(hot, "name_hash", "left")
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+        "master_patient_id", "name_hash", "match_confidence_score", "primary_facility_id").filter(
+        F.col("name_hash").isNotNull())
+    parts = pmi.groupBy("name_hash").agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("_parts"))
+    tagged = pmi.join(parts, "name_hash")
     low = tagged.filter(F.col("match_confidence_score") < EMPI_CONFIDENCE_THRESHOLD).select(
         F.col("master_patient_id").alias("l_id"), F.col("name_hash").alias("l_hash"),
         F.col("match_confidence_score").alias("l_conf"), F.col("primary_facility_id").alias("l_fac"),
-        F.when(is_hot, F.pmod(F.xxhash64("master_patient_id"), F.lit(salt_buckets))).otherwise(F.lit(0))
-        .cast("int").alias("l_salt"))
+        F.pmod(F.xxhash64("master_patient_id"), F.col("_parts")).cast("int").alias("l_salt"))
     other = tagged.select(
         F.col("master_patient_id").alias("o_id"), F.col("name_hash").alias("o_hash"),
         F.col("match_confidence_score").alias("o_conf"), F.col("primary_facility_id").alias("o_fac"),
-        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0))))
-        .alias("o_salt"))
+        F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("o_salt"))
     other_low = F.coalesce(F.col("o_conf") < EMPI_CONFIDENCE_THRESHOLD, F.lit(False))
     pairs = low.join(other, (F.col("l_hash") == F.col("o_hash")) & (F.col("l_salt") == F.col("o_salt"))
                      & (F.col("l_id") != F.col("o_id"))

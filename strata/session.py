@@ -51,9 +51,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the jobs rely on to an existing session."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    """Check what the jobs rely on in an existing session; its settings stay as they are."""
     checkpoint_dir(spark)
     return spark
 
@@ -62,10 +60,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared filesystem path and is
-    used as is. Only when it is unset (local tests) a scratch folder is made.
+    used as is; without it only a local session gets a scratch folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if spark.sparkContext.getCheckpointDir() is None:

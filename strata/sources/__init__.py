@@ -47,9 +47,5 @@ class RawTables:
 
     @classmethod
     def testdata(cls, spark: SparkSession, sf_dir: str) -> "RawTables":
-        # Base views are bound when each binding frame is analysed; the frames
-        # are built eagerly so a later registration for another scale factor
-        # cannot leak into this accessor.
-        testdata.register_base_views(spark, sf_dir)
-        frames = {n: testdata.binding_frame(spark, n) for n in testdata.BINDINGS}
-        return cls(spark, frames.__getitem__, sf_dir)
+        base = testdata.base_frames(spark, sf_dir)
+        return cls(spark, lambda n: testdata.binding_frame(spark, n, base), sf_dir)

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Raw schemas of the tables the jobs read (union of the documented curated
 # columns and the columns the jobs use). Money is decimal(18,2), timestamps UTC.
@@ -102,9 +103,9 @@ RAW_SCHEMAS: dict[str, str] = {
 
 
 def read_ndjson(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Read one raw table's NDJSON (plain or .gz) with its declared schema."""
+    """Read one raw table's NDJSON (plain or .gz) with its declared schema; a broken line stops the load."""
     return (spark.read.schema(RAW_SCHEMAS[table])
-            .option("mode", "PERMISSIVE")
+            .option("mode", "FAILFAST")
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]")
             .json(path))
 
@@ -114,7 +115,8 @@ def land_raw(spark: SparkSession, src_dir: str, dst_dir: str, tables=None) -> di
     counts = {}
     for table in tables or RAW_SCHEMAS:
         pattern = os.path.join(src_dir, f"{table}*.ndjson*")
-        df = read_ndjson(spark, pattern, table)
+        loaded = Observation(f"load {table}")
+        df = read_ndjson(spark, pattern, table).observe(loaded, F.count(F.lit(1)).alias("rows"))
         df.write.mode("overwrite").parquet(os.path.join(dst_dir, table))
-        counts[table] = spark.read.parquet(os.path.join(dst_dir, table)).count()
+        counts[table] = loaded.get["rows"]
     return counts

@@ -3,15 +3,14 @@
 import pytest
 
 from helpers import duck_rows, spark_rows
-from strata.sources.testdata import BINDINGS, register_base_views
+from strata.sources.testdata import BINDINGS, base_frames, binding_frame
 
 from conftest import SF_SMALL
 
 
 @pytest.mark.parametrize("name", sorted(BINDINGS))
 def test_binding_same_on_both_engines(spark, duck, name):
-    register_base_views(spark, SF_SMALL)
-    s = spark_rows(spark.sql(BINDINGS[name]))
+    s = spark_rows(binding_frame(spark, name, base_frames(spark, SF_SMALL)))
     d = duck_rows(duck, BINDINGS[name])
     assert len(s) > 0
     assert s == d

@@ -34,7 +34,7 @@ class _Raw:
 def test_pairs_match_definition(spark):
     df = spark.createDataFrame(ROWS, "master_patient_id string, name_hash string, match_confidence_score double, "
                                      "primary_facility_id string")
-    for hot_rows in (100_000, 10):  # unsplit, and the 40-record block split over salts
-        got = worklist_empi_duplicate_pairs(_Raw(df), hot_block_rows=hot_rows, salt_buckets=7).collect()
+    for part_rows in (100_000, 7):  # one part per block, and the 40-record block in six
+        got = worklist_empi_duplicate_pairs(_Raw(df), part_rows=part_rows).collect()
         assert len(got) == len(set(map(tuple, got)))
         assert set(map(tuple, got)) == brute()

@@ -7,15 +7,19 @@ from helpers import duck_rows, spark_rows
 
 from conftest import SF_SMALL
 
+from strata.plans.layer import BUILD_ORDER
+from strata.plans.reads import READS
+
+NAMES = [*BUILD_ORDER, *READS]
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(NAMES) <= set(QUERIES) and set(NAMES) <= set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     s = spark_rows(df)
