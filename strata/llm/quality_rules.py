@@ -22,8 +22,9 @@ from .common import table
 # Characters that part words, symbols, stop words of the languages served.
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-STOP_WORDS = ("a", "and", "as", "das", "de", "del", "der", "die", "el", "en", "et", "in", "is", "it", "la", "las", "le",
-              "les", "of", "que", "qui", "the", "to", "un", "und", "une", "y", "zu")
+STOP_WORDS = ("a", "and", "are", "as", "at", "be", "by", "das", "de", "del", "den", "der", "des", "die", "du", "el", "en",
+              "est", "et", "for", "in", "is", "it", "la", "las", "le", "les", "los", "of", "on", "or", "que", "qui", "se",
+              "su", "the", "to", "un", "und", "une", "was", "with", "y", "zu")
 LEAST_WORDS, WINDOW, REPEATED_PERCENT = 10, 5, 20
 #: (ratio, least, greatest); None: no such limit.
 RULES = (
