@@ -4,8 +4,9 @@ An item is found in a document if the document has a substring within
 ``budget`` edits of it (a tenth of the item's length), both as lower-case
 words joined by single spaces. An item is cut into budget + 1 pieces: with at
 most ``budget`` edits one piece is untouched, so an Aho-Corasick automaton of
-all pieces finds every place that needs a look; parts around the piece are
-compared first, smaller ones with their share of the budget. Overlapping places of one item
+all pieces finds every place that needs a look; the bytes beside the piece are
+looked up and the parts around it compared first, smaller ones with their share
+of the budget. Overlapping places of one item
 in one document are joined, and Myers' algorithm gives the least distance
 over each.
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, slices, table, utf8
+from .common import released, ship, table, text_slices
 from .textcore import ALNUM, Words
 
 #: Edits allowed: one for each so many bytes of an item.
@@ -71,19 +72,30 @@ class Item:
     def __init__(self, item_id, text: bytes):
         self.id, self.text, self.size = item_id, text, len(text)
         self.budget = self.size // BYTES_PER_EDIT
-        #: (first byte, end byte, enclosing parts from small to large as (first, end, budget)) of each piece
-        self.pieces: list[tuple[int, int, list[tuple[int, int, int]]]] = []
+        #: first byte, end byte, enclosing parts from small to large as (first, end,
+        #: budget) and the bytes beside it as (bytes, first and end where they can
+        #: stand, from the piece's first byte) of each piece
+        self.pieces: list[tuple[int, int, list[tuple[int, int, int]], list[tuple[bytes, int, int]]]] = []
         self._halve(0, self.size, self.budget, [])
 
-    def _halve(self, a: int, b: int, budget: int, around: list) -> None:
+    def _halve(self, a: int, b: int, budget: int, parts: list) -> None:
         if budget == 0:
-            self.pieces.append((a, b, around[::-1]))
+            self.pieces.append((a, b, [x for x in reversed(parts) if x[2] < self.budget], self._beside(a, b, parts)))
             return
         left = (budget - 1) // 2
         cut = a + (b - a) * (left + 1) // (budget + 1)
-        around = [*around, (a, b, budget)] if b - a < self.size else around
-        self._halve(a, cut, left, around)
-        self._halve(cut, b, budget - 1 - left, around)
+        self._halve(a, cut, left, [*parts, (a, b, budget)])
+        self._halve(cut, b, budget - 1 - left, [*parts, (a, b, budget)])
+
+    def _beside(self, a: int, b: int, parts: list) -> list[tuple[bytes, int, int]]:
+        """The rest of the smallest enclosing part in one piece more than its
+        budget: if the part matches, one of them stands unchanged near its place."""
+        if not parts:
+            return []
+        first, end, k = parts[-1]
+        x, y = (b, end) if first == a else (first, a)
+        cut = [x + (y - x) * i // (k + 1) for i in range(k + 2)]
+        return [(self.text[p:q], p - a - k, q - a + k) for p, q in zip(cut, cut[1:])]
 
 
 def least_distance(pattern: bytes, text: bytes) -> tuple[int, int]:
@@ -112,10 +124,10 @@ def least_distance(pattern: bytes, text: bytes) -> tuple[int, int]:
 
 
 def automaton(items: list[Item]):
-    at: dict[str, list[tuple[int, int, list]]] = {}
+    at: dict[str, list[tuple[int, int, list, list]]] = {}
     for n, item in enumerate(items):
-        for a, b, around in item.pieces:
-            at.setdefault(item.text[a:b].decode("latin-1"), []).append((n, a, around))
+        for a, b, around, beside in item.pieces:
+            at.setdefault(item.text[a:b].decode("latin-1"), []).append((n, a, around, beside))
     found = ahocorasick.Automaton()
     for piece, where in at.items():
         found.add_word(piece, (len(piece), where))
@@ -132,9 +144,13 @@ def search(a, items: list[Item], texts: list[bytes]):
     for end, (size, where) in a.iter(joined.decode("latin-1")):
         while end >= bounds[text + 1]:
             text += 1
-        for n, offset, around in where:
+        hit = end + 1 - size
+        for n, offset, around, beside in where:
+            low, high = bounds[text], bounds[text + 1]
+            if beside and not any(joined.find(x, max(low, hit + p), max(low, min(high, hit + q))) >= 0 for x, p, q in beside):
+                continue
             item = items[n]
-            start = end + 1 - size - offset
+            start = hit - offset
             lo = max(bounds[text], start - item.budget)
             hi = min(bounds[text + 1], start + item.size + item.budget)
             if hi - lo < item.size - item.budget:
@@ -167,13 +183,13 @@ def search(a, items: list[Item], texts: list[bytes]):
 
 
 def _finder(shared):
+    @released
     def run(batches):
         items = [Item(i, t) for i, t in shared.value]
         a = automaton(items)
         for batch in batches:
-            texts = utf8(batch.column(1))
-            for lo, hi in slices([len(t) for t in texts]):
-                found = list(search(a, items, texts[lo:hi]))
+            for lo, _, texts in text_slices(batch, 1):
+                found = list(search(a, items, texts))
                 if found:
                     t, n, edits, first, end = zip(*found)
                     yield pa.RecordBatch.from_arrays(
@@ -214,14 +230,14 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFra
 
 
 def _clean(shared):
+    @released
     def run(batches):
         items = [Item(i, t) for i, t in shared.value]
         a = automaton(items)
         for batch in batches:
-            texts = utf8(batch.column(batch.schema.get_field_index("text")))
-            keep = np.ones(len(texts), dtype=bool)
-            for lo, hi in slices([len(t) for t in texts]):
-                for text, *_ in search(a, items, texts[lo:hi]):
+            keep = np.ones(batch.num_rows, dtype=bool)
+            for lo, _, texts in text_slices(batch, batch.schema.get_field_index("text")):
+                for text, *_ in search(a, items, texts):
                     keep[lo + text] = False
             yield batch.filter(pa.array(keep))
     return run
