@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, ship, slices, stored, table, text_digest, utf8
+from .common import discard, released, ship, stored, table, text_digest, text_slices
 from .textcore import ALNUM, U, Words, mix, shingles
 
 REGISTERS, BANDS = 128, 32
@@ -43,7 +43,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 HUB_ROUNDS = 2
 #: Members, and bytes of their shingles, of one side in a block comparison.
 BLOCK, BLOCK_BYTES = 1024, 16 << 20
-_TEXT_BYTES = 4 << 20
+_TEXT_BYTES = 3 << 20
 
 
 def multisets(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,11 +112,11 @@ def band_keys(registers: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.view(np.int64)
 
 
+@released
 def _bands(batches):
     for batch in batches:
-        texts = utf8(batch.column(1))
-        for lo, hi in slices([len(t) for t in texts], _TEXT_BYTES):
-            t, h, c = multisets(texts[lo:hi])
+        for lo, hi, texts in text_slices(batch, 1, _TEXT_BYTES):
+            t, h, c = multisets(texts)
             has = np.bincount(t, minlength=hi - lo) > 0
             keys = band_keys(signatures(t, h, c, hi - lo))[has]
             yield pa.RecordBatch.from_arrays(
@@ -125,12 +125,12 @@ def _bands(batches):
                 names=["item", "bands"])
 
 
+@released
 def _packed(batches):
     """(item, sorted shingle hashes as bytes, their counts as bytes)."""
     for batch in batches:
-        texts = utf8(batch.column(1))
-        for lo, hi in slices([len(t) for t in texts], _TEXT_BYTES):
-            t, h, c = multisets(texts[lo:hi])
+        for lo, hi, texts in text_slices(batch, 1, _TEXT_BYTES):
+            t, h, c = multisets(texts)
             at = np.searchsorted(t, np.arange(hi - lo + 1))
             c = c.astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
@@ -149,12 +149,16 @@ def similarity(h1, c1, h2, c2) -> float:
     return low / max(1, int(c1.sum()) + int(c2.sum()) - low)
 
 
+def _pack(hashes: pa.Scalar, counts: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """A packed multiset as arrays over the batch's own memory."""
+    return np.frombuffer(hashes.as_buffer(), U), np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64)
+
+
+@released
 def _verify(batches):
     for batch in batches:
         a, b, h1, c1, h2, c2 = (batch.column(i) for i in range(6))
-        ok = [similarity(np.frombuffer(w, U), np.frombuffer(x, np.uint32).astype(np.int64), np.frombuffer(y, U),
-                         np.frombuffer(z, np.uint32).astype(np.int64)) >= SIMILARITY
-              for w, x, y, z in zip(h1.to_pylist(), c1.to_pylist(), h2.to_pylist(), c2.to_pylist(), strict=True)]
+        ok = [similarity(*_pack(h1[i], c1[i]), *_pack(h2[i], c2[i])) >= SIMILARITY for i in range(batch.num_rows)]
         keep = pa.array(ok, pa.bool_())
         yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
@@ -164,8 +168,8 @@ def _compare_blocks(group: pa.Table) -> pa.Table:
     bucket, i, j = (group.column(n)[0].as_py() for n in ("bucket", "i", "j"))
     items, comp, block = (group.column(n).to_pylist() for n in ("item", "comp", "block"))
     bands = np.array(group.column("bands").to_pylist(), dtype=np.int64)
-    h = [np.frombuffer(x, U) for x in group.column("hashes").to_pylist()]
-    c = [np.frombuffer(x, np.uint32).astype(np.int64) for x in group.column("counts").to_pylist()]
+    packs = [_pack(x, y) for x, y in zip(group.column("hashes"), group.column("counts"), strict=True)]
+    h, c = [x for x, _ in packs], [x for _, x in packs]
     weight = np.array([int(x.sum()) for x in c])
     a, b = [], []
     left = [x for x in range(len(items)) if block[x] == i]

@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, slices, table, utf8
+from .common import released, ship, table, text_slices
 from .textcore import U, mix, powers
 
 #: Entries of a worker's cache of merged pre-tokens.
-CACHE = 400_000
+CACHE = 200_000
 OTHER, LETTER, NUMBER, SPACE = range(4)
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 _classes: np.ndarray | None = None
@@ -50,8 +50,8 @@ def classes() -> np.ndarray:
     return _classes
 
 
-def pre_tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes of all texts, first byte of each pre-token, its text)."""
+def pre_tokens(texts: list[bytes], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all texts, first byte of each pre-token, its text); ``kinds`` are the classes of code points."""
     texts = [t.decode("utf-8", "replace").encode() for t in texts]
     joined = b"".join(texts)
     buf = np.frombuffer(joined, dtype=np.uint8)
@@ -60,7 +60,7 @@ def pre_tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return buf, none, none
     byte_at = np.flatnonzero((buf & 0xC0) != 0x80)
     code = np.frombuffer(joined.decode().encode("utf-32-le"), dtype=np.uint32)
-    kind = classes()[code]
+    kind = kinds[code]
     size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     text_start = np.searchsorted(byte_at, (np.cumsum(size) - size)[size > 0])
     new = np.concatenate(([True], kind[1:] != kind[:-1]))
@@ -158,7 +158,7 @@ class PerfectHash:
 
 
 class Vocabulary:
-    """Ranks of byte strings, their perfect hash, and the cache of merges."""
+    """Ranks of byte strings, their perfect hash, character classes, and the cache of merges."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -186,6 +186,7 @@ class Vocabulary:
         #: rank of the entry that two entries make together
         self.pairs = {ranks[a] << 20 | ranks[b]: ranks[e] for e in entries for i in range(1, len(e))
                       if (a := e[:i]) in ranks and (b := e[i:]) in ranks}
+        self.kinds = classes()
         self.cache: dict[bytes, bytes] = {}
 
     def merge(self, part: bytes) -> bytes:
@@ -223,7 +224,7 @@ class Vocabulary:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts as unsigned 32-bit numbers, number of each text's)."""
-        buf, start, text = pre_tokens(texts)
+        buf, start, text = pre_tokens(texts, self.kinds)
         if not len(start):
             return np.zeros(0, dtype=np.uint32), np.zeros(len(texts), dtype=np.int64)
         hashes = byte_hashes(buf, start)
@@ -257,63 +258,44 @@ class Vocabulary:
         return self.bytes[at].tobytes(), n
 
 
-_workers: dict[int, Vocabulary] = {}
-
-
-def _vocabulary(shared) -> Vocabulary:
-    """The worker's vocabulary, with its hash and cache, for a shared rank table."""
-    if shared.id not in _workers:
-        _workers.clear()
-        _workers[shared.id] = Vocabulary(shared.value)
-    return _workers[shared.id]
-
-
-class Shared:
-    """A rank table in a broadcast (its size is the vocabulary's)."""
-
-    def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
-        self.table = spark.sparkContext.broadcast(ranks)
-        self.id = self.table._jbroadcast.id() if self.table._jbroadcast else 0
-
-    @property
-    def value(self):
-        return self.table.value
-
-    def __getstate__(self):
-        return {"table": self.table, "id": self.id}
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
 
 
+def broadcast_vocabulary(spark: SparkSession, path: str):
+    """The vocabulary with its hash, built once on the driver; its size is that of the rank file."""
+    ship(spark)
+    return spark.sparkContext.broadcast(Vocabulary(read_ranks(path)))
+
+
 def _encoded(shared, column: str):
+    @released
     def run(batches):
-        v = _vocabulary(shared)
+        v = shared.value
         for batch in batches:
             c = batch.schema.get_field_index(column)
-            texts = utf8(batch.column(c))
             rest = [i for i in range(batch.num_columns) if i != c]
-            for lo, hi in slices([len(t) for t in texts]):
-                ids, n = v.encode(texts[lo:hi])
+            for lo, hi, texts in text_slices(batch, c):
+                ids, n = v.encode(texts)
                 packed, end = ids.astype("<u4").tobytes(), np.cumsum(n) * 4
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(lo, hi - lo) for i in rest), pa.array(n),
                      pa.array([packed[b - 4 * k:b] for b, k in zip(end.tolist(), n.tolist())], pa.binary())],
                     names=[*(batch.schema.names[i] for i in rest), "n_tokens", "ids"])
+        v.cache.clear()
     return run
 
 
 def _decoded(shared):
+    @released
     def run(batches):
-        v = _vocabulary(shared)
+        v = shared.value
         for batch in batches:
             c = batch.schema.get_field_index("ids")
-            packed = [x or b"" for x in batch.column(c).to_pylist()]
-            for lo, hi in slices([len(x) for x in packed]):
-                n = [len(x) // 4 for x in packed[lo:hi]]
-                out, size = v.decode(np.frombuffer(b"".join(packed[lo:hi]), dtype="<u4"))
+            for lo, hi, packed in text_slices(batch, c):
+                n = [len(x) // 4 for x in packed]
+                out, size = v.decode(np.frombuffer(b"".join(packed), dtype="<u4"))
                 at = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n)))].tolist()
                 yield pa.RecordBatch.from_arrays(
                     [*(x.slice(lo, hi - lo) for x in batch.columns),
@@ -326,19 +308,15 @@ def _schema(df: DataFrame, drop: str | None) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != drop)
 
 
-def encode(spark: SparkSession, df: DataFrame, path: str, column: str = "text") -> DataFrame:
+def encode(df: DataFrame, vocabulary, column: str = "text") -> DataFrame:
     """``df`` with n_tokens and ids (little-endian unsigned 32-bit numbers) in place of the text."""
-    ship(spark)
-    shared = Shared(spark, read_ranks(path))
     kinds = ", ".join(x for x in (_schema(df, column), "n_tokens long, ids binary") if x)
-    return df.mapInArrow(_encoded(shared, column), kinds)
+    return df.mapInArrow(_encoded(vocabulary, column), kinds)
 
 
-def decode(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+def decode(df: DataFrame, vocabulary) -> DataFrame:
     """``df`` (with ids) and the decoded bytes."""
-    ship(spark)
-    shared = Shared(spark, read_ranks(path))
-    return df.mapInArrow(_decoded(shared), f"{_schema(df, None)}, decoded binary")
+    return df.mapInArrow(_decoded(vocabulary), f"{_schema(df, None)}, decoded binary")
 
 
 def tokens_and_text(spark: SparkSession, docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -347,7 +325,8 @@ def tokens_and_text(spark: SparkSession, docs: DataFrame, path: str | None = Non
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    both = decode(spark, encode(spark, docs.select("doc_id", "text"), path), path)
+    vocabulary = broadcast_vocabulary(spark, path)
+    both = decode(encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+import inspect
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,6 +92,42 @@ def utf8(array: pa.Array) -> list[bytes]:
     return [x or b"" for x in array.to_pylist()]
 
 
+def released(task):
+    """A task function that hands freed memory back to the system when it ends:
+    Python workers live on and run the tasks of other operators."""
+    def give_back() -> None:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+
+    if inspect.isgeneratorfunction(task):
+        @functools.wraps(task)
+        def run(batches):
+            try:
+                yield from task(batches)
+            finally:
+                give_back()
+    else:
+        @functools.wraps(task)
+        def run(group):
+            try:
+                return task(group)
+            finally:
+                give_back()
+    return run
+
+
+def text_slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES):
+    """(first row, end row, UTF-8 texts) of parts of a batch of about ``limit`` bytes."""
+    texts = batch.column(column)
+    if pa.types.is_null(texts.type):
+        texts = texts.cast(pa.string())
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for lo, hi in slices(sizes, limit):
+        yield lo, hi, utf8(texts.slice(lo, hi - lo))
+
+
 def slices(sizes: list[int], limit: int = SLICE_BYTES):
     """(first, end) row ranges of about ``limit`` bytes each, one row at least."""
     first, total = 0, 0

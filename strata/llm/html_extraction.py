@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ship, table
+from .common import released, ship, table
 
 # Element names by their role.
 BLOCKS = frozenset("""address article aside blockquote body br button caption center dd details dialog dir div dl dt
@@ -272,6 +272,7 @@ def main_text(page: str | None, tree: DecisionTree) -> str:
     return " ".join(b.text for b, keep in zip(own, main) if keep)
 
 
+@released
 def _extract(batches):
     tree = trained()
     for batch in batches:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, ship, slices, table, utf8
+from .common import released, shared_folder, ship, table, text_slices
 from .textcore import U, VISIBLE, Words, mix
 
 START, END = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
@@ -50,11 +50,10 @@ _C = U(0x9E3779B97F4A7C15)
 def tokens(batches, column: int, chunk: int):
     """(batch, first row, end row, token hashes, row of each token) of runs of texts of about ``chunk`` tokens."""
     for batch in batches:
-        texts = utf8(batch.column(column))
         got: list[tuple[np.ndarray, np.ndarray]] = []
         first = count = 0
-        for lo, hi in slices([len(t) for t in texts], 2 << 20):
-            w = Words(texts[lo:hi], True, VISIBLE)
+        for lo, hi, texts in text_slices(batch, column, 2 << 20):
+            w = Words(texts, True, VISIBLE)
             n = w.n + 1
             text = np.repeat(np.arange(lo, hi), n)
             h = np.empty(int(n.sum()), dtype=U)
@@ -69,7 +68,7 @@ def tokens(batches, column: int, chunk: int):
                 yield batch, first, hi, np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
                 got, first, count = [], hi, 0
         if got:
-            yield batch, first, len(texts), np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
+            yield batch, first, batch.num_rows, np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
 
 
 def contexts(h: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -103,6 +102,7 @@ def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[first], *(np.add.reduceat(v[order], first) for v in values)
 
 
+@released
 def _frequent_words(batches):
     for _, _, _, h, text in tokens(batches, 0, CHUNK):
         c = contexts(h, text)
@@ -117,6 +117,7 @@ BLOB = "shard int, context binary, followers binary, word binary, n binary"
 
 
 def _bigrams(shards: int, frequent: list[int]):
+    @released
     def run(batches):
         often = np.array(frequent, dtype=np.int64).view(U)
         for _, _, _, h, text in tokens(batches, 0, CHUNK):
@@ -167,6 +168,7 @@ COUNT, BEFORE, TOTAL, ONE, TWO, MORE = range(6)
 
 
 def _bigram_shard(folder: str, shards: int):
+    @released
     def run(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
         ctx, word, n = [], [], []
@@ -209,6 +211,7 @@ def _word_shard(folder: str):
     schema = pa.schema([("words", pa.bool_()), *((x, pa.int64()) for x in
                                                  ("n1", "n2", "n3", "n4", "more", "types", "total", "grams"))])
 
+    @released
     def run(group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
         if shard < 0:
@@ -338,6 +341,7 @@ def train(spark: SparkSession, texts: DataFrame) -> Model:
 def _scores(model: Model):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
+    @released
     def run(batches):
         for batch, lo, hi, h, text in tokens(batches, 2, SCORED):
             count, p = model.score(h, text)

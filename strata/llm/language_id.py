@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, slices, table, utf8
+from .common import released, ship, table, text_slices
 from .textcore import U, mix
 
 DIMENSIONS = 1024
@@ -39,8 +39,7 @@ def letters() -> np.ndarray:
     """Whether each code point is a letter."""
     global _letters
     if _letters is None:
-        every = [chr(i) if not 0xD800 <= i < 0xE000 else " " for i in range(0x110000)]
-        _letters = np.fromiter((c.isalpha() for c in every), dtype=bool, count=len(every))
+        _letters = np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
     return _letters
 
 
@@ -127,15 +126,15 @@ class TrigramVectors:
         return self.table[rows]
 
 
+@released
 def _sums(batches):
     vectors, total = TrigramVectors(), {}
     for batch in batches:
         langs = batch.column(0).to_pylist()
-        texts = utf8(batch.column(1))
-        for lo, hi in slices([len(t) for t in texts]):
+        for lo, hi, texts in text_slices(batch, 1):
             names = sorted(set(langs[lo:hi]))
             which = np.array([names.index(x) for x in langs[lo:hi]])
-            text, key = trigrams(texts[lo:hi])
+            text, key = trigrams(texts)
             full, lang, place, n = counts(which[text], key)
             if not len(full):
                 continue
@@ -194,14 +193,14 @@ def predict(texts: list[bytes], names: list[str], profile: np.ndarray,
 
 
 def _predictions(names: list[str], vectors: list[list[int]], column: str):
+    @released
     def run(batches):
         profile = np.array(vectors, dtype=np.float64).reshape(len(names), DIMENSIONS)
         profile /= np.maximum(np.linalg.norm(profile, axis=1, keepdims=True), 1e-300)
         kept = TrigramVectors()
         for batch in batches:
-            texts = utf8(batch.column(batch.schema.get_field_index(column)))
-            for lo, hi in slices([len(t) for t in texts]):
-                best, score = predict(texts[lo:hi], names, profile, kept)
+            for lo, hi, texts in text_slices(batch, batch.schema.get_field_index(column)):
+                best, score = predict(texts, names, profile, kept)
                 yield pa.RecordBatch.from_arrays(
                     [*(x.slice(lo, hi - lo) for x in batch.columns), pa.array(best), pa.array(score)],
                     names=[*batch.schema.names, "lang_pred", "score"])

@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ship, slices, table, utf8
+from .common import released, ship, table, text_slices
 from .decontaminate import normal
 from .textcore import Words
 
@@ -121,12 +121,12 @@ RESULT_SQL = ("doc_id long, n_words long, n_base long, first_word long, last_wor
               "matches array<struct<label: string, first_byte: int, end_byte: int, errors: int>>")
 
 
+@released
 def _scan(batches):
     notices = Notices()
     for batch in batches:
-        texts = utf8(batch.column(1))
-        for lo, hi in slices([len(t) for t in texts]):
-            joined, first, words, place = normal(texts[lo:hi])
+        for lo, hi, texts in text_slices(batch, 1):
+            joined, first, words, place = normal(texts)
             n, count = hi - lo, words.n
             where: list[list[int]] = [[] for _ in range(n)]
             base: list[set[str]] = [set() for _ in range(n)]

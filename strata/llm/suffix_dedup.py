@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, ship, slices, stored, table, text_digest, utf8
+from .common import discard, released, ship, slices, stored, table, text_digest, utf8
 from .gsaca import suffix_array
 from .textcore import U, mix, powers
 
@@ -94,6 +94,7 @@ def anchors(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, n
 def _anchor_rows(length: int):
     cut = 1 << 20  # a longer text is read in overlapping parts; every run lies whole in one
 
+    @released
     def run(batches):
         for batch in batches:
             digest, texts = batch.column(0), utf8(batch.column(1))
@@ -143,6 +144,7 @@ def _probe_rows(length: int):
     itself repeats is cut at once (rows without a core: first and size)."""
     spans = _ranges(length)
 
+    @released
     def run(batches):
         for batch in batches:
             digests = batch.column(0).to_pylist()
@@ -191,6 +193,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
                                       schema=schema)
 
 
+@released
 def _segment_rows(batches):
     """Cut the wanted segments (one array per text) out of their texts."""
     schema = pa.schema([("core", pa.int64()), ("digest", pa.binary()), ("first", pa.int32()), ("times", pa.int64()),
@@ -274,6 +277,7 @@ def _array_rows(length: int):
                 out.append((digest[i], start, start + length))
         return out
 
+    @released
     def run(batches):
         held: list[tuple] = []
         count = 0
@@ -290,6 +294,7 @@ def _array_rows(length: int):
     return run
 
 
+@released
 def _kept_rows(batches):
     """(digest, n_removed, spans, kept) of texts with ranges to cut."""
     span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))

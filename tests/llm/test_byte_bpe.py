@@ -59,6 +59,7 @@ def test_query(spark, write_table, edge_docs, no_docs, library):
 
 
 def test_columns_are_kept(spark, edge_docs):
-    out = bb.decode(spark, bb.encode(spark, edge_docs, PATH), PATH)
+    shared = bb.broadcast_vocabulary(spark, PATH)
+    out = bb.decode(bb.encode(edge_docs, shared), shared)
     assert out.columns == [c for c in edge_docs.columns if c != "text"] + ["n_tokens", "ids", "decoded"]
     assert out.count() == edge_docs.count()
