@@ -160,7 +160,8 @@ def _probe_rows(length: int):
                         if first > last:
                             continue
                         whole = t[first:last + length]
-                        key = (j, xxhash.xxh3_128_digest(whole, seed=j), p + hi - first)
+                        # strings are compared at one place before the core: it is part of the segment
+                        key = (j, xxhash.xxh3_128_digest(whole, seed=p + hi - first), p + hi - first)
                         if key in own:
                             seen = own[key]
                             cuts += [(seen[3], seen[3] + seen[4]), (first, first + len(whole))]
@@ -213,21 +214,23 @@ def _segment_rows(batches):
             yield _batch(out, schema)
 
 
-def repeats(before: list[bytes], core: list[bytes], after: list[bytes], times: np.ndarray,
+def repeats(group: list[int], before: list[bytes], core: list[bytes], after: list[bytes], times: np.ndarray,
             length: int) -> list[tuple[int, int]]:
     """(segment, bytes before its core) of each string that another place has too.
 
-    Segments may have different cores; string t of a segment is its last t
+    Segments may have different cores, and only those of one group are compared:
+    in another group the same place can have the same core; string t of a segment is its last t
     bytes before the core, the core, and what is missing to ``length`` after.
     """
     n = len(core)
     per = [[a[i:i + BLOCK] for i in range(0, len(a), BLOCK)] for a in after]
     rank = {x: i + 1 for i, x in enumerate(sorted({b for p in per for b in p}))}
-    middles = {x: i + 1 + len(rank) for i, x in enumerate(sorted(set(core)))}
+    cores = list(zip(group, core, strict=True))
+    middles = {x: i + 1 + len(rank) for i, x in enumerate(sorted(set(cores)))}
     symbols, at = [], np.empty(n, dtype=np.int64)
     for i in range(n):
         at[i] = len(symbols)
-        symbols.append(middles[core[i]])
+        symbols.append(middles[cores[i]])
         symbols.extend(rank[b] for b in per[i])
         symbols.append(0)
     sa = suffix_array(np.array(symbols, dtype=np.int64))
@@ -237,7 +240,7 @@ def repeats(before: list[bytes], core: list[bytes], after: list[bytes], times: n
     order = order[order >= 0]
 
     longest = max((length - len(c) for c in core), default=0)
-    kind = np.array([middles[c] for c in core])[order]
+    kind = np.array([middles[c] for c in cores])[order]
     need = np.array([length - len(c) for c in core])[order]
     have_l, have_r = np.array([len(x) for x in before])[order], np.array([len(x) for x in after])[order]
     right = np.full((n, longest + 1), -1, dtype=np.int16)
@@ -267,9 +270,11 @@ def repeats(before: list[bytes], core: list[bytes], after: list[bytes], times: n
 
 def _array_rows(length: int):
     def solve(rows):
-        rows = {x[:3]: x for x in rows}.values()  # a row of the documents may be there twice
+        # a row of the documents may be there twice; segments cut off at a text's
+        # start share their first byte, so the bytes around the core count too
+        rows = {(*x[:3], len(x[4]), len(x[6])): x for x in rows}.values()
         core, digest, first, times, before, middle, after = zip(*rows, strict=True)
-        hit = repeats(list(before), list(middle), list(after), np.array(times), length)
+        hit = repeats(list(core), list(before), list(middle), list(after), np.array(times), length)
         out = []
         for i, t in hit:
             if times[i] < 2:

@@ -61,3 +61,19 @@ def test_edges_and_clashing_columns(spark, edge_docs, no_docs):
     assert by[(8, "s")]["n_removed"] == 3000 and by[(3, "s")]["n_removed"] == 0
     assert by[(1, "s")]["digest"] == "y"
     assert sd.suffix_dedup(spark, no_docs).count() == 0
+
+
+def test_periodic_starts_equal_brute_force(spark, write_table):
+    letters = [chr(33 + i) for i in range(50)]
+    texts = [c * n for c, n in zip(letters, range(401, 451))]
+    rng = random.Random(5)
+    for period in (2, 7, 13, 20, 31, 45):
+        for size in (400 + period, 413, 425 + period, 444 + period):
+            phrase = "".join(rng.choice("klmnop") for _ in range(period - 1)) + " "
+            tail = "".join(rng.choice("rstuvw ") for _ in range(rng.randint(0, 300)))
+            texts += [(phrase * 400)[:size] + tail, tail[:90] + (phrase * 400)[:size]]
+    docs = list(enumerate(texts))
+    base = write_table(documents=spark.createDataFrame(docs, "doc_id long, text string"))
+    got = sorted(tuple(r) for r in sd.op1_suffix_array_dedup(spark, base).collect())
+    assert got == expected(docs)
+    assert got[19][2] == 420
