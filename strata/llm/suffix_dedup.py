@@ -12,18 +12,23 @@ input). Steps:
    end of the first string); the segment is all bytes they cover. Segments
    that occur twice are removed whole. Only a segment met once, whose core has
    another segment, needs a comparison.
-3. *Suffix array.* Tasks get the segments by core, write each as a sequence of
+3. *Hot cores.* Segments are counted by core. If a core has more than
+   ``MOST_SEGMENTS`` different ones (the edge of a passage that many texts
+   share), the range of each is cut into ``PARTS`` and its parts are probed in
+   the same way, with a longer core each. After two rounds a range is a single
+   start: its segment is the string itself and the count by segment decides.
+4. *Suffix array.* Tasks get the segments by core, write each as a sequence of
    blocks (its core, then the bytes after it in blocks of 16) and sort all
    suffixes of that sequence by linear grouping (``gsaca``). Neighbours in the
    array give the common length after the core; for each start the segments
    of an interval long enough, with the same bytes before the core, are
    repeats of each other.
-4. The removed ranges of a text meet its documents by digest.
+5. The removed ranges of a text meet its documents by digest.
 
 Copies of a text count once with their number, segments that a text repeats
 are cut within it, and identical segments are counted together (map-side sums), so a large group of copies is a few rows. What meets in one
-task is the set of *different* segments with one core, that is with at least
-``length - ceil(window starts / RANGES) + 1`` equal bytes.
+task are at most ``MOST_SEGMENTS`` *different* segments with one core, that is
+with at least ``length - ceil(window starts / RANGES) + 1`` equal bytes.
 
 Null and empty texts keep nothing and lose nothing. Repeated rows (also of one
 doc_id) are copies of each other. Extra columns are not read.
@@ -32,6 +37,7 @@ doc_id) are copies of each other. Extra columns are not read.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +52,12 @@ from .textcore import U, mix, powers
 LENGTH = 400
 RANGES = 6
 BLOCK = 16
-#: Symbols of one suffix array, unless a single core has more.
+#: Symbols of one suffix array, and one core's segments on top.
 ARRAY_SYMBOLS = 1 << 16
+#: Different segments of one core that meet in a task; the ranges of a core with
+#: more are cut into PARTS.
+MOST_SEGMENTS = 1 << 13
+PARTS = 8
 _POS = U((1 << 24) - 1)
 _inverse = np.ones(1, dtype=U)
 
@@ -194,6 +204,37 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
                                       schema=schema)
 
 
+def _part_rows(length: int):
+    """Probe rows of the parts of the wanted segments (one array per text)."""
+    @released
+    def run(batches):
+        for batch in batches:
+            out: list[tuple] = []
+            for digest, t, want in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(),
+                                       strict=True):
+                for x in want:
+                    begin, end = x["first"], x["first"] + x["size"] - length
+                    lo, hi = x["first"] + x["core_end"] - length, x["first"] + x["core_first"]
+                    for k, part in enumerate(np.array_split(np.arange(lo, hi + 1), PARTS)):
+                        if not len(part):
+                            continue
+                        a, b = int(part[0]), int(part[-1])
+                        first, last = max(a, begin), min(b, end)
+                        if first > last:
+                            continue
+                        # the hash goes on from the core's: only the same part of one core meets
+                        core = xxhash.xxh3_64_intdigest(t[b:a + length], seed=x["core"] + (1 << 63) ^ k) - (1 << 63)
+                        segment = xxhash.xxh3_128_digest(t[first:last + length], seed=b - first)
+                        out.append((core, segment, digest, first, last + length - first, b - first,
+                                    a + length - first, min(x["times"], 2)))
+                if len(out) > 50_000:
+                    yield _batch(out, PROBE)
+                    out = []
+            if out:
+                yield _batch(out, PROBE)
+    return run
+
+
 @released
 def _segment_rows(batches):
     """Cut the wanted segments (one array per text) out of their texts."""
@@ -323,6 +364,14 @@ def _kept_rows(batches):
 KEPT = "digest binary, n_removed long, spans array<struct<first: int, last: int>>, kept binary"
 
 
+def _wanted(segments: DataFrame) -> DataFrame:
+    """One row a text with the places of the segments that stand for their copies in it."""
+    return segments.select(
+        F.col("one.digest").alias("digest"),
+        F.struct("core", "times", "one.first", "one.size", "one.core_first", "one.core_end").alias("x")).groupBy(
+        "digest").agg(F.collect_list("x").alias("want"))
+
+
 def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """For each different text that loses bytes: its digest, n_removed, spans
     (removed byte ranges) and kept (the remaining bytes)."""
@@ -332,37 +381,47 @@ def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> Data
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("one"),
         F.max(F.octet_length("text")).alias("size")), "dedup-texts")
 
-    found = stored(spark, base.select("own", "text").mapInArrow(
+    met = stored(spark, base.select("own", "text").mapInArrow(
         _anchor_rows(length), "digest binary, hash long, n long"), "dedup-anchors")
-    often = found.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
-    places = found.join(often, "hash").groupBy("digest").agg(F.collect_set("hash").alias("hashes"))
+    often = met.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
+    places = met.join(often, "hash").groupBy("digest").agg(F.collect_set("hash").alias("hashes"))
     # one document stands for all copies of its text
     wanted = texts.join(places, texts["own"] == places["digest"]).select("digest", "copies", "one", "hashes")
     chosen = base.join(wanted, (F.col("own") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("one")))
     chosen = stored(spark, chosen.select("digest", "text", "hashes", "copies"), "dedup-chosen")
-    discard(spark, found)
+    discard(spark, met)
 
     rows = stored(spark, chosen.mapInArrow(_probe_rows(length), PROBE_SQL), "dedup-probes")
-    within = rows.where("core is null").select("digest", "first", (F.col("first") + F.col("size")).alias("last"))
-    probes = rows.where("core is not null")
-    segments = stored(spark, probes.groupBy("core", "segment").agg(
-        F.sum("copies").alias("times"),
-        F.min(F.struct("digest", "first", "size", "core_first", "core_end")).alias("one")), "dedup-segments")
-    whole = probes.where("copies = 1").join(
-        segments.where("times > 1").select("core", "segment"), ["core", "segment"], "left_semi").select(
-        "digest", "first", (F.col("first") + F.col("size")).alias("last"))
-    shared_core = segments.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"), F.min("times").alias("least")).where(
-        "kinds > 1 and least = 1").select("core")
-    wanted = segments.join(shared_core, "core").select(
-        F.col("one.digest").alias("digest"),
-        F.struct("core", "times", "one.first", "one.size", "one.core_first", "one.core_end").alias("x"))
-    wanted = wanted.groupBy("digest").agg(F.collect_list("x").alias("want"))
-    lone = chosen.select("digest", "text").join(wanted, "digest").mapInArrow(
-        _segment_rows, "core long, digest binary, first int, times long, before binary, middle binary, after binary")
-    partly = lone.repartition("core").sortWithinPartitions("core").mapInArrow(_array_rows(length), CUT_SQL)
-    cuts = stored(spark, within.unionByName(whole).unionByName(partly).groupBy("digest").agg(
+    found = [rows.where("core is null").select("digest", "first", (F.col("first") + F.col("size")).alias("last"))]
+    done = []
+    while True:
+        probes = rows.where("core is not null")
+        segments = stored(spark, probes.groupBy("core", "segment").agg(
+            F.sum("copies").alias("times"),
+            F.min(F.struct("digest", "first", "size", "core_first", "core_end")).alias("one")), "dedup-segments")
+        found.append(probes.where("copies = 1").join(
+            segments.where("times > 1").select("core", "segment"), ["core", "segment"], "left_semi").select(
+            "digest", "first", (F.col("first") + F.col("size")).alias("last")))
+        cores = stored(spark, segments.groupBy("core").agg(
+            F.count(F.lit(1)).alias("kinds"), F.min("times").alias("least")).where(
+            "kinds > 1 and least = 1").select("core", "kinds"), "dedup-cores")
+        done += [rows, segments, cores]
+        hot = cores.where(F.col("kinds") > MOST_SEGMENTS).select("core")
+        split = not hot.isEmpty()
+        # hot cores are few: each has more than MOST_SEGMENTS rows
+        cold = segments.join(F.broadcast(hot), "core", "left_anti") if split else segments
+        lone = chosen.select("digest", "text").join(
+            _wanted(cold.join(cores.select("core"), "core")), "digest").mapInArrow(
+            _segment_rows, "core long, digest binary, first int, times long, before binary, middle binary, after binary")
+        found.append(lone.repartition("core").sortWithinPartitions("core").mapInArrow(_array_rows(length), CUT_SQL))
+        if not split:
+            break
+        parts = chosen.select("digest", "text").join(
+            _wanted(segments.join(F.broadcast(hot), "core", "left_semi")), "digest")
+        rows = stored(spark, parts.mapInArrow(_part_rows(length), PROBE_SQL), "dedup-parts")
+    cuts = stored(spark, reduce(DataFrame.unionByName, found).groupBy("digest").agg(
         F.collect_set(F.struct("first", "last")).alias("cuts")), "dedup-cuts")
-    discard(spark, rows, segments)
+    discard(spark, *done)
 
     single = chosen.where("copies = 1").select("digest", "text").join(cuts, "digest").mapInArrow(_kept_rows, KEPT)
     copied = texts.where("copies > 1").select(

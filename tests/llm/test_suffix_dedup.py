@@ -77,3 +77,25 @@ def test_periodic_starts_equal_brute_force(spark, write_table):
     got = sorted(tuple(r) for r in sd.op1_suffix_array_dedup(spark, base).collect())
     assert got == expected(docs)
     assert got[19][2] == 420
+
+
+def test_hot_cores_are_split(spark, write_table, monkeypatch):
+    rng = random.Random(11)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, phrase = noise(900), noise(30)
+    docs = [(i, noise(rng.randint(0, 60)) + passage + noise(rng.randint(0, 60))) for i in range(80)]
+    docs += [(100 + i, docs[i][1][:rng.randint(300, 700)] + noise(50)) for i in range(40)]
+    docs += [(200 + i, noise(i) + (phrase * 40)[:rng.randint(400, 600)] + noise(20)) for i in range(20)]
+    docs += [(300 + i, d[1]) for i, d in enumerate(docs[:5])]
+    base = write_table(documents=spark.createDataFrame(docs, "doc_id long, text string"))
+    names, write = [], sd.stored
+    monkeypatch.setattr(sd, "stored", lambda spark, df, name: (names.append(name), write(spark, df, name))[1])
+    whole = sorted(tuple(r) for r in sd.op1_suffix_array_dedup(spark, base).collect())
+    assert whole == expected(docs) and "dedup-parts" not in names
+    for most, rounds in ((1, 2), (5, 2)):
+        names.clear()
+        monkeypatch.setattr(sd, "MOST_SEGMENTS", most)
+        got = sorted(tuple(r) for r in sd.op1_suffix_array_dedup(spark, base).collect())
+        assert got == whole and names.count("dedup-parts") == rounds
