@@ -2,7 +2,9 @@
 
 An item is found in a document if the document has a substring within
 ``budget`` edits of it (a tenth of the item's length), both as lower-case
-words joined by single spaces. An item is cut into budget + 1 pieces: with at
+words joined by single spaces. The substring for an item of at most ``SHORT``
+bytes must be whole words, so that a short answer is not found inside a longer
+word. An item is cut into budget + 1 pieces: with at
 most ``budget`` edits one piece is untouched, so an Aho-Corasick automaton of
 all pieces finds every place that needs a look; the bytes beside the piece are
 looked up and the parts around it compared first, smaller ones with their share
@@ -34,6 +36,8 @@ from .textcore import ALNUM, Words
 
 #: Edits allowed: one for each so many bytes of an item.
 BYTES_PER_EDIT = 10
+#: Items of up to so many bytes must stand at word edges.
+SHORT = 30
 #: Bytes of benchmark text that one pass carries to the tasks.
 QUERY_BYTES = 1 << 20
 
@@ -123,6 +127,34 @@ def least_distance(pattern: bytes, text: bytes) -> tuple[int, int]:
     return best, end
 
 
+def distance(a: bytes, b: bytes) -> int:
+    """Edits between two short texts as a whole."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(last + (x != y), row[j] + 1, row[j + 1] + 1)
+    return row[-1]
+
+
+def whole_words(item: Item, joined: bytes, spans: list[list[int]], place: np.ndarray) -> tuple[int, int, int] | None:
+    """(edits, first, end) of the words in the spans that are nearest to an item, if within its budget."""
+    best = None
+    for lo, hi in sorted(spans):
+        for start in place[np.searchsorted(place, lo):np.searchsorted(place, hi)].tolist():
+            limit = min(hi, start + item.size + item.budget)
+            end = joined.find(b" ", start + item.size - item.budget, limit + 1)
+            while end >= 0:
+                part = joined[start:end]
+                edits = 0 if part == item.text else distance(item.text, part) if item.budget else 1
+                if edits <= item.budget and (best is None or edits < best[0]):
+                    best = (edits, start, end)
+                    if edits == 0:
+                        return best
+                end = joined.find(b" ", end + 1, limit + 1)
+    return best
+
+
 def automaton(items: list[Item]):
     at: dict[str, list[tuple[int, int, list, list]]] = {}
     for n, item in enumerate(items):
@@ -135,8 +167,9 @@ def automaton(items: list[Item]):
     return found
 
 
-def search(a, items: list[Item], texts: list[bytes]):
-    """(text, item, edits, first byte, end byte) of the best place of each item found."""
+def search(a, items: list[Item], texts: list[bytes], short: int = 0):
+    """(text, item, edits, first byte, end byte) of the best place of each item found;
+    items of up to ``short`` bytes are only found as whole words."""
     joined, first, words, place = normal(texts)
     bounds = first.tolist()
     windows: dict[tuple[int, int], list[list[int]]] = {}
@@ -166,6 +199,13 @@ def search(a, items: list[Item], texts: list[bytes]):
                 own.append([lo, hi])
     for (text, n), spans in windows.items():
         item = items[n]
+        base = words.first_byte[text]
+        if item.size <= short:
+            if best := whole_words(item, joined, spans, place):
+                edits, start, end = best
+                a_word, b_word = np.searchsorted(place, [start, end])
+                yield text, n, edits, int(words.start[a_word] - base), int(words.end[b_word - 1] - base)
+            continue
         best = None
         for lo, hi in sorted(spans):
             edits, end = least_distance(item.text, joined[lo:hi])
@@ -178,7 +218,6 @@ def search(a, items: list[Item], texts: list[bytes]):
             _, size = least_distance(item.text[::-1], joined[lo:end][::-1])
             a_word = int(np.searchsorted(place, end - size, "right")) - 1
             b_word = int(np.searchsorted(place, end - 1, "right")) - 1
-            base = words.first_byte[text]
             yield text, n, edits, int(words.start[a_word] - base), int(words.end[b_word] - base)
 
 
@@ -189,7 +228,7 @@ def _finder(shared):
         a = automaton(items)
         for batch in batches:
             for lo, _, texts in text_slices(batch, 1):
-                found = list(search(a, items, texts))
+                found = list(search(a, items, texts, SHORT))
                 if found:
                     t, n, edits, first, end = zip(*found)
                     yield pa.RecordBatch.from_arrays(
@@ -237,7 +276,7 @@ def _clean(shared):
         for batch in batches:
             keep = np.ones(batch.num_rows, dtype=bool)
             for lo, _, texts in text_slices(batch, batch.schema.get_field_index("text")):
-                for text, *_ in search(a, items, texts):
+                for text, *_ in search(a, items, texts, SHORT):
                     keep[lo + text] = False
             yield batch.filter(pa.array(keep))
     return run

@@ -62,3 +62,50 @@ def test_query_reports_spans_and_stage_drops_documents(spark, write_table, edge_
     assert kept.columns == edge_docs.columns and kept.count() == edge_docs.count()
     assert dc.leaks(spark, no_docs, bench).count() == 0
     assert dc.leaks(spark, docs, bench.limit(0)).count() == 0
+
+
+def full_edits(p, t):
+    prev = list(range(len(t) + 1))
+    for i, a in enumerate(p):
+        cur = [i + 1]
+        for j, b in enumerate(t):
+            cur.append(min(prev[j] + (a != b), prev[j + 1] + 1, cur[-1] + 1))
+        prev = cur
+    return prev[-1]
+
+
+def test_short_items_are_whole_words(spark):
+    rng = random.Random(8)
+    words = ["ab", "the", "of", "xy", "çé", "q1", "abthe", "ofxy"]
+
+    def prose(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+    hits = 0
+    for _ in range(150):
+        items = [dc.Item(i, prose(rng.randint(1, 8)).encode()) for i in range(4)]
+        items = [x for x in items if x.size <= dc.SHORT]
+        given = []
+        for _ in range(4):
+            t = list(f"{prose(rng.randint(0, 8))} {rng.choice(items).text.decode() if items else ''} {prose(rng.randint(0, 5))}")
+            for _ in range(rng.randint(0, 3)):
+                t[rng.randrange(len(t))] = rng.choice("abx ")
+            given.append("".join(t).encode())
+        got = {(t, n): (e, a, b) for t, n, e, a, b in dc.search(dc.automaton(items), items, given, dc.SHORT)}
+        want = {}
+        for i, t in enumerate(given):
+            parts = dc.normal([t])[0].split()
+            for j, x in enumerate(items):
+                e = min((full_edits(x.text, b" ".join(parts[a:b])) for a in range(len(parts))
+                         for b in range(a + 1, len(parts) + 1)), default=99)
+                if e <= x.budget:
+                    want[i, j] = e
+        assert {k: v[0] for k, v in got.items()} == want
+        for (i, j), (e, a, b) in got.items():
+            assert full_edits(items[j].text, dc.normal([given[i][a:b]])[0][:-1]) == e
+        hits += len(got)
+    assert hits > 100
+    docs = spark.createDataFrame([(1, "We concatenate it"), (2, "My cat, it sat"), (3, "cats"), (4, "A CAT")],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "cat")], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in dc.leaks(spark, docs, bench).collect()) == [2, 4]
+    assert sorted(r["doc_id"] for r in dc.without_leaks(spark, docs, bench).collect()) == [1, 3]
