@@ -36,7 +36,7 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), "doc_id", "text")
     out = suffix_dedup.suffix_dedup(spark, rows)
     cut = F.col("n_removed") > 0
-    rest = F.translate(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
+    rest = suffix_dedup.whole_characters(F.when(cut, F.col("kept")), F.when(cut, F.col("spans")))
     new = {"text": F.when(cut, rest).otherwise(F.col("text")),
            "n_chars": F.when(cut, F.length(rest).cast("long")).otherwise(F.col("row.n_chars"))}
     return out.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

@@ -445,6 +445,25 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH) ->
         F.coalesce("kept", F.col("row.text").cast("binary"), F.lit(b"")).alias("kept"))
 
 
+def _whole_characters(kept: pa.Array, spans: pa.Array) -> pa.Array:
+    out = []
+    for t, cuts in zip(kept.to_pylist(), spans.to_pylist(), strict=True):
+        if t is None:
+            out.append(None)
+            continue
+        parts, at, gone = [], 0, 0
+        for x in cuts:
+            parts.append(t[at:x["first"] - gone])
+            at, gone = x["first"] - gone, gone + x["last"] - x["first"]
+        out.append("".join(p.decode("utf-8", "ignore") for p in [*parts, t[at:]]))
+    return pa.array(out, pa.string())
+
+
+def whole_characters(kept, spans):
+    """The remaining bytes as text, without what is left of characters that a span's edge cuts in two."""
+    return F.arrow_udf(_whole_characters, "string")(kept, spans)
+
+
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     gone = removals(spark, docs).select("digest", "n_removed", F.size("spans").cast("long").alias("n_spans"),

@@ -87,3 +87,18 @@ def test_edges(spark, write_table, edge_docs, no_docs):
     assert cp.run(spark, write_table(documents=no_docs, benchmark=bench)).count() == 0
     assert [n for n, _ in cp.STAGES] == ["language_id", "near_dedup", "suffix_dedup", "decontaminate", "tokens"]
     assert suffix_dedup.LENGTH == 400
+
+
+def test_suffix_stage_keeps_replacement_characters(spark):
+    rng = random.Random(2)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = noise(450)
+    # \u00e9 and \u00ea share their first byte, \u00e9 and \u0129 their last
+    docs = [(1, "one \ufffd\u00e9" + passage + "\u00e9 \ufffd end", 0), (2, "two \u0129" + passage + "\u00ea \ufffd", 0),
+            (3, "\ufffd three", 12), (4, None, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, n_chars long")
+    out = {r["doc_id"]: r for r in cp.suffix_stage(spark, frame, "").collect()}
+    assert {d: r["text"] for d, r in out.items()} == {1: "one \ufffd \ufffd end", 2: "two  \ufffd", 3: "\ufffd three", 4: None}
+    assert [out[d]["n_chars"] for d in (1, 2, 3, 4)] == [11, 6, 12, None]
