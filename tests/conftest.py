@@ -5,8 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -21,6 +19,7 @@ def spark():
 def duck():
     import duckdb
 
+    from metric_helpers import SF_SMALL
     from strata.sources.testdata import BASE_TABLES
 
     con = duckdb.connect()

@@ -2,11 +2,9 @@
 
 import pytest
 
-from helpers import duck_rows, spark_rows
+from metric_helpers import SF_SMALL, duck_rows, spark_rows
 from strata.sources.testdata import BINDINGS, base_frames, binding_frame
 
-from conftest import SF_SMALL
-
 
 @pytest.mark.parametrize("name", sorted(BINDINGS))
 def test_binding_same_on_both_engines(spark, duck, name):

@@ -3,9 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from helpers import duck_rows, spark_rows
-
-from conftest import SF_SMALL
+from metric_helpers import SF_SMALL, duck_rows, spark_rows
 
 from strata.plans.layer import BUILD_ORDER
 from strata.plans.reads import READS

@@ -13,7 +13,7 @@ from strata.sources import RawTables
 from strata.sources.ndjson import land_raw
 from strata.sources.testdata import BINDING_AS_OF
 
-from conftest import SF_SMALL
+from metric_helpers import SF_SMALL
 
 
 def test_materialised_exec_equals_lazy(spark):

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-from conftest import SF_SMALL
+from metric_helpers import SF_SMALL
 
 from strata.plans.layer import BUILD_ORDER
 from strata.plans.reads import READS
