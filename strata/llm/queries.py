@@ -11,13 +11,14 @@ from .html_extraction import op4_block_tree_html_extraction
 from .kneser_ney import op3_kneser_ney_scores
 from .language_id import op9_hyperdimensional_language_id
 from .license_scan import op2_fuzzy_license_scan
+from .periodic_runs import op13_periodic_runs
 from .quality_rules import op6_quality_rules
 from .suffix_dedup import op1_suffix_array_dedup
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_fuzzy_license_scan, op3_kneser_ney_scores, op4_block_tree_html_extraction,
     op5_byte_level_bpe, op6_quality_rules, op7_bag_minhash_dedup, op8_pigeonhole_decontamination,
-    op9_hyperdimensional_language_id, op10_reply_tree_chat_format)}
+    op9_hyperdimensional_language_id, op10_reply_tree_chat_format, op13_periodic_runs)}
 
 #: The other operators cannot be written in SQL, or too slowly; tests hold them against plain versions.
 ORACLE_SQL: dict[str, str] = {
