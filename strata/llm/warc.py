@@ -5,9 +5,9 @@ the rows were dealt, on the clock or on task retries:
 
 1. *Decide.* Pages are counted by (page_id, url, payload digest, size). The row
    with the largest page_id (then url) of each payload is its response, all
-   others revisit it; payloads below ``least`` bytes are all responses. Payloads
-   themselves are only shuffled once each: copies are combined before the
-   shuffle. A payload with more than one in ``HOT`` of all rows meets its rows
+   others revisit it; payloads below ``least`` bytes are all responses. Only
+   payloads that may occur twice (a bitmap of ``MARKS`` bits by digest says which
+   cannot) are shuffled for this, copies combined before. A payload with more than one in ``HOT`` of all rows meets its rows
    by a broadcast (there are fewer than ``HOT`` of them), others by a join.
 2. *Compress.* Each response becomes one gzip member with new HTTP and WARC
    headers and digests.
@@ -46,6 +46,7 @@ from bisect import bisect_right
 from dataclasses import dataclass
 from urllib.parse import quote
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,8 @@ MOST_SHARDS, SAMPLES = 10_000, 16
 #: Compressed bytes that the reader handles at once, and repeats of a row that are kept together.
 BLOCK_BYTES, REPEATS = 4 << 20, 4096
 HOT = 1000
+#: Bits (a power of two) of the map of digests that occur twice; it is what is broadcast.
+MARKS = 1 << 26
 #: Bytes that a record has besides its payload, about.
 HEADERS = 600
 #: Records carry this date: the writer does not read the clock.
@@ -179,9 +182,12 @@ def _records(spark: SparkSession, pages: DataFrame, keyed: DataFrame, total: int
     revisits = revisits.select(*key, F.explode("parts").alias("p"), "to_id", "to_url").select(
         *key, "p.first", "p.times", "to_id", "to_url", F.lit(None).cast("binary").alias("packed"))
 
-    one = pages.where(large).groupBy("sha", "size").agg(F.max(own).alias("top"), F.any_value("html").alias("html"))
-    kept = one.select("top.page_id", "top.url", "sha", "size", F.lit(0).cast("long").alias("first"),
-                      F.lit(1).cast("long").alias("times"), "html")
+    perhaps = _marked(spark, tops.select(F.col("top_sha").alias("sha")))
+    first, times = F.lit(0).cast("long").alias("first"), F.lit(1).cast("long").alias("times")
+    one = pages.where(large & perhaps("sha")).groupBy("sha", "size").agg(
+        F.max(own).alias("top"), F.any_value("html").alias("html"))
+    kept = one.select("top.page_id", "top.url", "sha", "size", first, times, "html").unionByName(
+        pages.where(large & ~perhaps("sha")).select(*key, first, times, "html"))
     if least > 0:
         each = pages.where(small).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.any_value("html").alias("html"))
         each = each.select(*key, F.explode(_all("n")).alias("p"), "html")
@@ -189,6 +195,29 @@ def _records(spark: SparkSession, pages: DataFrame, keyed: DataFrame, total: int
     return kept.mapInArrow(_packed(date), RECORD_SQL).unionByName(revisits)
 
 
+def _mark(sha):
+    """Place of a digest in the map of marks, from 1."""
+    return F.shiftright(F.conv(F.substring(sha, 1, 8), 16, 10).cast("long"), 32 - (MARKS.bit_length() - 1)) + 1
+
+
+def _marked(spark: SparkSession, twice: DataFrame):
+    """A test that holds for all digests of ``twice`` and few others."""
+    mark = _mark("sha")
+    rows = twice.groupBy(F.bitmap_bucket_number(mark).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(mark)).alias("bits")).collect()
+    size = len(rows[0]["bits"]) if rows else 1
+    bits = np.zeros(max(MARKS // 8, size), dtype=np.uint8)
+    for r in rows:
+        bits[(r["bucket"] - 1) * size:r["bucket"] * size] = np.frombuffer(r["bits"], dtype=np.uint8)
+    shared = spark.sparkContext.broadcast(bits)
+
+    @F.arrow_udf("boolean")
+    def perhaps(mark: pa.Array) -> pa.Array:
+        at = mark.to_numpy(zero_copy_only=False) - 1
+        return pa.array((shared.value[at >> 3] >> (at & 7) & 1).astype(bool))
+    return lambda sha: perhaps(_mark(sha))
+
+
 def _parts(count: str, first: int):
     step = F.lit(REPEATS).cast("long")
     start = F.sequence(F.lit(first).cast("long"), F.col(count) - 1, step)

@@ -101,6 +101,15 @@ def test_pages_come_back_in_order_with_their_payloads(spark, tmp_path, monkeypat
     assert b"a%20b%0D%0AX:%20y" in text or any(b"a%20b%0D%0AX:%20y" in gzip.open(os.path.join(root, n)).read() for n in files(root))
 
 
+def test_a_full_map_of_marks_changes_nothing(spark, tmp_path, monkeypatch):
+    rows = some_pages()
+    df = spark.createDataFrame(rows, PAGES).repartition(3)
+    warc.write_archives(spark, df, str(tmp_path / "a"))
+    monkeypatch.setattr(warc, "MARKS", 1 << 3)
+    warc.write_archives(spark, df, str(tmp_path / "b"))
+    assert files(str(tmp_path / "a")) == files(str(tmp_path / "b"))
+
+
 def test_a_changed_byte_is_found(spark, tmp_path):
     root = str(tmp_path / "w")
     out = warc.write_archives(spark, spark.createDataFrame([(1, "u", "<p>one</p>")], PAGES), root)
