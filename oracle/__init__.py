@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from strata.sources.testdata import BINDINGS
 
-from .reads import READS
+from .patterns import PATTERNS
+from .reads import READS as PLAIN_READS
 from .tables import TABLES
 
 # Output columns per table that the contract casts: (integral, non-integral).
@@ -83,6 +84,9 @@ KINDS: dict[str, tuple[str, str]] = {
     "worklist_vendor_renewals": ("days_to_renewal systems_under_vendor", "annual_spend ttm_spend"),
 }
 
+READS = {**PLAIN_READS, **PATTERNS,
+         "quality_month_bucketed": (("fact_quality_month",), "SELECT * FROM fact_quality_month", KINDS["fact_quality_month"])}
+
 
 def _definition(name: str) -> tuple[tuple[str, ...], str]:
     if name in BINDINGS:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scan import ordered
+
 
 def band(value: Column, cuts: list[tuple[float, str]], otherwise: str) -> Column:
     """First label whose upper bound (inclusive) the value does not exceed."""
@@ -41,30 +43,20 @@ def points(parts: list[tuple[Column, Column | int]]) -> Column:
 def rank_within(df: DataFrame, partition: list[str], value: str, name: str, descending: bool = True) -> DataFrame:
     """RANK() OVER (PARTITION BY partition ORDER BY value), NULL values last.
 
-    No task holds a whole partition: rows are first reduced to counts per value
-    (equal values have equal ranks), values are put into bands that keep their
-    order (logarithmic, per sign), each band is ranked by itself, and the rows
-    of earlier bands are added. With an empty ``partition`` the rank is global.
+    Rows are first reduced to counts per value (equal values have equal ranks);
+    the values are then dealt into blocks by ranges of (partition, value) and the
+    rows of earlier values counted by a scan over the blocks, so neither a hot
+    partition nor a global rank lands in one task. Values are only compared, as
+    the engine sorts them: NaN above infinity, -0.0 equal to 0.0. With an empty
+    ``partition`` the rank is global.
     """
-    v = F.col("_v").cast("double")
-    size = F.floor(F.log(F.abs(v)) * 64) + 2048
-    rising = F.when(v > 0, size).when(v < 0, -size).otherwise(0)
-    order = F.when(F.col("_v").isNull(), F.lit(1 << 20)).otherwise(-rising if descending else rising)
-    first = F.col("_v").desc_nulls_last() if descending else F.col("_v").asc_nulls_last()
-    values = df.groupBy(*[F.col(p).alias(f"_{p}") for p in partition], F.col(value).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")).withColumn("_band", order)
     keys = [f"_{p}" for p in partition]
-    bands = values.groupBy(*keys, "_band").agg(F.sum("_n").alias("_m"))
-    before = Window.partitionBy(*keys).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    bands = bands.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0))).select(
-        *[F.col(k).alias(f"{k}_b") for k in keys], F.col("_band").alias("_band_b"), "_before")
-    same = F.col("_band") == F.col("_band_b")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"{k}_b"))
-    inside = Window.partitionBy(*keys, "_band").orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = values.join(bands, same).withColumn(
-        name, (F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0)) + 1).cast("bigint"))
+    values = df.groupBy(*[F.col(p).alias(k) for p, k in zip(partition, keys)], F.col(value).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    first = F.col("_v").desc_nulls_last() if descending else F.col("_v").asc_nulls_last()
+    ranked = ordered(values, keys, [first], "rank").running(_before=("sum_before", "_n")).frame
+    ranked = ranked.select(*keys, "_v", (F.coalesce("_before", F.lit(0)) + 1).cast("bigint").alias(name))
     match = F.col(value).eqNullSafe(F.col("_v"))
-    for p in partition:
-        match = match & F.col(p).eqNullSafe(F.col(f"_{p}"))
-    return df.join(ranked.select(*keys, "_v", name), match).select(*[df[c] for c in df.columns], name)
+    for p, k in zip(partition, keys):
+        match = match & F.col(p).eqNullSafe(F.col(k))
+    return df.join(ranked, match).select(*[df[c] for c in df.columns], name)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..sources import RawTables
-from ..sources.sinks import register_table, stored_table, write_table
+from ..sources.sinks import register_table, stored_table, write_ordered, write_table
 from . import executive, it, operations, revenue
 from .params import DEFAULT_AS_OF, it_spine
 
@@ -94,6 +94,9 @@ LAYOUT = {
     "worklist_vendor_renewals": (None, ("msa_renewal_date",)),
 }
 
+# Tables with ORDER BY: stored as files by ranges of these columns, in their order.
+ORDERED = {"worklist_empi_duplicate_pairs": ("min_confidence", "master_patient_id_a", "master_patient_id_b")}
+
 # Build order: core facts, exec, dims, worklists; IT dims, facts, worklists, exec.
 BUILD_ORDER = (
     "fact_revenue_cycle_month", "fact_workforce_month", "fact_throughput_month", "fact_quality_month",
@@ -142,6 +145,10 @@ class MetricLayer:
 
     def build(self, name: str) -> None:
         """Write one table into the store, replacing it."""
+        if name in ORDERED:
+            write_ordered(self[name], self.path(name), list(ORDERED[name]))
+            self._inputs.pop(name, None)
+            return
         part, cluster = LAYOUT[name] if self.partitioned else (None, ())
         write_table(self[name], self.path(name), partition_by=part, cluster_by=cluster)
         self._inputs.pop(name, None)

@@ -179,7 +179,7 @@ def fact_supply_month(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
             .when(t == "RETURN", -F.col("extended_cost")).otherwise(zero_money()))
     agg = s.groupBy(month_of("transaction_datetime").alias("month"), "facility_id", "item_category").agg(
         F.count(F.lit(1)).alias("txn_count"),
-        F.sum("quantity").alias("total_quantity"),
+        exact_sum("quantity").alias("total_quantity"),
         F.sum(cogs).alias("total_supply_cost"),
         sum_where(t == "WASTE", "extended_cost", zero_money()).alias("waste_cost"),
         sum_where(F.col("is_off_contract") & t.isin("PO_RECEIPT", "ISSUE_TO_CASE"),
@@ -284,9 +284,9 @@ def worklist_los_outliers(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
         F.col("provider_npi").alias("attending_provider_npi"), "department_id")
     dept = raw.departments.select("department_id", "service_line")
     fac = raw.facilities.select("facility_id", "facility_name")
-    attended = active.filter(F.col("attending_provider_npi").isNotNull()).join(pr, "attending_provider_npi", "left")
-    alone = active.filter(F.col("attending_provider_npi").isNull()).withColumn("department_id", F.lit(None).cast("string"))
-    out = (attended.unionByName(alone)
+    # encounters without a provider are many: they match nothing, spread over keys of their own
+    meets = F.coalesce("attending_provider_npi", F.concat(F.lit("\u0000"), "encounter_id"))
+    out = (active.withColumn("_npi", meets).join(pr.withColumnRenamed("attending_provider_npi", "_npi"), "_npi", "left")
            .join(dept, "department_id", "left")
            .join(fac, "facility_id", "left")
            .join(snf, "encounter_id", "left"))

@@ -16,6 +16,7 @@ from ..functions import days_in_month, safe_ratio
 from ..operators.scoring import rank_within
 from . import kpi
 from .layer import IT_TABLES
+from .patterns import PATTERNS
 
 # Fixed value of the A/R proxy.
 AR_DAYS_BASIS = 30.0
@@ -171,5 +172,6 @@ READS = {
     "kpi_trend_latest": kpi_trend_latest,
     "check_it_nonempty": check_it_nonempty,
     "check_exec_it": check_exec_it,
+    **PATTERNS,
 }
 NO_ORACLE: set[str] = set()

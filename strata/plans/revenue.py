@@ -29,11 +29,10 @@ def _underpaid(c) -> "F.Column":
 def fact_revenue_cycle_month(raw: RawTables, as_of=DEFAULT_AS_OF) -> DataFrame:
     """month x payer x contract claim measures, plus month x payer appeal rows (contract NULL)."""
     claims = raw.claims
-    contracts = raw.payer_contracts.select("contract_id", "appeal_window_days")
-    # NULL contracts match nothing and are many: they skip the join
-    named = claims.filter(F.col("contract_id").isNotNull()).join(contracts, "contract_id", "left")
-    unnamed = claims.filter(F.col("contract_id").isNull()).withColumn("appeal_window_days", F.lit(None).cast("int"))
-    c = named.unionByName(unnamed)
+    contracts = raw.payer_contracts.select(F.col("contract_id").alias("_contract"), "appeal_window_days")
+    # claims without a contract are many: they match nothing, spread over keys of their own
+    meets = F.coalesce("contract_id", F.concat(F.lit("\u0000"), "claim_id"))
+    c = claims.withColumn("_contract", meets).join(contracts, "_contract", "left")
     deadline = F.date_add(F.to_date(c["denial_datetime"]), c["appeal_window_days"])
     at_risk = ((c["claim_status"] == "DENIED")
                & (c["appeal_status"].isNull() | (c["appeal_status"] == "NOT_APPEALED"))

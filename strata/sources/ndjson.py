@@ -30,6 +30,12 @@ RAW_SCHEMAS: dict[str, str] = {
                        "expiration_date date, appeal_window_days bigint, timely_filing_days bigint, "
                        "baseline_multiplier double, amendment_history array<string>, "
                        "reimbursement_methodology string",
+    "contract_amendments": "contract_id string, version_no bigint, effective_date date, expiration_date date, "
+                           "baseline_multiplier double",
+    "denial_codex": "codex_id string, payer_id string, denial_code string, typical_root_cause string, "
+                    "confidence string, source string",
+    "tribal_knowledge_notes": "note_id string, topic_tag string, author_name string, confidence string, "
+                              "last_referenced_date date, referenced_codes array<string>",
     "patient_master_index": "master_patient_id string, epic_mrn string, cerner_pid string, meditech_id string, "
                             "legacy_mrn_list array<string>, name_hash string, match_confidence_score double, "
                             "primary_facility_id string",

@@ -11,9 +11,30 @@ statistics prune row groups on the cluster keys.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into the shared folder and read it back: cuts lineage, and every
+    later read sees the same rows in the same blocks."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_materialised(*tables: DataFrame) -> None:
+    """Delete tables made by ``materialise`` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None,
                 cluster_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
@@ -30,6 +51,33 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None,
     writer.parquet(path)
 
 
+def write_ordered(df: DataFrame, path: str, order: list, mode: str = "overwrite") -> None:
+    """CTAS with ORDER BY: files by ranges of ``order``, sorted inside, named in their order.
+
+    Read in the order of their names (``ordered_files``) the files give the rows in
+    order. A hash of the row ends the order, so rows equal in it still spread.
+    """
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    out = df.withColumn("_row", F.xxhash64(*df.columns))
+    out = out.repartitionByRange(*keys, F.col("_row")).sortWithinPartitions(*keys, F.col("_row"))
+    out.drop("_row").write.mode(mode).parquet(path)
+
+
+def ordered_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of an ordered table in the order of its rows."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [x.getPath().toString() for x in listed if x.getPath().getName().startswith("part-")]
+    return sorted(names, key=lambda n: n.rsplit("/", 1)[1])
+
+
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+    """Landing by buckets of ``keys``, sorted inside: joins and aggregations on the keys of
+    tables with the same buckets need no shuffle. ``table`` is ``namespace.table``."""
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+
+
 def register_table(spark: SparkSession, namespace: str, name: str, path: str) -> None:
     """CREATE DATABASE / CREATE OR REPLACE of an external table over a written folder."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")

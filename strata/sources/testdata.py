@@ -68,12 +68,41 @@ select concat('Y', cast(s_suppkey as string), '-{f}') contract_id,
        cast(30 + 15 * (s_suppkey % 4) as int) appeal_window_days,
        cast(60 + 30 * (s_suppkey % 3) as int) timely_filing_days
 from supplier""" for f in ("A", "N", "R")),
+    # The version chain of each contract: three amendments, some open-ended, with overlaps and gaps.
+    "contract_amendments": " union all ".join(
+        f"""
+select concat('Y', cast(s_suppkey as string), '-{f}') contract_id, {k} version_no,
+       date '1995-03-01' + cast({700 * k} + (s_suppkey * 13) % 90 as int) effective_date,
+       case when (s_suppkey + {k}) % 11 = 0 then null
+            else date '1995-03-01' + cast({700 * k + 500} + (s_suppkey * 13) % 90 + (s_suppkey * {k + 3}) % 400 as int)
+            end expiration_date,
+       1.0e0 + cast((s_suppkey + {k}) % 10 as double) / 16 baseline_multiplier
+from supplier""" for f in ("A", "N", "R") for k in range(3)),
+    # Lists are comma-joined here, arrays in the raw layer.
+    "denial_codex": """
+select concat('X', cast(p_partkey as string)) codex_id,
+       case when p_partkey % 4 <> 0 then concat('Y', cast(p_partkey % 100 as string)) end payer_id,
+       concat('CO-', cast(p_partkey % 41 as string)) denial_code,
+       case p_partkey % 3 when 0 then 'HIGH' when 1 then 'MEDIUM' else 'STALE' end confidence
+from part""",
+    "tribal_knowledge_notes": """
+select concat('T', cast(o_orderkey as string)) note_id,
+       case o_orderkey % 4 when 0 then 'HIGH' when 1 then 'MEDIUM' when 2 then 'STALE' end confidence,
+       case when o_orderkey % 53 = 0 then null else cast(o_orderdate as date) end last_referenced_date,
+       case when o_orderkey % 59 = 0 then null
+            else concat('CO-', cast(o_orderkey % 37 as string), ',CO-', cast(o_custkey % 23 as string)) end referenced_codes
+from orders""",
     "patient_master_index": """
 select concat('M', cast(c_custkey as string)) master_patient_id,
        md5(cast(cast(floor(c_custkey / 8) as bigint) as string)) name_hash,
        case when c_custkey % 23 = 0 then null
             else 0.5e0 + cast(c_custkey % 32 as double) / 64 end match_confidence_score,
-       concat('F', cast(c_nationkey as string)) primary_facility_id
+       concat('F', cast(c_nationkey as string)) primary_facility_id,
+       case when c_custkey % 4 <> 0 then concat('E', cast(cast(floor(c_custkey / 3) as bigint) as string)) end epic_mrn,
+       case when c_custkey % 3 = 1 then concat('C', cast(cast(floor(c_custkey / 7) as bigint) as string)) end cerner_pid,
+       case when c_custkey % 10 = 0 then concat('I', cast(cast(floor(c_custkey / 42) as bigint) as string)) end meditech_id,
+       case when c_custkey % 5 = 2 then concat('L', cast(cast(floor(c_custkey / 14) as bigint) as string),
+                                               ',X', cast(c_custkey as string)) end legacy_mrn_list
 from customer""",
     "encounters": """
 select concat('E', cast(o_orderkey as string)) encounter_id,
@@ -131,7 +160,8 @@ select concat('E', cast(l_orderkey as string)) encounter_id,
        cast(cast(l_shipdate as date) as timestamp) charge_datetime,
        concat('CPT', cast(l_linenumber as string)) cpt_code,
        cast(l_quantity as decimal(18,2)) billed_amount,
-       case when l_returnflag = 'N' then 'VOIDED' else 'POSTED' end status
+       case when l_returnflag = 'N' then 'VOIDED' else 'POSTED' end status,
+       concat('H', cast(l_orderkey as string), '-', cast(l_linenumber as string), '-', cast(l_partkey as string)) charge_id
 from lineitem""",
     "supply_chain_transactions": """
 select concat('F', cast(l_suppkey % 25 as string)) facility_id,
@@ -268,7 +298,11 @@ from orders""",
     "orders_raw": """
 select concat('E', cast(l_orderkey as string)) encounter_id, l_shipdate order_datetime,
        case l_linenumber % 4 when 0 then 'IMAGING' when 1 then 'LAB' when 2 then 'IV_ADMIN'
-            else 'PROCEDURE' end order_type
+            else 'PROCEDURE' end order_type,
+       concat('O', cast(l_orderkey as string), '-', cast(l_linenumber as string), '-', cast(l_partkey as string)) order_id,
+       case when l_linenumber % 6 = 5 then 'CANCELLED' else 'COMPLETED' end status,
+       case when l_linenumber % 6 <> 5
+            then cast(cast(l_shipdate as date) - cast(l_partkey % 9 as int) as timestamp) end completion_datetime
 from lineitem""",
     "quality_safety_events": """
 select concat('F', cast(l_suppkey % 25 as string)) facility_id, l_shipdate event_datetime,
