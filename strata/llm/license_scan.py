@@ -6,11 +6,12 @@ is searched in the words joined by single spaces: it is cut into one piece
 more than the errors allowed (one for every ``PER_ERROR`` characters), so a
 place with that few errors holds one piece unchanged; an automaton of all
 pieces finds those, and the regex library's bounded-error matching verifies
-the joined places and reports the span and the errors.
+the joined places and reports the span and the errors. Matches of one notice do
+not overlap; what is left of a place on both sides of a match is searched on.
 
 A label's similarity is 1 minus errors over the notice's length, 1 for a base
 phrase; the score is the best of them, 0 without a label. Of equally good
-matches of a notice the first counts. Null and empty texts have no words. Rows
+matches of a notice in one place the first is taken first. Null and empty texts have no words. Rows
 are independent, so repeated rows and ties need no care. Extra columns are not
 read.
 """
@@ -70,7 +71,8 @@ class Notices:
         self.automaton.make_automaton()
 
     def search(self, joined: str, bounds: list[int]):
-        """(text, notice, first, end, errors) of the best match in each joined place."""
+        """(text, notice, first, end, errors) of the matches in each joined place: the first exact
+        or else the best one, then those in what is left of the place before and after it."""
         places: dict[tuple[int, int], list[list[int]]] = {}
         text = 0
         for end, (size, where) in self.automaton.iter(joined):
@@ -88,12 +90,20 @@ class Notices:
                 else:
                     own.append([lo, hi])
         for (text, n), spans in places.items():
-            exact = self.notices[n][0]
-            for lo, hi in spans:
+            exact, _, budget = self.notices[n]
+            left = list(spans)
+            while left:
+                lo, hi = left.pop()
+                if hi - lo < len(exact) - budget:
+                    continue
                 if (at := joined.find(exact, lo, hi)) >= 0:
-                    yield text, n, at, at + len(exact), 0
+                    first, end, errors = at, at + len(exact), 0
                 elif m := self.patterns[n].search(joined, lo, hi):
-                    yield text, n, m.start(), m.end(), sum(m.fuzzy_counts)
+                    first, end, errors = m.start(), m.end(), sum(m.fuzzy_counts)
+                else:
+                    continue
+                yield text, n, first, end, errors
+                left += [[lo, first], [end, hi]]
 
 
 def base_places(words: Words, phrase: str) -> np.ndarray:

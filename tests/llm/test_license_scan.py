@@ -58,3 +58,13 @@ def test_spans_are_bytes_of_the_text(spark):
     row = ls.scan_licenses(spark, spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
     m = row["matches"][0]
     assert text.encode()[m["first_byte"]:m["end_byte"]] == b"released into the public domain" and m["errors"] == 0
+
+
+def test_equal_notices_side_by_side_all_come_back(spark):
+    notice = "released into the public domain"
+    near = "released into teh public domain"
+    text = f"{notice} {notice}. {near}, {notice}; {near} {near} and more"
+    row = ls.scan_licenses(spark, spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    found = [(text[m["first_byte"]:m["end_byte"]], m["errors"]) for m in row["matches"] if m["label"] == "public-domain"]
+    assert [t for t, _ in found] == [notice, notice, near, notice, near, near]
+    assert [e for _, e in found] == [0, 0, 2, 0, 2, 2] and row["labels"] == "public-domain" and row["score"] == 1.0
