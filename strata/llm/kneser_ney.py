@@ -1,22 +1,28 @@
 """Interpolated modified Kneser-Ney language model and text scores.
 
-A bigram model over whole words (one end token a text, a start context).
-Counting runs in Spark tasks on 64-bit word hashes:
-
-1. Tasks aggregate the bigrams of a few million tokens at a time and send
-   them by shard. A bigram's shard follows from its context; the bigrams of a
-   very frequent context (at least 1/2000 of all tokens, so 2000 at most) are
-   spread over all shards by their own hash.
-2. A shard adds up its bigrams, writes them as a sorted hash array with counts
-   into the shared folder, and sends for each word what it knows of it: its
-   count, its number of different predecessors, and as a context its total and
-   the followers seen once, twice, and more often.
-3. Word shards add these up and write sorted hash arrays too.
+An n-gram model over whole words (one end token a text, start symbols before
+it); ``order`` is n, two or more. Counting runs in Spark tasks on 64-bit word
+hashes (equal hashes count as equal words):
+
+1. Tasks aggregate the n-grams of a few million tokens at a time and send them
+   by shard. An n-gram's shard follows from its context, the words before its
+   last one; n-grams of a very frequent context (at least 1/4000 of all tokens,
+   so 4000 of each length at most) are spread over all shards by their own hash.
+2. A shard, one task each, adds up its n-grams, writes them as a sorted hash
+   array with counts into the shared folder, and so the sums of its contexts:
+   total, followers seen once, twice, and more often (of a frequent context the
+   parts are added up one step later). For the next shorter n-grams it sends how
+   many n-grams it has that end in them; these are their counts, and the step is
+   repeated down to single words. Counts of words go along.
+3. The last step writes sorted arrays of the words.
 
 Scoring tasks memory-map the arrays and look up sorted batches of hashes, so
 each array is read from front to back. Nothing but totals reaches the driver,
-and memory holds one batch or one shard. Files are written under another name
-and renamed, with the same content whenever a task is repeated.
+and memory holds one batch or one shard. A batch of ``SCORED`` tokens opens each
+shard's files once, so tokens / SCORED x shards file searches are made: raise
+both ``SHARD_BYTES`` and ``SCORED`` with the corpus and the executors' memory.
+Files are written under another name and renamed, with the same content whenever
+a task is repeated.
 
 Null and empty texts are one end token. A null doc_id has the checksum of the
 empty text (held out). Every row is scored and counted for itself, repeated
@@ -28,7 +34,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +44,7 @@ from pyspark.sql import functions as F
 from .common import released, shared_folder, ship, table, text_slices
 from .textcore import U, VISIBLE, Words, mix
 
+ORDER = 2
 START, END = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
 #: Tokens aggregated, and tokens scored, at once.
 CHUNK, SCORED = 2_500_000, 1_000_000
@@ -71,12 +78,15 @@ def tokens(batches, column: int, chunk: int):
             yield batch, first, batch.num_rows, np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
 
 
-def contexts(h: np.ndarray, text: np.ndarray) -> np.ndarray:
-    before = np.empty_like(h)
-    if len(h):
-        before[0] = START
-        before[1:] = np.where(text[1:] == text[:-1], h[:-1], START)
-    return before
+def contexts(h: np.ndarray, text: np.ndarray, words: int) -> list[np.ndarray]:
+    """Hashes of the contexts of 0 to ``words`` words before each token; start symbols before a text."""
+    out = [np.zeros(len(h), dtype=U)]
+    for k in range(1, words + 1):
+        before = np.full(len(h), START, dtype=U)
+        inside = np.flatnonzero(text[k:] == text[:-k]) if len(h) > k else np.zeros(0, dtype=np.int64)
+        before[inside + k] = h[inside]
+        out.append(mix(out[-1] * _C + before))
+    return out
 
 
 def gram(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -84,7 +94,7 @@ def gram(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def sharded_by(context: np.ndarray, key: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """What decides a bigram's shard: its context, or itself if that is frequent."""
+    """What decides an n-gram's shard: its context, or itself if that is frequent."""
     return np.where(np.isin(context, frequent), key, context)
 
 
@@ -92,142 +102,224 @@ def shard_of(by: np.ndarray, shards: int) -> np.ndarray:
     return ((by >> U(32)) * U(shards) >> U(32)).astype(np.int64)
 
 
-def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys in order and the sums of each value."""
-    order = np.argsort(keys)
+def small(values: np.ndarray) -> np.ndarray:
+    """The same numbers with as few bytes as the largest needs."""
+    top = int(values.max(initial=0))
+    return values.astype(next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(k).max))
+
+
+def packed(values: np.ndarray) -> bytes:
+    values = small(values)
+    return bytes([values.dtype.itemsize]) + np.ascontiguousarray(values).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.dtype(f"u{data[0]}"), offset=1).astype(np.int64)
+
+
+def _merged(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, the place of the first row of each, and the sums of each value."""
+    order = np.argsort(keys, kind="stable")
     keys = keys[order]
     if not len(keys):
-        return keys, *values
+        return keys, order, *values
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[first], *(np.add.reduceat(v[order], first) for v in values)
+    return keys[first], order[first], *(np.add.reduceat(v[order], first) for v in values)
 
 
-@released
-def _frequent_words(batches):
-    for _, _, _, h, text in tokens(batches, 0, CHUNK):
-        c = contexts(h, text)
-        word, n = np.unique(c, return_counts=True)
-        big = n * FREQUENT >= len(c)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(word[big].view(np.int64), 0)), pa.array(np.append(n[big], 0)),
-             pa.array(np.append(np.zeros(int(big.sum()), dtype=np.int64), len(c)))], names=["word", "n", "tokens"])
+def _often(lists: dict[int, list[int]], words: int) -> np.ndarray:
+    """The frequent contexts of so many words."""
+    return np.array(lists.get(words, []), dtype=np.int64).view(U)
 
 
-BLOB = "shard int, context binary, followers binary, word binary, n binary"
+def _frequent_contexts(order: int):
+    @released
+    def run(batches):
+        for _, _, _, h, text in tokens(batches, 0, CHUNK):
+            rows = [(0, 0, 0, len(h))]
+            for words, c in enumerate(contexts(h, text, order - 1)):
+                if words:
+                    own, n = np.unique(c, return_counts=True)
+                    big = n * FREQUENT >= len(c)
+                    rows += [(words, w, k, 0) for w, k in zip(own[big].view(np.int64).tolist(), n[big].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)],
+                                             names=["words", "context", "n", "tokens"])
+    return run
 
 
-def _bigrams(shards: int, frequent: list[int]):
+#: What is sent to a shard. ``length`` of n-grams: their contexts, followers of each, the shorter
+#: contexts of each, words and counts. COUNTED: words and their counts. SUMS: contexts of ``length``
+#: words and their four sums. TALLY: counts of counts of a step.
+SENT = "shard int, kind int, length int, context binary, followers binary, lower binary, word binary, n binary"
+_SENT = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("length", pa.int32()),
+                   *((x, pa.binary()) for x in ("context", "followers", "lower", "word", "n"))])
+GRAMS, COUNTED, SUMS, TALLY = range(4)
+
+
+def _sent_grams(length: int, shards: int, often: np.ndarray, context: np.ndarray, lower: np.ndarray, word: np.ndarray,
+                n: np.ndarray) -> list[tuple]:
+    """Rows of distinct n-grams, one a shard. ``lower`` has a column for each shorter context."""
+    shard = shard_of(sharded_by(context, gram(context, word), often), shards)
+    order = np.lexsort((context, shard))
+    shard, context, lower, word, n = shard[order], context[order], lower[order], word[order], n[order]
+    at = np.searchsorted(shard, np.arange(shards + 1))
+    rows = []
+    for i in np.flatnonzero(at[1:] > at[:-1]):
+        a, b = at[i], at[i + 1]
+        own = context[a:b]
+        head = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        rows.append((int(i), GRAMS, length, own[head].tobytes(), packed(np.diff(np.append(head, b - a))),
+                     lower[a:b][head].tobytes(), word[a:b].tobytes(), packed(n[a:b])))
+    return rows
+
+
+def _sent_words(shards: int, word: np.ndarray, n: np.ndarray) -> list[tuple]:
+    order = np.argsort(word)
+    word, n = word[order], n[order]
+    at = np.searchsorted(shard_of(word, shards), np.arange(shards + 1))
+    return [(int(i), COUNTED, 1, None, None, None, word[at[i]:at[i + 1]].tobytes(), packed(n[at[i]:at[i + 1]]))
+            for i in np.flatnonzero(at[1:] > at[:-1])]
+
+
+def _first_grams(order: int, shards: int, often: dict[int, list[int]]):
     @released
     def run(batches):
-        often = np.array(frequent, dtype=np.int64).view(U)
         for _, _, _, h, text in tokens(batches, 0, CHUNK):
-            c = contexts(h, text)
-            key = gram(c, h)
-            order = np.argsort(key)
-            key = key[order]
-            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            n = np.diff(np.append(first, len(key))).astype(np.uint32)
-            key, c, h = key[first], c[order[first]], h[order[first]]
-            by = sharded_by(c, key, often)
-            order = np.argsort(by)
-            by, c, h, n = by[order], c[order], h[order], n[order]
-            at = np.searchsorted(shard_of(by, shards), np.arange(shards + 1))
-            rows = []
-            for i in np.flatnonzero(at[1:] > at[:-1]):
-                a, b = at[i], at[i + 1]
-                inner = np.argsort(c[a:b])
-                own = c[a:b][inner]
-                head = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-                run_length = np.diff(np.append(head, b - a)).astype(np.uint32)
-                rows.append((int(i), own[head].tobytes(), run_length.tobytes(), h[a:b][inner].tobytes(),
-                             n[a:b][inner].tobytes()))
+            c = contexts(h, text, order - 1)
+            _, first, n = _merged(gram(c[-1], h), np.ones(len(h), dtype=np.int64))
+            lower = np.stack([x[first] for x in c[order - 2:0:-1]], axis=1) if order > 2 else np.zeros((len(first), 0), dtype=U)
+            rows = _sent_grams(order, shards, _often(often, order - 1), c[-1][first], lower, h[first], n)
             if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4), strict=True)],
-                    names=["shard", "context", "followers", "word", "n"])
+                yield _batch(rows)
     return run
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _SENT, strict=True)], schema=_SENT)
+
+
 def _write(folder: str, name: str, values: np.ndarray) -> None:
-    at = os.path.join(folder, name)
+    at = os.path.join(folder, name + ".npy")
     new = f"{at}.{uuid.uuid4().hex}"
     with open(new, "wb") as f:
-        f.write(values.tobytes())
+        np.save(f, np.ascontiguousarray(values))
     os.replace(new, at)
 
 
-def _map(folder: str, name: str, kind) -> np.ndarray:
-    at = os.path.join(folder, name)
-    return np.memmap(at, dtype=kind, mode="r") if os.path.getsize(at) else np.zeros(0, dtype=kind)
-
-
-PART = "shard int, word binary, sums binary"
-_PART = pa.schema([("shard", pa.int32()), ("word", pa.binary()), ("sums", pa.binary())])
-#: Sums of a word: count, predecessors; as a context total, followers seen once, twice, more often.
-COUNT, BEFORE, TOTAL, ONE, TWO, MORE = range(6)
+def _map(folder: str, name: str) -> np.ndarray | None:
+    at = os.path.join(folder, name + ".npy")
+    return np.load(at, mmap_mode="r") if os.path.exists(at) else None
+
+
+def _counts_of_counts(n: np.ndarray) -> np.ndarray:
+    """Types with one, two, three, four, and more; types; their sum."""
+    return np.concatenate((np.bincount(np.minimum(n, 5), minlength=6)[1:6], [int((n > 0).sum()), int(n.sum())]))
+
+
+class _Step:
+    """What a shard does with what it was sent: the n-grams of one length, or single words at last."""
+
+    def __init__(self, folder: str, length: int, order: int, shards: int, often: dict[int, list[int]]):
+        self.folder, self.length, self.order, self.shards, self.often = folder, length, order, shards, often
+
+    def frequent_sums(self, group: pa.Table, shard: int) -> None:
+        """Add up the parts of the frequent contexts of the step before."""
+        parts = [(np.frombuffer(c, U), np.frombuffer(n, np.int64).reshape(4, -1)) for k, c, n in
+                 zip(*(group.column(x).to_pylist() for x in ("kind", "context", "n"))) if k == SUMS]
+        if parts:
+            own, _, *sums = _merged(np.concatenate([c for c, _ in parts]), *np.concatenate([n for _, n in parts], axis=1))
+            _write_sums(self.folder, f"often-{self.length + 1}-{shard}", own, sums)
+
+    def grams(self, group: pa.Table, shard: int) -> list[tuple]:
+        width = max(self.length - 2, 0)
+        ctx, lower, word, n = [], [], [], []
+        for kind, c, f, low, w, k in zip(*(group.column(x).to_pylist() for x in
+                                           ("kind", "context", "followers", "lower", "word", "n")), strict=True):
+            if kind == GRAMS:
+                times = unpacked(f)
+                ctx.append(np.repeat(np.frombuffer(c, U), times))
+                lower.append(np.repeat(np.frombuffer(low, U).reshape(len(times), width), times, axis=0))
+                word.append(np.frombuffer(w, U))
+                n.append(unpacked(k))
+        if not ctx:
+            return []
+        ctx, lower, word, n = (np.concatenate(x) for x in (ctx, lower, word, n))
+        key, first, n = _merged(gram(ctx, word), n)
+        ctx, lower, word = ctx[first], lower[first], word[first]
+        name = f"{self.length}-{shard}"
+        _write(self.folder, f"gram-{name}", key)
+        _write(self.folder, f"count-{name}", np.minimum(n, 255).astype(np.uint8))
+        big = n >= 255
+        _write(self.folder, f"big-{name}", key[big])
+        _write(self.folder, f"bigcount-{name}", n[big])
+        rows = [(shard, TALLY, self.length, None, None, None, None, _counts_of_counts(n).tobytes())]
+        own, _, *sums = _merged(ctx, n, *((x).astype(np.int64) for x in (n == 1, n == 2, n > 2)))
+        part = np.isin(own, _often(self.often, self.length - 1))
+        _write_sums(self.folder, f"context-{name}", own[~part], [x[~part] for x in sums])
+        if part.any():
+            to = shard_of(own[part], self.shards)
+            for i in np.unique(to):
+                rows.append((int(i), SUMS, self.length - 1, own[part][to == i].tobytes(), None, None, None,
+                             np.stack([x[part][to == i] for x in sums]).astype(np.int64).tobytes()))
+        # n-grams that end in each shorter one
+        if self.length > 2:
+            short, at, types = _merged(gram(lower[:, 0], word), np.ones(len(word), dtype=np.int64))
+            rows += _sent_grams(self.length - 1, self.shards, _often(self.often, self.length - 2), lower[at, 0], lower[at, 1:],
+                                word[at], types)
+        else:
+            own, _, types = _merged(word, np.ones(len(word), dtype=np.int64))
+            at = np.searchsorted(shard_of(own, self.shards), np.arange(self.shards + 1))
+            rows += [(int(i), GRAMS, 1, None, None, None, own[at[i]:at[i + 1]].tobytes(), packed(types[at[i]:at[i + 1]]))
+                     for i in np.flatnonzero(at[1:] > at[:-1])]
+        if self.length == self.order:
+            own, _, times = _merged(word, n)
+            rows += _sent_words(self.shards, own, times)
+        return rows
+
+    def __call__(self, group: pa.Table) -> pa.Table:
+        shard = group.column("shard")[0].as_py()
+        self.frequent_sums(group, shard)
+        rows = self.grams(group, shard)
+        kinds = group.column("kind").to_pylist()
+        onward = [tuple(group.column(x)[i].as_py() for x in _SENT.names) for i, k in enumerate(kinds) if k in (COUNTED, TALLY)]
+        return pa.Table.from_batches([_batch(rows + onward)] if rows or onward else [], schema=_SENT)
 
 
-def _bigram_shard(folder: str, shards: int):
-    @released
-    def run(group: pa.Table) -> pa.Table:
-        shard = group.column("shard")[0].as_py()
-        ctx, word, n = [], [], []
-        for c, f, w, k in zip(*(group.column(x).to_pylist() for x in ("context", "followers", "word", "n")), strict=True):
-            ctx.append(np.repeat(np.frombuffer(c, U), np.frombuffer(f, np.uint32)))
-            word.append(np.frombuffer(w, U))
-            n.append(np.frombuffer(k, np.uint32))
-        ctx, word, n = np.concatenate(ctx), np.concatenate(word), np.concatenate(n).astype(np.int64)
-        key = gram(ctx, word)
-        order = np.argsort(key)
-        key, ctx, word, n = key[order], ctx[order], word[order], n[order]
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        key, ctx, word, n = key[first], ctx[first], word[first], np.add.reduceat(n, first)
-        _write(folder, f"gram-{shard}", key)
-        _write(folder, f"count-{shard}", np.minimum(n, 255).astype(np.uint8))
-        big = n >= 255
-        _write(folder, f"big-{shard}", key[big])
-        _write(folder, f"bigcount-{shard}", n[big])
-        w, count, before = _sums(word, n, np.ones(len(n), dtype=np.int64))
-        c, total, one, two, more = _sums(ctx, n, (n == 1).astype(np.int64), (n == 2).astype(np.int64),
-                                         (n > 2).astype(np.int64))
-        both = np.union1d(w, c)
-        sums = np.zeros((len(both), 6), dtype=np.uint32)
-        at = np.searchsorted(both, w)
-        sums[at, COUNT], sums[at, BEFORE] = np.minimum(count, 2 ** 32 - 1), before
-        at = np.searchsorted(both, c)
-        sums[at, TOTAL], sums[at, ONE], sums[at, TWO], sums[at, MORE] = np.minimum(total, 2 ** 32 - 1), one, two, more
-        cut = np.searchsorted(shard_of(both, shards), np.arange(shards + 1))
-        rows = [(int(i), both[cut[i]:cut[i + 1]].tobytes(), np.ascontiguousarray(sums[cut[i]:cut[i + 1]].T).tobytes())
-                for i in np.flatnonzero(cut[1:] > cut[:-1])]
-        rows.append((-1, b"", np.bincount(np.minimum(n, 5), minlength=6)[1:5].astype(np.int64).tobytes()))
-        return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows), _PART, strict=True)], schema=_PART)
-    return run
+def _write_sums(folder: str, name: str, context: np.ndarray, sums: list[np.ndarray]) -> None:
+    order = np.argsort(context)
+    _write(folder, name, context[order])
+    for part, values in zip(("total", "one", "two", "more"), sums, strict=True):
+        _write(folder, f"{name}-{part}", small(values[order]))
 
 
-TALLY = "words boolean, n1 long, n2 long, n3 long, n4 long, more long, types long, total long, grams long"
+TALLIES = "length int, n1 long, n2 long, n3 long, n4 long, more long, types long, total long"
 
 
-def _word_shard(folder: str):
-    schema = pa.schema([("words", pa.bool_()), *((x, pa.int64()) for x in
-                                                 ("n1", "n2", "n3", "n4", "more", "types", "total", "grams"))])
+class _Words(_Step):
+    """The last step: the words of a shard, and all tallies."""
 
-    @released
-    def run(group: pa.Table) -> pa.Table:
+    def __call__(self, group: pa.Table) -> pa.Table:
         shard = group.column("shard")[0].as_py()
-        if shard < 0:
-            k = sum(np.frombuffer(x, np.int64) for x in group.column("sums").to_pylist())
-            return pa.table([[False], [k[0]], [k[1]], [k[2]], [k[3]], [0], [0], [0], [0]], schema=schema)
-        words = [np.frombuffer(x, U) for x in group.column("word").to_pylist()]
-        sums = [np.frombuffer(x, np.uint32).reshape(6, -1) for x in group.column("sums").to_pylist()]
-        joined = np.concatenate(sums, axis=1).astype(np.int64)
-        word, *rows = _sums(np.concatenate(words), *joined)
-        _write(folder, f"word-{shard}", word)
-        _write(folder, f"sums-{shard}", np.stack(rows, axis=1))
-        before = rows[BEFORE]
-        k = np.bincount(np.minimum(before, 5), minlength=6)
-        return pa.table([[True], [int(k[1])], [int(k[2])], [int(k[3])], [int(k[4])], [int(k[5])],
-                         [int((before > 0).sum())], [int(rows[COUNT].sum())], [int(before.sum())]], schema=schema)
-    return run
+        self.frequent_sums(group, shard)
+        words, count, before, tallies = [], [], [], []
+        for kind, length, w, n in zip(*(group.column(x).to_pylist() for x in ("kind", "length", "word", "n")), strict=True):
+            if kind == TALLY:
+                tallies.append((length, *np.frombuffer(n, np.int64).tolist()))
+            elif kind in (GRAMS, COUNTED):
+                words.append(np.frombuffer(w, U))
+                times = unpacked(n)
+                count.append(times if kind == COUNTED else np.zeros(len(times), dtype=np.int64))
+                before.append(times if kind == GRAMS else np.zeros(len(times), dtype=np.int64))
+        if words:
+            word, _, count, before = _merged(np.concatenate(words), np.concatenate(count), np.concatenate(before))
+            _write(self.folder, f"word-{shard}", word)
+            _write(self.folder, f"times-{shard}", small(count))
+            _write(self.folder, f"before-{shard}", small(before))
+            tallies.append((1, *_counts_of_counts(before).tolist()))
+            tallies.append((0, 0, 0, 0, 0, 0, int((count > 0).sum()), int(count.sum())))
+        columns = list(zip(*tallies)) or [()] * 8
+        names = [x.split()[0] for x in TALLIES.split(", ")]
+        return pa.table([pa.array(columns[0], pa.int32()), *(pa.array(x, pa.int64()) for x in columns[1:])], names=names)
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -237,105 +329,134 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(min(max(x, 0.01), i + 0.99) for i, x in enumerate(d))
 
 
+def less(n: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
+    """Counts less their discounts."""
+    return np.maximum(n - np.array([0.0, *d])[np.minimum(n, 3)], 0)
+
+
 @dataclass
 class Model:
     folder: str
+    order: int
     shards: int
-    frequent: list[int]
+    often: dict[int, list[int]]
     total: int
     types: int
-    grams: int
-    high: tuple[float, float, float]
-    low: tuple[float, float, float]
-    low_rest: float
+    #: number of different pairs, discounts of each length, and what they take from single words
+    pairs: int
+    taken: dict[int, tuple[float, float, float]] = field(default_factory=dict)
+    rest: float = 0.0
 
-    def lookup(self, shard: np.ndarray, key: np.ndarray, name: str, value):
-        """For each shard with keys: (places of its keys in sorted order, found, value rows)."""
+    def lookup(self, shard: np.ndarray, key: np.ndarray, name: str):
+        """For each shard with keys: its number, their places in its sorted array, and the rows found there."""
         order = np.argsort(key)
         order = order[np.argsort(shard[order].astype(np.uint16 if self.shards < 65536 else np.int64), kind="stable")]
         at = np.searchsorted(shard[order], np.arange(self.shards + 1))
         for s in np.flatnonzero(at[1:] > at[:-1]):
             own = order[at[s]:at[s + 1]]
-            if not os.path.exists(os.path.join(self.folder, f"{name}-{s}")):
-                continue
-            have = _map(self.folder, f"{name}-{s}", U)
-            if not len(have):
+            have = _map(self.folder, f"{name}-{s}")
+            if have is None or not len(have):
                 continue
             place = np.searchsorted(have, key[own])
             place[place == len(have)] = 0
             found = have[place] == key[own]
-            yield own[found], value(s, place[found], key[own[found]])
-
-    def words(self, h: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(h), 6), dtype=np.int64)
-        for rows, got in self.lookup(shard_of(h, self.shards), h, "word", lambda s, p, _: _map(
-                self.folder, f"sums-{s}", np.int64).reshape(-1, 6)[p]):
-            out[rows] = got
+            yield s, place[found], own[found]
+
+    def values(self, name: str, s: int, part: str, place: np.ndarray) -> np.ndarray:
+        return _map(self.folder, f"{name}-{s}{part}")[place].astype(np.int64)
+
+    def words(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(count, different words before) of each word."""
+        count, before = np.zeros(len(h), dtype=np.int64), np.zeros(len(h), dtype=np.int64)
+        for s, place, rows in self.lookup(shard_of(h, self.shards), h, "word"):
+            count[rows], before[rows] = self.values("times", s, "", place), self.values("before", s, "", place)
+        return count, before
+
+    def sums(self, length: int, context: np.ndarray) -> np.ndarray:
+        """Total, followers once, twice, more of each context of n-grams of a length."""
+        out = np.zeros((len(context), 4), dtype=np.int64)
+        often = np.isin(context, _often(self.often, length - 1))
+        for name, here in ((f"context-{length}", ~often), (f"often-{length}", often)):
+            own = np.flatnonzero(here)
+            for s, place, rows in self.lookup(shard_of(context[own], self.shards), context[own], name):
+                for i, part in enumerate(("-total", "-one", "-two", "-more")):
+                    out[own[rows], i] = self.values(name, s, part, place)
         return out
 
-    def bigrams(self, context: np.ndarray, word: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    def counts(self, length: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         key = gram(context, word)
         out = np.zeros(len(key), dtype=np.int64)
-
-        def value(s, place, keys):
-            n = _map(self.folder, f"count-{s}", np.uint8)[place].astype(np.int64)
+        by = sharded_by(context, key, _often(self.often, length - 1))
+        for s, place, rows in self.lookup(shard_of(by, self.shards), key, f"gram-{length}"):
+            n = self.values(f"count-{length}", s, "", place)
             if len(full := np.flatnonzero(n == 255)):
-                big = _map(self.folder, f"big-{s}", U)
-                n[full] = _map(self.folder, f"bigcount-{s}", np.int64)[np.searchsorted(big, keys[full])]
-            return n
-        for rows, got in self.lookup(shard_of(sharded_by(context, key, frequent), self.shards), key, "gram", value):
-            out[rows] = got
+                big = _map(self.folder, f"big-{length}-{s}")
+                n[full] = _map(self.folder, f"bigcount-{length}-{s}")[np.searchsorted(big, key[rows[full]])]
+            out[rows] = n
         return out
 
     def score(self, h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(count in training, log10 probability) of each token."""
-        frequent = np.array(self.frequent, dtype=np.int64).view(U)
-        c = contexts(h, text)
         known, back = np.unique(h, return_inverse=True)
-        stats = self.words(np.append(known, START))
-        before = np.full(len(h), len(known))
-        before[1:] = np.where(text[1:] == text[:-1], back[:-1], len(known))
-
-        def less(n, d):
-            return np.maximum(n - np.array([0.0, *d])[np.minimum(n, 3)], 0)
+        count, before = self.words(known)
         uniform = 1 / (self.types + 1)
-        if self.grams:
-            p = less(stats[:, BEFORE], self.low) / self.grams + self.low_rest / self.grams * uniform
+        if self.pairs:
+            p = less(before, self.taken[1]) / self.pairs + self.rest / self.pairs * uniform
         else:
-            p = np.full(len(stats), uniform)
+            p = np.full(len(known), uniform)
         p = p[back]
-        rest = stats[:, ONE:MORE + 1] @ np.array(self.high)
-        total = stats[before, TOTAL]
-        seen = total > 0
-        if seen.any():
-            n = self.bigrams(c[seen], h[seen], frequent)
-            p[seen] = (less(n, self.high) + rest[before[seen]] * p[seen]) / total[seen]
-        return stats[back, COUNT], np.log10(p)
-
-
-def train(spark: SparkSession, texts: DataFrame) -> Model:
-    """Count the one text column of ``texts`` and store the model."""
+        for length, c in enumerate(contexts(h, text, self.order - 1)[1:], 2):
+            own, at = np.unique(c, return_inverse=True)
+            sums = self.sums(length, own)
+            seen = sums[at, 0] > 0
+            if seen.any():
+                taken = self.taken[length]
+                rest = sums[:, 1:] @ np.array(taken)
+                n = self.counts(length, c[seen], h[seen])
+                p[seen] = (less(n, taken) + rest[at[seen]] * p[seen]) / sums[at[seen], 0]
+        return count[back], np.log10(p)
+
+
+def train(spark: SparkSession, texts: DataFrame, order: int) -> Model:
+    """Count the one text column of ``texts`` and store the model of n-grams of ``order`` words."""
+    if order < 2:
+        raise ValueError("the order is two or more")
     ship(spark)
     folder = shared_folder(spark, "kneser-ney")
     size = texts.agg(F.sum(F.octet_length(texts.columns[0]))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    common = texts.mapInArrow(_frequent_words, "word long, n long, tokens long").groupBy("word").agg(
-        F.sum("n").alias("n"), F.sum("tokens").alias("tokens"))
+    common = texts.mapInArrow(_frequent_contexts(order), "words long, context long, n long, tokens long").groupBy(
+        "words", "context").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens"))
     total = F.lit(common.agg(F.sum("tokens")).first()[0] or 0)
-    # words of at least 1/4000 of all tokens, so 4000 rows at most
-    frequent = sorted(r["word"] for r in common.where(F.col("n") * 2 * FREQUENT >= total).where("n > 0").collect())
-    # as many tasks as shards, whatever the session's number of partitions
-    blobs = texts.mapInArrow(_bigrams(shards, frequent), BLOB).repartition(shards, "shard")
-    parts = blobs.groupBy("shard").applyInArrow(_bigram_shard(folder, shards), PART).repartition(shards, "shard")
-    tally = parts.groupBy("shard").applyInArrow(_word_shard(folder), TALLY).groupBy("words").agg(
-        *(F.sum(x).alias(x) for x in ("n1", "n2", "n3", "n4", "more", "types", "total", "grams"))).collect()
-    high = next((r for r in tally if not r["words"]), None)
-    low = next((r for r in tally if r["words"]), None)
-    d_high = discounts(*(high[x] for x in ("n1", "n2", "n3", "n4"))) if high else (0.5, 1.0, 1.5)
-    d_low = discounts(*(low[x] for x in ("n1", "n2", "n3", "n4"))) if low else (0.5, 1.0, 1.5)
-    rest = d_low[0] * low["n1"] + d_low[1] * low["n2"] + d_low[2] * (low["n3"] + low["n4"] + low["more"]) if low else 0.0
-    return Model(folder, shards, frequent, low["total"] if low else 0, low["types"] if low else 0,
-                 low["grams"] if low else 0, d_high, d_low, rest)
+    # contexts of at least 1/4000 of all tokens, so 4000 rows of each length at most
+    often: dict[int, list[int]] = {}
+    for r in common.where(F.col("n") * 2 * FREQUENT >= total).where("n > 0").select("words", "context").collect():
+        often.setdefault(r["words"], []).append(r["context"])
+    often = {words: sorted(own) for words, own in often.items()}
+    sent = texts.mapInArrow(_first_grams(order, shards, often), SENT)
+    for length in range(order, 0, -1):
+        # one shard to a task, whatever the session's number of partitions
+        dealt = sent.repartitionById(shards, F.col("shard")).groupBy("shard")
+        if length > 1:
+            step = _Step(folder, length, order, shards, often)
+            sent = dealt.applyInArrow(_task(step), SENT)
+        else:
+            last = _Words(folder, length, order, shards, often)
+            tally = dealt.applyInArrow(_task(last), TALLIES).groupBy("length").agg(
+                *(F.sum(x).alias(x) for x in ("n1", "n2", "n3", "n4", "more", "types", "total"))).collect()
+    by_length = {r["length"]: r for r in tally}
+    taken = {k: discounts(*(r[x] for x in ("n1", "n2", "n3", "n4"))) for k, r in by_length.items() if k}
+    one, words = by_length.get(1), by_length.get(0)
+    rest = taken[1][0] * one["n1"] + taken[1][1] * one["n2"] + taken[1][2] * (one["n3"] + one["n4"] + one["more"]) if one else 0.0
+    return Model(folder, order, shards, often, words["total"] if words else 0, words["types"] if words else 0,
+                 one["total"] if one else 0, taken, rest)
+
+
+def _task(step):
+    @released
+    def run(group: pa.Table) -> pa.Table:
+        return step(group)
+    return run
 
 
 def _scores(model: Model):
@@ -366,6 +487,6 @@ def score_texts(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame
 def op3_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     check = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     docs = table(spark, sf_dir, "documents").select("doc_id", (check % 10 == 0).alias("held_out"), "text")
-    model = train(spark, docs.where("not held_out").select("text"))
+    model = train(spark, docs.where("not held_out").select("text"), ORDER)
     return score_texts(spark, docs, model).withColumn(
         "perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

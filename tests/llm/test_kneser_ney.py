@@ -17,48 +17,55 @@ def remainder(i):
     return zlib.crc32(b"" if i is None else str(i).encode()) % 10
 
 
-def expected(docs):
+def expected(docs, order=2):
     train = [tokens(t) for i, t in docs if remainder(i)]
     count = Counter(w for t in train for w in t)
     n, v = sum(count.values()), len(count)
-    pairs = Counter((a, w) for t in train for a, w in zip(["<s>"] + t, t))
-    before = Counter(w for _, w in pairs)
+
+    def grams(t):
+        t = ["<s>"] * (order - 1) + t
+        return [tuple(t[i - order + 1:i + 1]) for i in range(order - 1, len(t))]
+    counts = {order: Counter(g for t in train for g in grams(t))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
 
     def discounts(c):
         return kn.discounts(*(sum(1 for x in c.values() if x == i) for i in (1, 2, 3, 4)))
-    high, low = discounts(pairs), discounts(before)
-    rest_low = sum(low[min(x, 3) - 1] for x in before.values())
+    taken = {k: discounts(c) for k, c in counts.items()}
     context = {}
-    for (a, _), c in pairs.items():
-        total = context.setdefault(a, [0, 0.0])
-        total[0] += c
-        total[1] += high[min(c, 3) - 1]
-
-    def less(c, d):
-        return max(c - d[min(c, 3) - 1], 0) if c else 0
-
-    def p(a, w):
-        q = 1 / (v + 1) if not pairs else less(before[w], low) / len(pairs) + rest_low / len(pairs) / (v + 1)
-        if a in context:
-            q = (less(pairs[a, w], high) + context[a][1] * q) / context[a][0]
+    for k, c in counts.items():
+        for g, x in c.items():
+            total = context.setdefault((k, g[:-1]), [0, 0.0])
+            total[0] += x
+            total[1] += taken[k][min(x, 3) - 1]
+
+    def p(before, w):
+        q = 1 / (v + 1)
+        for k in range(1, order + 1):
+            own = tuple(before[len(before) - k + 1:])
+            if (k, own) in context:
+                total, rest = context[k, own]
+                c = counts[k][(*own, w)]
+                q = ((max(c - taken[k][min(c, 3) - 1], 0) if c else 0) + rest * q) / total
         return q
     out = []
     for i, t in docs:
         k = tokens(t)
         out.append((i, remainder(i) == 0, len(k), sum(count[w] > 0 for w in k), n,
                     sum(math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in k),
-                    sum(math.log10(p(a, w)) for a, w in zip(["<s>"] + k, k))))
-    if pairs:
-        assert abs(sum(p("the", w) for w in count) + p("the", "never seen") - 1) < 1e-9
+                    sum(math.log10(p(g[:-1], g[-1])) for g in grams(k))))
+    for before in (["the"] * (order - 1), ["of", "the", "of"][:order - 1], ["<s>"] * (order - 1)):
+        assert abs(sum(p(before, w) for w in count) + p(before, "never seen") - 1) < 1e-9
     return out
 
 
-def order(r):
+def place(r):
     return r[0] is None, r[0] or 0, r[2]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_query_equals_plain_model(spark, write_table, monkeypatch, small):
+@pytest.mark.parametrize("small, order", [(True, 2), (False, 2), (True, 3), (False, 4)])
+def test_query_equals_plain_model(spark, write_table, monkeypatch, small, order):
+    monkeypatch.setattr(kn, "ORDER", order)
     if small:  # many shards and chunks
         for name, value in (("SHARD_BYTES", 2000), ("CHUNK", 500), ("SCORED", 300), ("FREQUENT", 40)):
             monkeypatch.setattr(kn, name, value)
@@ -69,9 +76,9 @@ def test_query_equals_plain_model(spark, write_table, monkeypatch, small):
     docs += [(900, None), (901, ""), (None, "the the of"), (5, "the new word"), (5, "the new word"), (7, "the of " * 300)]
     base = write_table(documents=spark.createDataFrame(docs, "doc_id long, text string"))
     got = [tuple(r)[:7] for r in kn.op3_kneser_ney_scores(spark, base).collect()]
-    want = expected(docs)
+    want = expected(docs, order)
     assert len(got) == len(want)
-    for g, w in zip(sorted(got, key=order), sorted(want, key=order)):
+    for g, w in zip(sorted(got, key=place), sorted(want, key=place)):
         assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], abs=1e-6) and g[6] == pytest.approx(w[6], abs=1e-6)
 
 
@@ -81,3 +88,18 @@ def test_without_training_text(spark, write_table, edge_docs, no_docs):
     out = kn.op3_kneser_ney_scores(spark, write_table(documents=spark.createDataFrame(held, "doc_id long, text string")))
     assert {(r["n_known"], r["train_tokens"], r["score"]) for r in out.collect()} == {(0, 0, 0.0)}
     assert kn.op3_kneser_ney_scores(spark, write_table(documents=edge_docs)).count() == edge_docs.count()
+
+
+def test_wide_numbers_keep_their_value():
+    import numpy as np
+
+    for values in ([], [0, 1], [300], [70_000, 2 ** 32 - 1], [2 ** 32, 5], [2 ** 40]):
+        assert kn.unpacked(kn.packed(np.array(values, dtype=np.int64))).tolist() == values
+
+
+def test_one_shard_to_a_task(spark):
+    texts = spark.createDataFrame([("a b c " * 50,)] * 40, "text string")
+    sent = texts.mapInArrow(kn._first_grams(2, 7, {}), kn.SENT)
+    plan = sent.repartitionById(7, sent["shard"]).groupBy("shard").applyInArrow(lambda t: t, kn.SENT)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1
