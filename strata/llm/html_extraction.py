@@ -44,6 +44,11 @@ pager pagination paywall popup privacy promo promoted promotion related reply re
 signin signup sitemap social sponsor sponsored sponsors subscribe subscription taboola tags teaser toc toolbar widget
 complementary contentinfo search alert alertdialog""".split())
 CONTENT_WORDS = frozenset("article articlebody content entry main maincontent post postbody story storybody".split())
+# Words before which a class speaks of something inside or near the element, and
+# words that a class of an article has for its parts or looks.
+MODIFIERS = frozenset("with without has have no not is show shows hide hides can js".split())
+LAYOUT_WORDS = frozenset("""header footer links menu menubar nav navbar navigation share sharing sidebar social tags toc
+toolbar pager pagination search widget breadcrumb breadcrumbs banner overlay modal""".split())
 
 # without backtracking, so that reading a page takes time in proportion
 _TOKEN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>")
@@ -51,14 +56,37 @@ _PLAIN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>")
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _PARTS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 _SPACE = re.compile(r"\s+")
-#: What a block is inside of.
-NEUTRAL, CONTENT, BOILERPLATE = 0, 1, 2
-
-
-def _role(name: str, attributes: str) -> tuple[int, bool]:
-    """(role of an element, whether it is hidden)."""
-    role = CONTENT if name in CONTENT_TAGS else BOILERPLATE if name in BOILERPLATE_TAGS else NEUTRAL
+#: What a block is inside of; a form is boilerplate that an article can stand in.
+NEUTRAL, CONTENT, BOILERPLATE, FORM = 0, 1, 2, 4
+
+
+def _named(value: str) -> tuple[set[str], bool]:
+    """(boilerplate words, whether a content word) of a class, id or role. Each of its names is
+    read by itself, up to a modifier: what follows is not what the element is."""
+    found: set[str] = set()
+    content = False
+    for name in value.split():
+        words = [w.lower() for w in _PARTS.findall(name)]
+        said = next((i for i, w in enumerate(words) if w in MODIFIERS), len(words))
+        own = {*words[:said], "".join(words[:said])}
+        if own & BOILERPLATE_WORDS:
+            found |= own & BOILERPLATE_WORDS
+        else:
+            content |= bool(own & CONTENT_WORDS)
+    return found, content
+
+
+def _role(name: str, attributes: str, around: int) -> tuple[int, bool]:
+    """(role of an element with what is around it, whether it is hidden).
+
+    A main element is content wherever it stands, and so is an article unless a name
+    says what other kind it is (a comment, a teaser). An element that has both a content
+    and a boilerplate name is what the names of its own kind say: boilerplate only if it
+    has no content name. The header of a content element holds its title and stays.
+    """
     hidden = name in HIDDEN
+    words: set[str] = set()
+    content = False
     if attributes and not attributes.isspace():
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -66,14 +94,25 @@ def _role(name: str, attributes: str) -> tuple[int, bool]:
                 hidden = True
             elif key == "style":
                 hidden |= "display:none" in _SPACE.sub("", value.lower())
-            elif key in ("class", "id", "role"):
-                words = {w.lower() for w in _PARTS.findall(value)}
-                whole = {re.sub(r"[^a-z]", "", w.lower()) for w in value.split()}
-                if (words | whole) & BOILERPLATE_WORDS and name not in ("body", "html"):
-                    role = BOILERPLATE
-                elif role == NEUTRAL and (words | whole) & CONTENT_WORDS:
-                    role = CONTENT
-    return role, hidden
+            elif key in ("class", "id", "role") and name not in ("body", "html"):
+                found, one = _named(value)
+                words |= found
+                content |= one
+    if name == "main":
+        return CONTENT, hidden
+    if around == BOILERPLATE:
+        return around, hidden
+    if name == "article" and not words - LAYOUT_WORDS:
+        return CONTENT, hidden
+    if around == FORM:
+        return FORM, hidden
+    if name == "form":  # some pages lie in one form as a whole: only main text elements come out of it
+        return FORM, hidden
+    if name == "header" and around == CONTENT and not words - LAYOUT_WORDS:
+        return CONTENT, hidden
+    if name in BOILERPLATE_TAGS or words and not (content and words <= LAYOUT_WORDS):
+        return BOILERPLATE, hidden
+    return (CONTENT if content else around), hidden
 
 
 class Block:
@@ -85,8 +124,8 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks of a page in order. A block's role is that of the innermost
-    element with one, but boilerplate anywhere around it stays boilerplate."""
+    """Text blocks of a page in order. A block's role is that of the innermost element with
+    one; inside boilerplate only a main element is content again, inside a form an article too."""
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
@@ -152,12 +191,8 @@ def blocks(page: str) -> list[Block]:
         if name in ("p", "li", "option", "tr", "td", "th", "dt", "dd") and stack[-1][0] == name:
             open_count[name] -= 1  # closed by the next of its kind
             stack.pop()
-        role, hidden = _role(name, m[3])
         _, around, was_hidden, link = stack[-1]
-        if around == BOILERPLATE:
-            role = BOILERPLATE
-        elif role == NEUTRAL:
-            role = around
+        role, hidden = _role(name, m[3], around)
         stack.append((name, role, hidden or was_hidden, link or name == "a"))
         open_count[name] = open_count.get(name, 0) + 1
         if name in RAW:
@@ -179,7 +214,7 @@ def features(page: list[Block]) -> np.ndarray:
     """One row of FEATURES numbers for each block of a page."""
     out = np.zeros((len(page), FEATURES))
     for i, b in enumerate(page):
-        out[i, :3] = b.words, min(1.0, b.linked / b.words), b.role
+        out[i, :3] = b.words, min(1.0, b.linked / b.words), min(b.role, BOILERPLATE)
         if i:
             out[i, 3:5] = page[i - 1].words, min(1.0, page[i - 1].linked / page[i - 1].words)
         if i + 1 < len(page):

@@ -61,3 +61,37 @@ def test_query_edges(spark, write_table):
     size = len(he.main_text(PAGE, he.trained()))
     assert sorted(r["n_chars"] for r in out) == [0, 0, size, size, len(PARAGRAPH) * 3000]
     assert he.op4_block_tree_html_extraction(spark, write_table(pages=pages.limit(0))).count() == 0
+
+
+P, Q = PARAGRAPH, "Another paragraph follows here, it is part of the same story and has many words as well."
+MENU = '<nav><a href="/a">Home</a> <a href="/b">World</a> <a href="/c">Sport</a></nav>'
+# page shapes and the main text a reader would copy out of them
+SHAPES = [
+    (f"<body>{MENU}<div class='content with-sidebar'><h1>Big title</h1><p>{P}</p><p>{Q}</p></div></body>", f"Big title {P} {Q}"),
+    (f"<body><main class='has-menu social'><p>{P}</p><p>{Q}</p></main><footer>All rights</footer></body>", f"{P} {Q}"),
+    (f"<body>{MENU}<article><header><h1>The title</h1><p>By a writer</p></header><p>{P}</p><p>{Q}</p></article></body>",
+     f"The title By a writer {P} {Q}"),
+    (f"<body><header><a href=/>Site</a></header><article class='post no-comments'><p>{P}</p><footer>Share <a href=x>this</a></footer>"
+     f"</article><article class='comment'><p>{Q}</p></article></body>", P),
+    (f"<body><form id=aspnet action=/>{MENU}<article><h2>Inside a form</h2><p>{P}</p></article><input name=q></form></body>",
+     f"Inside a form {P}"),
+    (f"<body><div id=wrapper class='has-banner'><div class='sidebar'><p>{Q}</p></div><div class='entry-content'><p>{P}</p>"
+     f"<ul><li>One thing</li><li>And one more</li></ul></div></div></body>", f"{P} One thing And one more"),
+    (f"<body><table><tr><td><a href=1>Home</a></td><td><a href=2>Mail</a></td></tr></table><div>{P}</div><div>{Q}</div></body>",
+     f"{P} {Q}"),
+    (f"<body><section class='story is-open'><h1>Title</h1><p>{P}</p><aside><p>{Q}</p></aside><p>{Q}</p></section></body>",
+     f"Title {P} {Q}"),
+    (f"<body><div class=related-articles><article><p>{Q}</p></article></div><div role=main><p>{P}</p></div></body>", P),
+    (f"<body><div class='cookie-consent'><p>{Q}</p></div><article id='article-with-comments' class='article'><p>{P}</p>"
+     f"<section class='comments'><p>{Q}</p></section></article></body>", P),
+    (f"<body><div class='page sidebar-content'><p>{Q}</p></div><div class='post-body js-toolbar'><p>{P}</p><p>{Q}</p></div></body>",
+     f"{P} {Q}"),
+    (f"<body><main><nav><a href=1>On this page</a></nav><h1>A title</h1><p>{P}</p><div class=newsletter><p>{Q}</p></div></main></body>",
+     f"A title {P}"),
+]
+
+
+def test_shapes_of_pages():
+    tree = he.trained()
+    for page, want in SHAPES:
+        assert he.main_text(page, tree) == want, page
