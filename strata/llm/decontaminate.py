@@ -2,9 +2,9 @@
 
 An item is found in a document if the document has a substring within
 ``budget`` edits of it (a tenth of the item's length), both as lower-case
-words joined by single spaces. The substring for an item of at most ``SHORT``
-bytes must be whole words, so that a short answer is not found inside a longer
-word. An item is cut into budget + 1 pieces: with at
+words joined by single spaces. The parameter ``whole_words`` of both calls says up
+to how many bytes of an item the substring must be whole words, so that a short
+answer is not found inside a longer word. An item is cut into budget + 1 pieces: with at
 most ``budget`` edits one piece is untouched, so an Aho-Corasick automaton of
 all pieces finds every place that needs a look; the bytes beside the piece are
 looked up and the parts around it compared first, smaller ones with their share
@@ -36,8 +36,8 @@ from .textcore import ALNUM, Words
 
 #: Edits allowed: one for each so many bytes of an item.
 BYTES_PER_EDIT = 10
-#: Items of up to so many bytes must stand at word edges.
-SHORT = 30
+#: Items of up to so many bytes must stand at word edges, if a call does not say otherwise.
+WHOLE_WORDS = 30
 #: Bytes of benchmark text that one pass carries to the tasks.
 QUERY_BYTES = 1 << 20
 
@@ -221,14 +221,14 @@ def search(a, items: list[Item], texts: list[bytes], short: int = 0):
             yield text, n, edits, int(words.start[a_word] - base), int(words.end[b_word] - base)
 
 
-def _finder(shared):
+def _finder(shared, whole_words):
     @released
     def run(batches):
         items = [Item(i, t) for i, t in shared.value]
         a = automaton(items)
         for batch in batches:
             for lo, _, texts in text_slices(batch, 1):
-                found = list(search(a, items, texts, SHORT))
+                found = list(search(a, items, texts, whole_words))
                 if found:
                     t, n, edits, first, end = zip(*found)
                     yield pa.RecordBatch.from_arrays(
@@ -258,17 +258,17 @@ def item_blocks(spark: SparkSession, benchmark: DataFrame) -> list:
     return out
 
 
-def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, whole_words: int = WHOLE_WORDS) -> DataFrame:
     """One row for each (document, item) found: edits, budget, byte span."""
     ship(spark)
-    found = [docs.select("doc_id", "text").mapInArrow(_finder(x), FOUND) for x in item_blocks(spark, benchmark)]
+    found = [docs.select("doc_id", "text").mapInArrow(_finder(x, whole_words), FOUND) for x in item_blocks(spark, benchmark)]
     out = found[0] if found else spark.createDataFrame([], FOUND)
     for more in found[1:]:
         out = out.unionByName(more)
     return out
 
 
-def _clean(shared):
+def _clean(shared, whole_words):
     @released
     def run(batches):
         items = [Item(i, t) for i, t in shared.value]
@@ -276,17 +276,17 @@ def _clean(shared):
         for batch in batches:
             keep = np.ones(batch.num_rows, dtype=bool)
             for lo, _, texts in text_slices(batch, batch.schema.get_field_index("text")):
-                for text, *_ in search(a, items, texts, SHORT):
+                for text, *_ in search(a, items, texts, whole_words):
                     keep[lo + text] = False
             yield batch.filter(pa.array(keep))
     return run
 
 
-def without_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, whole_words: int = WHOLE_WORDS) -> DataFrame:
     """The documents in which no benchmark item is found."""
     ship(spark)
     for block in item_blocks(spark, benchmark):
-        docs = docs.mapInArrow(_clean(block), docs.schema)
+        docs = docs.mapInArrow(_clean(block, whole_words), docs.schema)
     return docs
 
 

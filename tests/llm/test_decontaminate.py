@@ -83,14 +83,14 @@ def test_short_items_are_whole_words(spark):
     hits = 0
     for _ in range(150):
         items = [dc.Item(i, prose(rng.randint(1, 8)).encode()) for i in range(4)]
-        items = [x for x in items if x.size <= dc.SHORT]
+        items = [x for x in items if x.size <= dc.WHOLE_WORDS]
         given = []
         for _ in range(4):
             t = list(f"{prose(rng.randint(0, 8))} {rng.choice(items).text.decode() if items else ''} {prose(rng.randint(0, 5))}")
             for _ in range(rng.randint(0, 3)):
                 t[rng.randrange(len(t))] = rng.choice("abx ")
             given.append("".join(t).encode())
-        got = {(t, n): (e, a, b) for t, n, e, a, b in dc.search(dc.automaton(items), items, given, dc.SHORT)}
+        got = {(t, n): (e, a, b) for t, n, e, a, b in dc.search(dc.automaton(items), items, given, dc.WHOLE_WORDS)}
         want = {}
         for i, t in enumerate(given):
             parts = dc.normal([t])[0].split()
@@ -109,3 +109,11 @@ def test_short_items_are_whole_words(spark):
     bench = spark.createDataFrame([(1, "cat")], "item_id long, text string")
     assert sorted(r["doc_id"] for r in dc.leaks(spark, docs, bench).collect()) == [2, 4]
     assert sorted(r["doc_id"] for r in dc.without_leaks(spark, docs, bench).collect()) == [1, 3]
+    # the rule is a parameter of both calls
+    assert sorted(r["doc_id"] for r in dc.leaks(spark, docs, bench, whole_words=0).collect()) == [1, 2, 3, 4]
+    assert dc.without_leaks(spark, docs, bench, whole_words=0).count() == 0
+    long = "cat and dog and bird and fish live here"
+    bench = spark.createDataFrame([(1, long)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "con" + long + "in"), (2, long)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in dc.leaks(spark, docs, bench).collect()) == [1, 2]
+    assert sorted((r["doc_id"], r["edits"]) for r in dc.leaks(spark, docs, bench, whole_words=1000).collect()) == [(2, 0)]
