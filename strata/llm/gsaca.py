@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import numpy as np
 
+UNKNOWN = -2
+
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Suffix array of a sequence of non-negative integers (no end symbol in it)."""
@@ -32,7 +34,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     size_at = np.zeros(n, dtype=np.int64)
     size_at[starts] = np.diff(np.append(starts, n))
     sa, link, place, size = order.tolist(), link.tolist(), place.tolist(), size_at.tolist()
-    left = [-1] * n
+    left = [UNKNOWN] * n
 
     top = n - 1
     while top >= 0:
@@ -47,15 +49,25 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
                 _raise([j], sa, link, place, size)
         else:
             times: dict[int, int] = {}
-            for i in sorted(sa[g:top + 1]):
-                j = i - 1
-                while j >= 0 and link[j] > g:
-                    j = left[j]
-                if j >= 0 and link[j] == g:  # a run of equal Lyndon words
-                    j = left[j]
-                left[i] = j
-                if j >= 0:
-                    times[j] = times.get(j, 0) + 1
+            for first in sa[g:top + 1]:
+                waiting = [first]
+                while waiting:
+                    i = waiting[-1]
+                    if left[i] != UNKNOWN:
+                        waiting.pop()
+                        continue
+                    j = i - 1
+                    while j >= 0 and link[j] > g:
+                        j = left[j]
+                    if j >= 0 and link[j] == g:  # a run of equal Lyndon words: that of its left member comes first
+                        if left[j] == UNKNOWN:
+                            waiting.append(j)
+                            continue
+                        j = left[j]
+                    left[i] = j
+                    waiting.pop()
+                    if j >= 0:
+                        times[j] = times.get(j, 0) + 1
             if times:
                 if len(times) == 1:
                     _raise(list(times), sa, link, place, size)

@@ -25,9 +25,13 @@ input). Steps:
    repeats of each other.
 5. The removed ranges of a text meet its documents by digest.
 
+With ``words`` a call asks for passages instead of strings of one size: strings of
+``length`` bytes are found as above, and of the joined ranges of a text those go
+that hold over ``words`` whole words or at least ``LENGTH`` bytes.
+
 Copies of a text count once with their number, segments that a text repeats
-are cut within it, and identical segments are counted together (map-side sums), so a large group of copies is a few rows. What meets in one
-task are at most ``MOST_SEGMENTS`` *different* segments with one core, that is
+are cut within it, and identical segments are counted together (map-side sums),
+so a large group of copies is a few rows. What meets in one task are at most ``MOST_SEGMENTS`` *different* segments with one core, that is
 with at least ``length - ceil(window starts / RANGES) + 1`` equal bytes.
 
 Null and empty texts keep nothing and lose nothing. Repeated rows (also of one
@@ -50,6 +54,7 @@ from .gsaca import suffix_array
 from .textcore import U, mix, powers
 
 LENGTH = 400
+WORD = "[^ \\t\\n\\x0B\\f\\r]+"
 RANGES = 6
 BLOCK = 16
 #: Symbols of one suffix array, and one core's segments on top.
@@ -340,25 +345,37 @@ def _array_rows(length: int):
     return run
 
 
-@released
-def _kept_rows(batches):
+def whole_words(t: bytes, a: int, b: int) -> int:
+    """Words [^\\x20\\x09-\\x0D]+ of a text that lie wholly in a range."""
+    n = len(t[a:b].split())
+    inside = lambda at: 0 < at < len(t) and not t[at - 1:at].isspace() and not t[at:at + 1].isspace()
+    return max(n - inside(a) - inside(b), 0)
+
+
+def _kept_rows(words: int | None):
     """(digest, n_removed, spans, kept) of texts with ranges to cut."""
     span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-    for batch in batches:
-        gone, spans, kept = [], [], []
-        for t, ranges in zip(utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-            runs = merged((x["first"], x["last"]) for x in ranges)
-            at, parts = 0, []
-            for a, b in runs:
-                parts.append(t[at:a])
-                at = b
-            parts.append(t[at:])
-            gone.append(sum(b - a for a, b in runs))
-            spans.append([{"first": a, "last": b} for a, b in runs])
-            kept.append(b"".join(parts))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(gone, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())],
-            names=["digest", "n_removed", "spans", "kept"])
+
+    @released
+    def run(batches):
+        for batch in batches:
+            gone, spans, kept = [], [], []
+            for t, ranges in zip(utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                runs = merged((x["first"], x["last"]) for x in ranges)
+                if words is not None:
+                    runs = [(a, b) for a, b in runs if b - a >= LENGTH or whole_words(t, a, b) > words]
+                at, parts = 0, []
+                for a, b in runs:
+                    parts.append(t[at:a])
+                    at = b
+                parts.append(t[at:])
+                gone.append(sum(b - a for a, b in runs))
+                spans.append([{"first": a, "last": b} for a, b in runs])
+                kept.append(b"".join(parts))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(gone, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())],
+                names=["digest", "n_removed", "spans", "kept"])
+    return run
 
 
 KEPT = "digest binary, n_removed long, spans array<struct<first: int, last: int>>, kept binary"
@@ -372,14 +389,15 @@ def _wanted(segments: DataFrame) -> DataFrame:
         "digest").agg(F.collect_list("x").alias("want"))
 
 
-def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """For each different text that loses bytes: its digest, n_removed, spans
+def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """For each different text that may lose bytes: its digest, n_removed, spans
     (removed byte ranges) and kept (the remaining bytes)."""
     ship(spark)
     base = docs.where(F.octet_length("text") >= length).select("doc_id", "text", text_digest(F.col("text")).alias("own"))
     texts = stored(spark, base.groupBy("own").agg(
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("one"),
-        F.max(F.octet_length("text")).alias("size")), "dedup-texts")
+        F.max(F.octet_length("text")).alias("size"),
+        *([F.max(F.regexp_count("text", F.lit(WORD))).alias("words")] if words is not None else [])), "dedup-texts")
 
     met = stored(spark, base.select("own", "text").mapInArrow(
         _anchor_rows(length), "digest binary, hash long, n long"), "dedup-anchors")
@@ -408,8 +426,7 @@ def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> Data
         done += [rows, segments, cores]
         hot = cores.where(F.col("kinds") > MOST_SEGMENTS).select("core")
         split = not hot.isEmpty()
-        # hot cores are few: each has more than MOST_SEGMENTS rows
-        cold = segments.join(F.broadcast(hot), "core", "left_anti") if split else segments
+        cold = segments.join(hot, "core", "left_anti") if split else segments
         lone = chosen.select("digest", "text").join(
             _wanted(cold.join(cores.select("core"), "core")), "digest").mapInArrow(
             _segment_rows, "core long, digest binary, first int, times long, before binary, middle binary, after binary")
@@ -417,14 +434,17 @@ def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> Data
         if not split:
             break
         parts = chosen.select("digest", "text").join(
-            _wanted(segments.join(F.broadcast(hot), "core", "left_semi")), "digest")
+            _wanted(segments.join(hot, "core", "left_semi")), "digest")
         rows = stored(spark, parts.mapInArrow(_part_rows(length), PROBE_SQL), "dedup-parts")
     cuts = stored(spark, reduce(DataFrame.unionByName, found).groupBy("digest").agg(
         F.collect_set(F.struct("first", "last")).alias("cuts")), "dedup-cuts")
     discard(spark, *done)
 
-    single = chosen.where("copies = 1").select("digest", "text").join(cuts, "digest").mapInArrow(_kept_rows, KEPT)
-    copied = texts.where("copies > 1").select(
+    single = chosen.where("copies = 1").select("digest", "text").join(cuts, "digest").mapInArrow(_kept_rows(words), KEPT)
+    copied = texts.where("copies > 1")
+    if words is not None:
+        copied = copied.where((F.col("words") > words) | (F.col("size") >= LENGTH))
+    copied = copied.select(
         F.col("own").alias("digest"), F.col("size").cast("long").alias("n_removed"),
         F.array(F.struct(F.lit(0).alias("first"), F.col("size").alias("last"))).alias("spans"),
         F.lit(b"").alias("kept"))
@@ -433,10 +453,10 @@ def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> Data
     return out
 
 
-def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
     """``docs`` with n_removed, spans and kept (bytes) of each row's text;
     these replace columns of the same names."""
-    gone = removals(spark, docs, length)
+    gone = removals(spark, docs, length, words)
     docs = docs.drop("n_removed", "spans", "kept")
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), text_digest(F.col("text")).alias("own"))
     none = F.array().cast("array<struct<first: int, last: int>>")

@@ -1,4 +1,5 @@
 import random
+import re
 
 import public_tokenizers
 import tiktoken
@@ -32,6 +33,28 @@ def corpus():
     return [(d, t, lang, "src", len(t or ""), f"extra{d}") for d, t, lang in docs]
 
 
+def passages(texts, size=240, words=50):
+    """The texts without passages of over fifty whole words, or 400 bytes, made of strings that start elsewhere too."""
+    count = {}
+    for t in texts:
+        b = t.encode()
+        for i in range(len(b) - size + 1):
+            count[b[i:i + size]] = count.get(b[i:i + size], 0) + 1
+    out = []
+    for t in texts:
+        b = t.encode()
+        gone = bytearray(len(b))
+        for i in range(len(b) - size + 1):
+            if count[b[i:i + size]] > 1:
+                gone[i:i + size] = b"\1" * size
+        for m in re.finditer(b"\1+", bytes(gone)):
+            whole = [w for w in re.finditer(rb"[^\x20\x09-\x0D]+", b) if m.start() <= w.start() and w.end() <= m.end()]
+            if len(whole) <= words and m.end() - m.start() < 400:
+                gone[m.start():m.end()] = bytes(m.end() - m.start())
+        out.append(bytes(x for x, g in zip(b, gone) if not g).decode("utf-8", "ignore"))
+    return out
+
+
 def brute(docs):
     """The rows that stages 1 to 4 leave, as (doc_id, text)."""
     left = [(d, t) for d, t, *_ in docs if t and any(c.isalpha() for c in t)]
@@ -44,19 +67,7 @@ def brute(docs):
                 group[e] = min(same)
         group[d] = min(same) if same else d
     kept = [(d, t) for d, t in sorted(left) if group[d] == d]
-    count = {}
-    for _, t in kept:
-        b = t.encode()
-        for i in range(len(b) - 399):
-            count[b[i:i + 400]] = count.get(b[i:i + 400], 0) + 1
-    out = []
-    for d, t in kept:
-        b = t.encode()
-        gone = bytearray(len(b))
-        for i in range(len(b) - 399):
-            if count[b[i:i + 400]] > 1:
-                gone[i:i + 400] = b"\1" * 400
-        out.append((d, bytes(x for x, g in zip(b, gone) if not g).decode("utf-8", "ignore")))
+    out = list(zip((d for d, _ in kept), passages([t for _, t in kept])))
     return [(d, t) for d, t in out if ITEM not in t]
 
 
@@ -81,6 +92,24 @@ def test_stages_and_run_equal_brute_force(spark, write_table):
     assert out == {d: len(library.encode_ordinary(t)) for d, t in want}
 
 
+def test_passages_of_over_fifty_words_go_and_shorter_ones_stay(spark):
+    rng = random.Random(12)
+
+    def prose(n, size=5):
+        return " ".join("".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(2, 2 * size - 2))) for _ in range(n))
+    docs = []
+    for n in (45, 50, 51, 56, 60, 70, 90):
+        for size in (4, 5, 7):
+            passage = prose(n, size)
+            docs += [prose(30) + " " + passage + " " + prose(20), prose(5) + "x" + passage + "y" + prose(8)]
+    docs += [prose(200) for _ in range(10)] + ["abcdefg" * 60 + prose(3)]
+    frame = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(docs)], "doc_id long, text string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in cp.suffix_stage(spark, frame, "").collect()}
+    assert [got[i] for i in range(len(docs))] == passages(docs)
+    changed = [i for i, t in enumerate(docs) if got[i] != t]
+    assert 0 not in changed and 12 in changed and 30 in changed and not set(range(42, 52)) & set(changed) and 52 in changed
+
+
 def test_edges(spark, write_table, edge_docs, no_docs):
     bench = spark.createDataFrame([(1, None), (2, "")], "item_id long, text string")
     assert cp.run(spark, write_table(documents=edge_docs, benchmark=bench)).count() == 4
