@@ -48,6 +48,25 @@ NOTICES = (
     ("redistribution and use in source and binary forms", "bsd"),
     ("released into the public domain", "public-domain"),
     ("all rights reserved", "all-rights-reserved"),
+    ("permission to use copy modify and or distribute this software for any purpose", "isc"),
+    ("provided as is without any express or implied warranty", "zlib"),
+    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("boost software license version 1", "bsl-1"),
+    ("eclipse public license version 2", "epl-2"),
+    ("common development and distribution license", "cddl"),
+    ("european union public licence", "eupl"),
+    ("the artistic license 2 0", "artistic-2"),
+    ("academic free license version 3", "afl-3"),
+    ("microsoft public license", "ms-pl"),
+    ("sil open font license version 1", "ofl"),
+    ("gnu free documentation license", "gfdl"),
+    ("attribution sharealike", "cc-by-sa"),
+    ("attribution noderivatives", "cc-by-nd"),
+    ("creative commons zero", "cc0"),
+    ("cc0 1 0 universal", "cc0"),
+    ("open database license", "odbl"),
+    ("server side public license", "sspl"),
+    ("business source license", "busl"),
 )
 #: Characters of a notice for each error allowed.
 PER_ERROR = 10
