@@ -7,6 +7,7 @@ import functools
 import gc
 import inspect
 import os
+import re
 import sys
 import tempfile
 import uuid
@@ -19,12 +20,24 @@ from pyspark.sql import functions as F
 
 from strata.session import checkpoint_dir
 
-#: Bytes of text handled at once inside a task.
+#: Bytes of text handled at once inside a task, and of a batch of rows on its way to or from a worker.
 SLICE_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Rows go to the Python workers in batches of bounded bytes (a single longer row by itself):
+    executor and worker hold a few of them at a time. A smaller bound of the session stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    # a number, as the engine gives back its default, or a size as a session may have set it
+    now = re.fullmatch(r"(\d+)b?", spark.conf.get(key).strip())
+    if now is None or int(now[1]) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers once per application."""
+    bound_batches(spark)
     sc = spark.sparkContext
     if getattr(sc, "_strata_shipped", False):
         return

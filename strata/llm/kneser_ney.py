@@ -78,6 +78,21 @@ def tokens(batches, column: int, chunk: int):
             yield batch, first, batch.num_rows, np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
 
 
+def chunks(batches):
+    """(token hashes, text of each token) of about CHUNK tokens, over several batches."""
+    got: list[tuple[np.ndarray, np.ndarray]] = []
+    count = texts = 0
+    for _, _, _, h, text in tokens(batches, 0, CHUNK):
+        got.append((h, text + texts))
+        texts += int(text.max(initial=0)) + 1
+        count += len(h)
+        if count >= CHUNK:
+            yield tuple(np.concatenate(x) for x in zip(*got))
+            got, count = [], 0
+    if got:
+        yield tuple(np.concatenate(x) for x in zip(*got))
+
+
 def contexts(h: np.ndarray, text: np.ndarray, words: int) -> list[np.ndarray]:
     """Hashes of the contexts of 0 to ``words`` words before each token; start symbols before a text."""
     out = [np.zeros(len(h), dtype=U)]
@@ -135,7 +150,7 @@ def _often(lists: dict[int, list[int]], words: int) -> np.ndarray:
 def _frequent_contexts(order: int):
     @released
     def run(batches):
-        for _, _, _, h, text in tokens(batches, 0, CHUNK):
+        for h, text in chunks(batches):
             rows = [(0, 0, 0, len(h))]
             for words, c in enumerate(contexts(h, text, order - 1)):
                 if words:
@@ -184,7 +199,7 @@ def _sent_words(shards: int, word: np.ndarray, n: np.ndarray) -> list[tuple]:
 def _first_grams(order: int, shards: int, often: dict[int, list[int]]):
     @released
     def run(batches):
-        for _, _, _, h, text in tokens(batches, 0, CHUNK):
+        for h, text in chunks(batches):
             c = contexts(h, text, order - 1)
             _, first, n = _merged(gram(c[-1], h), np.ones(len(h), dtype=np.int64))
             lower = np.stack([x[first] for x in c[order - 2:0:-1]], axis=1) if order > 2 else np.zeros((len(first), 0), dtype=U)
