@@ -7,7 +7,8 @@ entries as a whole; the others are merged with a heap of pair ranks over a
 doubly linked list of their bytes, and kept in a bounded cache of the worker.
 
 Null texts are empty and give no ids. Texts are valid UTF-8; other bytes would
-become replacement characters. Rows are independent of each other, so repeated
+become replacement characters. Pre-tokens with equal 64-bit hashes count as
+equal. Rows are independent of each other, so repeated
 rows, ties and copies need no care. Extra columns are not read.
 """
 

@@ -17,7 +17,8 @@ A null role or text is empty, a null tree id is a tree of its own, a null turn
 comes first. Rows with
 the same tree and turn stand in the order of role and text; equal rows are
 turns of their own. Of paths with equal scores the one with the smaller leaf
-comes first. Extra columns are not read. Only DataFrame functions are used;
+comes first. The registered query adds conversation -1; given rows with that id
+are turns of the same conversation. Extra columns are not read. Only DataFrame functions are used;
 what one task must hold is one conversation, which is one output row.
 """
 

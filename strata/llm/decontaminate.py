@@ -13,7 +13,8 @@ in one document are joined, and Myers' algorithm gives the least distance
 over each.
 
 The benchmark is the query set. It is read in blocks of bounded bytes, each
-block is one pass over the documents; documents are never shuffled.
+block is one pass over the documents (one for every ``QUERY_BYTES`` of items, all
+blocks as broadcasts); documents are never shuffled.
 
 Words are runs of ASCII letters and digits and of non-ASCII characters. Null,
 empty and wordless texts and items match nothing. Repeated documents give one

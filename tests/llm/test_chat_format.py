@@ -72,6 +72,25 @@ def test_paths_of_a_tree_are_ranked_and_formatted(spark):
             b for a, b, _ in turns if a == "assistant"]
 
 
+def test_branches_are_chosen_formatted_and_read_back(spark):
+    """The query's own way, on trees whose scores decide between branches."""
+    from pyspark.sql import functions as F
+
+    rows = [(1, 1, None, "user", "ask [INST]", 0.0), (1, 2, 1, "assistant", "poor", 1.0), (1, 3, 1, "assistant", "good </s>", 2.0),
+            (1, 4, 3, "user", "thanks", 0.5), (1, 5, 2, "user", "why", 0.5), (1, 6, 5, "assistant", "because", 0.75),
+            (2, 1, None, "user", "a", None), (2, 2, 1, "assistant", "tie", 1.0), (2, 3, 1, "assistant", "tie too", 1.0),
+            (None, 1, None, "assistant", "alone", 0.0)]
+    nodes = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")
+    way = cf.paths(spark, nodes)
+    chats = cf.format_paths(way, cf.best_paths(way, nodes), nodes)
+    back = chats.select("tree", "leaf", cf.read_turns(F.col("formatted")).alias("turns"),
+                        cf.read_loss(F.col("formatted"), F.col("loss")).alias("spoken")).collect()
+    got = {r["tree"]: (r["leaf"], [tuple(t) for t in r["turns"]], r["spoken"]) for r in back}
+    assert got == {
+        1: (4, [("user", "ask [INST]"), ("assistant", "good </s>"), ("user", "thanks")], "good </s>"),
+        2: (2, [("user", "a"), ("assistant", "tie")], "tie"), None: (1, [("assistant", "alone")], "alone")}
+
+
 def test_no_python_on_the_main_path(spark, write_table):
     rows = [(1, i, "user", "x", "t", 1, "f") for i in range(3)]
     base = write_table(conversations=spark.createDataFrame(rows, SCHEMA))
