@@ -7,12 +7,16 @@ split by the scans of ``operators.scan`` and the joins of ``operators.components
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_of_lit, count_where, days_between, exact_sum, month_boundaries, month_of, safe_ratio
 from ..operators.components import components, spread_join
 from ..operators.scan import Ordered, ordered
+from ..session import checkpoint_dir
 from ..sources.sinks import materialise, write_bucketed
 
 # Fixed values of the patterns.
@@ -341,8 +345,8 @@ BUCKETED = ("encounters", "cdi_queries", "charges", "claims", "care_management")
 class Bucketed:
     """Raw tables of which those with an encounter are landed in buckets of it, once per namespace."""
 
-    def __init__(self, raw, namespace: str, buckets: int):
-        self.raw, self.namespace, self.buckets = raw, namespace, buckets
+    def __init__(self, raw, namespace: str, folder: str, buckets: int):
+        self.raw, self.namespace, self.folder, self.buckets = raw, namespace, folder, buckets
 
     def __getattr__(self, name: str) -> DataFrame:
         raw = self.raw[name]
@@ -351,18 +355,22 @@ class Bucketed:
         spark, table = raw.sparkSession, f"{self.namespace}.{name}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace}")
         if not spark.catalog.tableExists(table):
-            write_bucketed(raw, table, ["encounter_id"], self.buckets)
+            write_bucketed(raw, table, f"{self.folder}/{name}", ["encounter_id"], self.buckets)
         return spark.table(table)
 
 
 def quality_month_bucketed(layer) -> DataFrame:
-    """``fact_quality_month`` over landed buckets: its four joins and sums by encounter need no shuffle."""
+    """``fact_quality_month`` over landed buckets: its four joins and sums by encounter need no shuffle.
+
+    The tables are landed once per application and state of the input files, beside the stored layer.
+    """
     from .operations import fact_quality_month
 
     spark = layer.spark
+    folder = f"{(layer.store or f'{checkpoint_dir(spark)}/landed-{uuid.uuid4().hex}').rstrip('/')}/landed"
+    namespace = "strata_" + re.sub(r"\W", "_", "_".join(folder.split("/")[-3:]))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    place = (layer.store or "").rstrip("/").rsplit("/", 1)[-1]
-    return fact_quality_month(Bucketed(layer.raw, f"strata_landed_{place}", buckets), layer.as_of)
+    return fact_quality_month(Bucketed(layer.raw, namespace, folder, buckets), layer.as_of)
 
 
 PATTERNS = {

@@ -71,11 +71,11 @@ def ordered_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(names, key=lambda n: n.rsplit("/", 1)[1])
 
 
-def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
-    """Landing by buckets of ``keys``, sorted inside: joins and aggregations on the keys of
-    tables with the same buckets need no shuffle. ``table`` is ``namespace.table``."""
+def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> None:
+    """Landing by buckets of ``keys``, sorted inside: joins and aggregations on the keys of tables
+    with the same buckets need no shuffle. ``table`` is ``namespace.table``, its files lie at ``path``."""
     dealt = df.repartition(buckets, *keys)
-    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    dealt.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
 
 
 def register_table(spark: SparkSession, namespace: str, name: str, path: str) -> None:

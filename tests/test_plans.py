@@ -82,3 +82,29 @@ def test_ranks_equal_the_window_and_split_hot_groups(spark):
     assert key(rank_within(df, ["g"], "v", "r").collect()) == key(df.withColumn("r", F.rank().over(w).cast("bigint")).collect())
     assert key(rank_within(df, [], "v", "r", descending=False).collect()) == key(
         df.withColumn("r", F.rank().over(up).cast("bigint")).collect())
+
+
+@pytest.mark.parametrize("name, table", [("fact_revenue_cycle_month", "lineitem"), ("worklist_los_outliers", "orders")])
+def test_rows_without_a_key_need_no_second_scan(spark, name, table):
+    plan = _final(_plan(QUERIES[name](spark, SF_SMALL)))
+    scans = [x for x in plan.splitlines() if "FileScan" in x and f"{table}.parquet" in x]
+    # the appeals of the revenue fact come from the orders, the attended tasks of the worklist from the lines
+    assert len(scans) == 1
+
+
+def test_quantity_does_not_depend_on_the_order_of_rows(spark):
+    from pyspark.sql import functions as F
+
+    from strata.plans.operations import fact_supply_month
+
+    rows = [(f"{i}", 0.1 * (i % 7) + 1e-3 * i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "i string, quantity double").select(
+        F.lit("F1").alias("facility_id"), F.lit("SUPPLY").alias("item_category"), F.lit("2001-01-05").cast("timestamp").alias(
+            "transaction_datetime"), F.lit("WASTE").alias("transaction_type"), "quantity",
+        F.lit(1).cast("decimal(18,2)").alias("extended_cost"), F.lit(False).alias("is_off_contract"), "i")
+    fac = spark.createDataFrame([("F1", "A", "NE")], "facility_id string, facility_name string, region string")
+
+    def total(order):
+        raw = type("Raw", (), {"supply_chain_transactions": df.repartition(5, *order), "facilities": fac})()
+        return fact_supply_month(raw).first()["total_quantity"]
+    assert total(["i"]) == total(["quantity"]) == total([F.reverse("i")])
