@@ -47,19 +47,30 @@ class Ordered:
     frame: DataFrame
     keys: list[str]
     order: list
+    edges: DataFrame | None = None
+    edge: DataFrame | None = None
 
     def _edges(self) -> DataFrame:
-        """The first and the last key of each block."""
-        key = F.struct(*self.keys)
-        ends = self.frame.groupBy(BLOCK).agg(F.min(key).alias("a"), F.max(key).alias("b"))
-        return ends.select(F.explode(F.array("a", "b")).alias("k")).select("k.*").distinct()
-
-    def _at_edges(self, columns: list[str]) -> DataFrame:
-        rows = self.frame.select(BLOCK, *self.keys, *columns)
+        """The first and the last key of each block, found once and stored: at most two rows a block."""
+        if self.edges is None:
+            key = F.struct(*self.keys)
+            ends = self.frame.groupBy(BLOCK).agg(F.min(key).alias("a"), F.max(key).alias("b"))
+            self.edges = materialise(ends.select(F.explode(F.array("a", "b")).alias("k")).select("k.*").distinct(), "edges")
+        return self.edges
+
+    def _at_edges(self) -> DataFrame:
+        """The rows of the edge keys. What is added to the frame is added to them too: windows are
+        by block and key, so that what a call carries never needs the values of the other rows."""
         if not self.keys:
-            return rows
-        edges = _renamed(self._edges(), self.keys)
-        return rows.join(F.broadcast(edges), _same(rows, edges, self.keys), "left_semi")
+            return self.frame
+        if self.edge is None:
+            edges = _renamed(self._edges(), self.keys)
+            self.edge = self.frame.join(F.broadcast(edges), _same(self.frame, edges, self.keys), "left_semi")
+        return self.edge
+
+    def _with(self, add) -> "Ordered":
+        """The same rows with what ``add`` adds to a frame."""
+        return Ordered(add(self.frame), self.keys, self.order, self.edges, add(self._at_edges()) if self.keys else None)
 
     def _plain_order(self) -> list[str]:
         if not all(isinstance(c, str) for c in self.order):
@@ -79,7 +90,7 @@ class Ordered:
         columns = [c for _, c in wanted.values()]
         if "last" in kinds.values():
             columns += [c for c in self._plain_order() if c not in self.keys]
-        totals = self._at_edges(list(dict.fromkeys(columns))).groupBy(BLOCK, *self.keys).agg(
+        totals = self._at_edges().select(BLOCK, *self.keys, *dict.fromkeys(columns)).groupBy(BLOCK, *self.keys).agg(
             *[self._total(kinds[n], c).alias(n) for n, (_, c) in wanted.items()])
         earlier = Window.partitionBy(*self.keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
         carried = totals.select(BLOCK, *self.keys, *[_over(k, n, earlier).alias(f"{n}_c") for n, k in kinds.items()])
@@ -90,9 +101,6 @@ class Ordered:
             kind, column = wanted[name]
             end = -1 if kind.endswith("_before") else Window.currentRow
             return _over(kinds[name], column, own.rowsBetween(Window.unboundedPreceding, end))
-        local = self.frame.withColumns({n: here(n) for n in wanted})
-        both = local.join(F.broadcast(carried), _same(local, carried, [BLOCK, *self.keys]), "left")
-
         def combined(name: str) -> Column:
             inside, before = F.col(name), F.col(f"{name}_c")
             if kinds[name] == "sum":
@@ -100,27 +108,37 @@ class Ordered:
             if kinds[name] == "last":
                 return F.coalesce(inside, before)
             return (F.least if kinds[name] == "min" else F.greatest)(inside, before)
-        out = both.select(*[c for c in local.columns if c not in wanted], *[combined(n).alias(n) for n in wanted])
-        return Ordered(out, self.keys, self.order)
+
+        def add(frame: DataFrame) -> DataFrame:
+            local = frame.withColumns({n: here(n) for n in wanted})
+            both = local.join(F.broadcast(carried), _same(local, carried, [BLOCK, *self.keys]), "left")
+            return both.select(*[c for c in local.columns if c not in wanted], *[combined(n).alias(n) for n in wanted])
+        return self._with(add)
 
     def total(self, **wanted: tuple[str, str]) -> "Ordered":
         """Adds name=(kind, column): the sum, min or max over all rows of the key."""
         if not self.keys:
             raise ValueError("the total of all rows is a plain aggregate")
-        columns = list(dict.fromkeys(c for _, c in wanted.values()))
-        sums = self._at_edges(columns).groupBy(*self.keys).agg(
+        columns = dict.fromkeys(c for _, c in wanted.values())
+        sums = self._at_edges().select(BLOCK, *self.keys, *columns).groupBy(*self.keys).agg(
             *[self._total(k, c).alias(f"{n}_c") for n, (k, c) in wanted.items()], F.lit(True).alias("_edge"))
         sums = _renamed(sums, self.keys)
         group = Window.partitionBy(BLOCK, *self.keys)
-        local = self.frame.withColumns({n: _over(k, c, group) for n, (k, c) in wanted.items()})
-        both = local.join(F.broadcast(sums), _same(local, sums, self.keys), "left")
-        out = both.select(*[c for c in local.columns if c not in wanted],
-                          *[F.when(F.col("_edge"), F.col(f"{n}_c")).otherwise(F.col(n)).alias(n) for n in wanted])
-        return Ordered(out, self.keys, self.order)
+
+        def add(frame: DataFrame) -> DataFrame:
+            local = frame.withColumns({n: _over(k, c, group) for n, (k, c) in wanted.items()})
+            both = local.join(F.broadcast(sums), _same(local, sums, self.keys), "left")
+            return both.select(*[c for c in local.columns if c not in wanted],
+                               *[F.when(F.col("_edge"), F.col(f"{n}_c")).otherwise(F.col(n)).alias(n) for n in wanted])
+        return self._with(add)
 
     def stored(self, name: str = "ordered") -> "Ordered":
         """The rows with their values written once, so that what follows does not compute them again."""
-        return Ordered(materialise(self.frame, name), self.keys, self.order)
+        return Ordered(materialise(self.frame, name), self.keys, self.order, self.edges)
+
+    def with_columns(self, columns: dict[str, Column]) -> "Ordered":
+        """The same rows with more columns, none of which is a key."""
+        return self._with(lambda frame: frame.withColumns(columns))
 
     def within(self, column: str) -> "Ordered":
         """The same rows by (keys, column); the column must not fall along the order."""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import as_of_lit, count_where, days_between, exact_sum, month_boundaries, month_of, safe_ratio
 from ..operators.components import components, spread_join
-from ..operators.scan import Ordered, ordered
+from ..operators.scan import ordered
 from ..session import checkpoint_dir
 from ..sources.sinks import materialise, write_bucketed
 
@@ -54,7 +54,7 @@ def charge_gap(layer) -> DataFrame:
     events = orders.unionByName(charges).withColumns({"opened": 1 - F.col("kind"), "charged": F.col("kind")})
     run = ordered(events, ["encounter_id"], ["at", "kind", "id"], "charge-gap").running(
         orders=("sum", "opened"), charges=("sum", "charged"))
-    run = Ordered(run.frame.withColumn("open", F.col("orders") - F.col("charges")), run.keys, run.order)
+    run = run.with_columns({"open": F.col("orders") - F.col("charges")})
     rows = run.running(low=("min_before", "open")).frame
     low = F.least(F.lit(0), F.col("low"))
     order = F.col("kind") == 0
@@ -165,7 +165,7 @@ def duplicate_line_sessions(layer, span_hours: int = SPAN_HOURS) -> DataFrame:
     run = ordered(lines, ["line_kind", "encounter_id", "code"], ["line_time", "line_id"], "sessions").running(
         last_at=("max_before", "line_time"))
     late = F.col("last_at").isNull() | (F.col("line_time") > F.col("last_at") + F.make_interval(hours=F.lit(span_hours)))
-    run = Ordered(run.frame.withColumn("begins", F.when(late, 1).otherwise(0)), run.keys, run.order)
+    run = run.with_columns({"begins": F.when(late, 1).otherwise(0)})
     run = run.running(session=("sum", "begins")).stored("sessions").within("session")
     rows = run.total(session_size=("sum", "one")).running(place=("sum", "one")).frame
     return rows.select("line_kind", "line_id", "encounter_id", "code", "line_time", "session", "session_size", "place",
@@ -191,14 +191,14 @@ def denial_benchmark(layer) -> DataFrame:
     run = ordered(rates, ["payer_type"], ["denial_rate", "facility_id", "payer_id"], "benchmark").running(
         place=("sum", "one"), below=("max_before", "denial_rate"))
     new = F.when(F.col("below").isNull() | (F.col("denial_rate") > F.col("below")), F.col("place"))
-    run = Ordered(run.frame.withColumn("new_place", new), run.keys, run.order)
+    run = run.with_columns({"new_place": new})
     run = run.running(rank=("last", "new_place")).total(peers=("sum", "one")).stored("benchmark")
     at = {q: F.lit(share) * (F.col("peers") - 1) for q, share in QUARTILES.items()}
     picked = {}
     for q, place in at.items():
         picked[f"{q}_a"] = F.when(F.col("place") == F.floor(place) + 1, F.col("denial_rate"))
         picked[f"{q}_b"] = F.when(F.col("place") == F.ceil(place) + 1, F.col("denial_rate"))
-    run = Ordered(run.frame.withColumns(picked), run.keys, run.order).total(**{f"{n}_all": ("max", n) for n in picked})
+    run = run.with_columns(picked).total(**{f"{n}_all": ("max", n) for n in picked})
     a, b = (lambda q: F.col(f"{q}_a_all")), (lambda q: F.col(f"{q}_b_all"))
     return run.frame.select(
         "facility_id", "payer_id", "payer_type", "claims", "denied", "denial_rate", "peers",

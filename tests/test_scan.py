@@ -81,3 +81,19 @@ def test_components_of_chains_and_stars(spark):
     assert {got[f"c{i:04d}"] for i in range(301)} == {"c0000"}
     assert {got[f"s{i:04d}"] for i in range(2000)} == {"hub"} and got["hub"] == "hub"
     assert got["x"] == got["y"] == "x" and "q" not in got and "z" not in got
+
+
+def test_chained_scans_carry_from_the_edge_rows_alone(spark):
+    df = rows_with_hot_key(spark).withColumn("k", F.concat("k", (F.col("id") % 50).cast("string")))
+    run = ordered(df, ["k"], ["t", "id"], blocks=7).running(last=("max_before", "t"))
+    run = run.with_columns({"new": F.when(F.col("last").isNull() | (F.col("t") > F.col("last") + 20), 1).otherwise(0)})
+    edges, few = run._edges().count(), run._at_edges().count()
+    assert edges <= 14 and few < df.count() / 2
+    got = run.running(n=("sum", "new"))
+    assert got.edges is run.edges  # found once
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    assert key(got.frame.select("id", "n").collect()) == key(run.frame.select("id", F.sum("new").over(w).alias("n")).collect())
+    # the broadcast of what is carried comes from rows cut to the edge keys below every window
+    plan = got._at_edges()._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    semi = [i for i, x in enumerate(plan) if "Join LeftSemi" in x]
+    assert semi and not any("Window [" in x and BLOCK in x.split("], [")[1] for i in semi for x in plan[i:i + 8])
