@@ -63,6 +63,27 @@ def test_edges_and_clashing_columns(spark, edge_docs, no_docs):
     assert sd.suffix_dedup(spark, no_docs).count() == 0
 
 
+def test_passages_of_over_fifty_words_go_by_their_bytes(spark, write_table):
+    rng = random.Random(17)
+
+    def prose(size):
+        t = ""
+        while len(t) < size:
+            t += "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) + " "
+        return t[:size - 1] + "z"
+    docs, sizes = [], [330, 390, 398, 399, 400, 401, 410, 500]
+    for size in sizes:
+        passage = prose(size)
+        assert len(passage.split()) > 50
+        # other bytes at both edges, so that no more than the passage is equal
+        docs += [prose(150) + "1" + passage + "2" + prose(90), "3" + passage + "4" + prose(300)]
+    docs = list(enumerate(docs))
+    base = write_table(documents=spark.createDataFrame(docs, "doc_id long, text string"))
+    got = sorted(tuple(r) for r in sd.op1_suffix_array_dedup(spark, base).collect())
+    assert got == expected(docs)
+    assert [r[2] for r in got] == [n if n >= 400 else 0 for n in sizes for _ in range(2)]
+
+
 def test_periodic_starts_equal_brute_force(spark, write_table):
     letters = [chr(33 + i) for i in range(50)]
     texts = [c * n for c, n in zip(letters, range(401, 451))]
