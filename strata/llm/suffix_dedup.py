@@ -29,6 +29,13 @@ With ``words`` a call asks for passages instead of strings of one size: strings
 ``length`` bytes are found as above, and of the joined ranges of a text those go
 that hold over ``words`` whole words or at least ``LENGTH`` bytes.
 
+With ``passage`` a call also counts the words of repeated passages (nothing more is
+cut): words in a stretch of ``passage`` whole words that, with the bytes between
+them, also starts anywhere else, however few bytes it has. Stretches have anchors as
+strings have (the smallest hash of ``PHRASE`` words, from the same pass). A stretch
+inside a string that was found twice is a repeat; the other ones whose anchor occurs
+twice are counted by their hashes, together with all stretches of their anchor.
+
 Copies of a text count once with their number, segments that a text repeats
 are cut within it, and identical segments are counted together (map-side sums),
 so a large group of copies is a few rows. What meets in one task are at most ``MOST_SEGMENTS`` *different* segments with one core, that is
@@ -41,6 +48,7 @@ doc_id) are copies of each other. Extra columns are not read.
 from __future__ import annotations
 
 import hashlib
+import re
 from functools import reduce
 
 import numpy as np
@@ -51,7 +59,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, released, ship, slices, stored, table, text_digest, utf8
 from .gsaca import suffix_array
-from .textcore import U, mix, powers
+from .textcore import VISIBLE, U, Words, mix, powers
 
 LENGTH = 400
 WORD = "[^ \\t\\n\\x0B\\f\\r]+"
@@ -63,6 +71,10 @@ ARRAY_SYMBOLS = 1 << 16
 #: more are cut into PARTS.
 MOST_SEGMENTS = 1 << 13
 PARTS = 8
+#: Whole words of a passage ("over fifty words"), and of its anchor.
+PASSAGE = 51
+PHRASE = 8
+CUT_BYTES = 1 << 20
 _POS = U((1 << 24) - 1)
 _inverse = np.ones(1, dtype=U)
 
@@ -81,33 +93,84 @@ def _inverse_powers(n: int) -> np.ndarray:
     return _inverse[:n]
 
 
+def _smallest(h: np.ndarray, begin: np.ndarray, w: int) -> np.ndarray:
+    """Place of the leftmost smallest of the ``w`` hashes from each begin on."""
+    key = (h & ~_POS) | np.arange(len(h), dtype=U)
+    pad = np.full(-len(key) % w + w, U(0xFFFFFFFFFFFFFFFF), dtype=U)
+    rows = np.concatenate((key, pad)).reshape(-1, w)
+    upto = np.minimum.accumulate(rows, axis=1).ravel()
+    since = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+    return (np.minimum(since[begin], upto[begin + w - 1]) & _POS).astype(np.int64)
+
+
+def _begins(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each piece, ``count`` of them."""
+    return np.repeat(first, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _sums(joined: bytes) -> np.ndarray:
+    buf = np.frombuffer(joined, dtype=np.uint8).astype(U) + U(1)
+    return np.concatenate(([U(0)], np.cumsum(buf * powers(len(joined)), dtype=U)))
+
+
 def anchors(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(piece number, position, hash) of the anchors of all ``length``-byte runs."""
     sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
     first = np.cumsum(sizes) - sizes
     joined = b"".join(pieces)
     n, piece = len(joined), piece_size(length)
-    w = length - piece + 1
     none = np.zeros(0, dtype=np.int64)
     if n < length:
         return none, none, none
-    buf = np.frombuffer(joined, dtype=np.uint8).astype(U) + U(1)
-    total = np.concatenate(([U(0)], np.cumsum(buf * powers(n), dtype=U)))
+    total = _sums(joined)
     h = mix((total[piece:] - total[:-piece]) * _inverse_powers(n)[:n - piece + 1])
-    key = (h & ~_POS) | np.arange(len(h), dtype=U)
-    pad = np.full(-len(key) % w + w, U(0xFFFFFFFFFFFFFFFF), dtype=U)
-    rows = np.concatenate((key, pad)).reshape(-1, w)
-    upto = np.minimum.accumulate(rows, axis=1).ravel()
-    since = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    count = np.maximum(sizes - length + 1, 0)
-    begin = np.repeat(first, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    at = np.unique((np.minimum(since[begin], upto[begin + w - 1]) & _POS).astype(np.int64))
+    begin = _begins(first, np.maximum(sizes - length + 1, 0))
+    at = np.unique(_smallest(h, begin, length - piece + 1))
     own = np.searchsorted(first, at, "right") - 1
     return own, at - first[own], h[at].view(np.int64)
 
 
-def _anchor_rows(length: int):
-    cut = 1 << 20  # a longer text is read in overlapping parts; every run lies whole in one
+def stretches(pieces: list[bytes], passage: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of the pieces and, of each stretch of ``passage`` words, its first
+    word, and place (a word) and hash of its anchor."""
+    words = Words(pieces, False, VISIBLE)
+    begin = _begins(words.count_before[:-1], np.maximum(words.n - passage + 1, 0))
+    none = np.zeros(0, dtype=np.int64)
+    if not len(begin):
+        return words, none, none, none
+    k = min(PHRASE, passage)
+    total = _sums(words.buf.tobytes())
+    start, end = words.start[:len(words.start) - k + 1], words.end[k - 1:]
+    h = mix((total[end] - total[start]) * _inverse_powers(len(words.buf))[start])
+    at = _smallest(h, begin, passage - k + 1)
+    return words, begin, at, h[at].view(np.int64)
+
+
+def _word_parts(t: bytes, passage: int) -> list[tuple[int, int]]:
+    """Byte ranges of a text in which every stretch of ``passage`` words lies whole in one, once."""
+    if len(t) <= CUT_BYTES:
+        return [(0, len(t))]
+    words = Words([t], False, VISIBLE)
+    out, i, n = [], 0, len(words.start)
+    while i + passage <= n:
+        # stretches that begin within the next bytes
+        j = max(int(np.searchsorted(words.start, words.start[i] + CUT_BYTES)), i + 1)
+        last = min(j + passage - 2, n - 1)
+        out.append((int(words.start[i]), int(words.end[last])))
+        i = j
+    return out
+
+
+def _anchor_rows(length: int, passage: int | None):
+    cut = CUT_BYTES  # a longer text is read in overlapping parts; every run lies whole in one
+
+    def batch_of(digest, row, h, phrase):
+        order = np.lexsort((h, row))
+        row, h = row[order], h[order]
+        first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (h[1:] != h[:-1]))))
+        return pa.RecordBatch.from_arrays(
+            [digest.take(pa.array(row[first])), pa.array(h[first]), pa.array(np.diff(np.append(first, len(h)))),
+             pa.array(np.full(len(first), phrase))], names=["digest", "hash", "n", "phrase"])
 
     @released
     def run(batches):
@@ -118,16 +181,106 @@ def _anchor_rows(length: int):
             for lo, hi in slices(size):
                 own = parts[lo:hi]
                 p, _, h = anchors([texts[i][a:a + cut + length - 1] for i, a in own], length)
-                row = np.array([i for i, _ in own])[p]
-                order = np.lexsort((h, row))
-                row, h = row[order], h[order]
-                first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (h[1:] != h[:-1]))))
-                yield pa.RecordBatch.from_arrays(
-                    [digest.take(pa.array(row[first])), pa.array(h[first]), pa.array(np.diff(np.append(first, len(h))))],
-                    names=["digest", "hash", "n"])
+                if len(h):
+                    yield batch_of(digest, np.array([i for i, _ in own])[p], h, False)
+            if passage is None:
+                continue
+            parts = [(i, a, b) for i, t in enumerate(texts) if len(t) >= 2 * passage - 1 for a, b in _word_parts(t, passage)]
+            for lo, hi in slices([b - a for _, a, b in parts]):
+                own = parts[lo:hi]
+                words, _, at, h = stretches([texts[i][a:b] for i, a, b in own], passage)
+                if len(h):
+                    # an anchor that two parts of a text share counts twice: only one candidate more
+                    at, one = np.unique(at, return_index=True)
+                    yield batch_of(digest, np.array([i for i, *_ in own])[words.text[at]], h[one], True)
     return run
 
 
+WINDOW_SQL = ("anchor long, open boolean, digest binary, copies long, "
+              "places array<struct<first: int, stretch: long>>")
+
+
+def _window_rows(passage: int):
+    """The stretches of each wanted anchor of a text by their hash and first byte, those that are
+    not yet known to be repeats (open) apart. All stretches of a text with copies are known."""
+    @released
+    def run(batches):
+        place = pa.struct([("first", pa.int32()), ("stretch", pa.int64())])
+        schema = pa.schema([("anchor", pa.int64()), ("open", pa.bool_()), ("digest", pa.binary()),
+                            ("copies", pa.int64()), ("places", pa.list_(place))])
+
+        def rows(out):
+            anchor, is_open, digest, copies, count, first, stretch = zip(*out, strict=True)
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(first), pa.int32()),
+                                               pa.array(np.concatenate(stretch), pa.int64())], fields=list(place))
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *count]), pa.int32()), flat)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(anchor, pa.int64()), pa.array(is_open), pa.array(digest, pa.binary()),
+                 pa.array(copies, pa.int64()), lists], schema=schema)
+
+        for batch in batches:
+            digests, texts, wanted, copies, cuts = (
+                batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(),
+                batch.column(3).to_pylist(), batch.column(4).to_pylist())
+            out, held = [], 0
+            for digest, t, hashes, c, gone in zip(digests, texts, wanted, copies, cuts, strict=True):
+                hashes = np.array(hashes, dtype=np.int64)
+                for lo, hi in _word_parts(t, passage):
+                    words, begin, at, h = stretches([t[lo:hi]], passage)
+                    use = np.isin(h, hashes)
+                    begin, at, h = begin[use], at[use], h[use]
+                    if not len(begin):
+                        continue
+                    a, b = words.start[begin] + lo, words.end[begin + passage - 1] + lo
+                    fresh = np.full(len(a), False) if c > 1 else ~within(a, b, gone)
+                    key = np.fromiter((xxhash.xxh3_64_intdigest(t[x:y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)),
+                                      dtype=U, count=len(a)).view(np.int64)
+                    order = np.lexsort((a, fresh, h))
+                    h, fresh, a, key = h[order], fresh[order], a[order], key[order]
+                    edge = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (fresh[1:] != fresh[:-1]))))
+                    for x, y in zip(edge.tolist(), [*edge[1:].tolist(), len(h)], strict=True):
+                        out.append((int(h[x]), bool(fresh[x]), digest, min(c, 2), y - x, a[x:y], key[x:y]))
+                    held += len(h)
+                    if held > 500_000:
+                        yield rows(out)
+                        out, held = [], 0
+            if out:
+                yield rows(out)
+    return run
+
+
+def within(a: np.ndarray, b: np.ndarray, ranges: list[dict] | None) -> np.ndarray:
+    """Whether each stretch lies in a single one of the ranges, with the bytes beside it:
+    without them its first or last word may be part of a longer one at the other place."""
+    if not ranges:
+        return np.full(len(a), False)
+    first = np.array([x["first"] for x in ranges], dtype=np.int64)
+    order = np.argsort(first, kind="stable")
+    reach = np.maximum.accumulate(np.array([x["last"] for x in ranges], dtype=np.int64)[order])
+    i = np.searchsorted(first[order], a - 1, "right") - 1
+    return (i >= 0) & (reach[np.maximum(i, 0)] > b)
+
+
+def passage_words(t: bytes, passage: int, cuts: list[dict] | None, starts: list[int] | None) -> int:
+    """Words in stretches that lie in one of the repeated strings or begin at one of the starts."""
+    n, upto = 0, 0  # upto: first byte behind the words counted
+    for lo, hi in _word_parts(t, passage):
+        words = Words([t[lo:hi]], False, VISIBLE)
+        first = np.arange(max(len(words.start) - passage + 1, 0))
+        a, b = words.start[first] + lo, words.end[first + passage - 1] + lo
+        hit = first[within(a, b, cuts) | np.isin(a, starts or [])]
+        step = np.zeros(len(words.start) + 1, dtype=np.int64)
+        np.add.at(step, hit, 1)
+        np.add.at(step, hit + passage, -1)
+        covered = np.flatnonzero(np.cumsum(step[:-1]) > 0)
+        # the last words of a part are the first ones of the next
+        covered = covered[words.start[covered] + lo >= upto]
+        n += len(covered)
+        if len(covered):
+            upto = int(words.end[covered[-1]]) + lo
+    return n
+
+
 def _anchor_places(t: bytes, length: int, hashes: list[int]) -> list[int]:
     """Places of the anchors of one text that have one of the hashes."""
     wanted, out, cut = np.array(hashes, dtype=np.int64), [], 1 << 20
@@ -352,16 +505,18 @@ def whole_words(t: bytes, a: int, b: int) -> int:
     return max(n - inside(a) - inside(b), 0)
 
 
-def _kept_rows(words: int | None):
-    """(digest, n_removed, spans, kept) of texts with ranges to cut."""
+def _kept_rows(words: int | None, passage: int | None):
+    """(digest, n_removed, spans, kept, n_passage_words) of texts with ranges to cut or repeated stretches."""
     span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
     @released
     def run(batches):
         for batch in batches:
-            gone, spans, kept = [], [], []
-            for t, ranges in zip(utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                runs = merged((x["first"], x["last"]) for x in ranges)
+            gone, spans, kept, counted = [], [], [], []
+            for t, ranges, starts in zip(utf8(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist(),
+                                         strict=True):
+                counted.append(None if passage is None else passage_words(t, passage, ranges, starts))
+                runs = merged((x["first"], x["last"]) for x in ranges or [])
                 if words is not None:
                     runs = [(a, b) for a, b in runs if b - a >= LENGTH or whole_words(t, a, b) > words]
                 at, parts = 0, []
@@ -373,12 +528,25 @@ def _kept_rows(words: int | None):
                 spans.append([{"first": a, "last": b} for a, b in runs])
                 kept.append(b"".join(parts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(gone, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())],
-                names=["digest", "n_removed", "spans", "kept"])
+                [batch.column(0), pa.array(gone, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()),
+                 pa.array(counted, pa.int64())], names=["digest", "n_removed", "spans", "kept", "n_passage_words"])
     return run
 
 
-KEPT = "digest binary, n_removed long, spans array<struct<first: int, last: int>>, kept binary"
+KEPT = "digest binary, n_removed long, spans array<struct<first: int, last: int>>, kept binary, n_passage_words long"
+
+
+def _passages(spark: SparkSession, chosen: DataFrame, cuts: DataFrame, passage: int) -> DataFrame:
+    """(digest, starts): first bytes of the repeated stretches of ``passage`` words that lie in no cut."""
+    rows = stored(spark, chosen.where(F.size("phrases") > 0).select("digest", "text", "phrases", "copies").join(
+        cuts, "digest", "left").mapInArrow(_window_rows(passage), WINDOW_SQL), "dedup-stretches")
+    wanted = rows.where("open").select("anchor").distinct()
+    every = rows.join(wanted, "anchor", "left_semi").select("anchor", "open", "digest", "copies", F.inline("places"))
+    twice = every.groupBy("anchor", "stretch").agg(F.sum("copies").alias("times")).where("times > 1")
+    out = stored(spark, every.where("open").join(twice, ["anchor", "stretch"], "left_semi").groupBy("digest").agg(
+        F.collect_list("first").alias("starts")), "dedup-passages")
+    discard(spark, rows)
+    return out
 
 
 def _wanted(segments: DataFrame) -> DataFrame:
@@ -389,27 +557,33 @@ def _wanted(segments: DataFrame) -> DataFrame:
         "digest").agg(F.collect_list("x").alias("want"))
 
 
-def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH, words: int | None = None,
+             passage: int | None = None) -> DataFrame:
     """For each different text that may lose bytes: its digest, n_removed, spans
-    (removed byte ranges) and kept (the remaining bytes)."""
+    (removed byte ranges) and kept (the remaining bytes); with ``passage`` also each
+    with a repeated passage, and n_passage_words."""
     ship(spark)
-    base = docs.where(F.octet_length("text") >= length).select("doc_id", "text", text_digest(F.col("text")).alias("own"))
+    least = length if passage is None else min(length, 2 * passage - 1)
+    base = docs.where(F.octet_length("text") >= least).select("doc_id", "text", text_digest(F.col("text")).alias("own"))
     texts = stored(spark, base.groupBy("own").agg(
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("one"),
         F.max(F.octet_length("text")).alias("size"),
         *([F.max(F.regexp_count("text", F.lit(WORD))).alias("words")] if words is not None else [])), "dedup-texts")
 
     met = stored(spark, base.select("own", "text").mapInArrow(
-        _anchor_rows(length), "digest binary, hash long, n long"), "dedup-anchors")
-    often = met.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
-    places = met.join(often, "hash").groupBy("digest").agg(F.collect_set("hash").alias("hashes"))
+        _anchor_rows(length, passage), "digest binary, hash long, n long, phrase boolean"), "dedup-anchors")
+    often = met.groupBy("hash", "phrase").agg(F.sum("n").alias("n")).where("n > 1").select("hash", "phrase")
+    places = met.join(often, ["hash", "phrase"]).groupBy("digest").agg(
+        F.collect_set(F.when(~F.col("phrase"), F.col("hash"))).alias("hashes"),
+        F.collect_set(F.when(F.col("phrase"), F.col("hash"))).alias("phrases"))
     # one document stands for all copies of its text
-    wanted = texts.join(places, texts["own"] == places["digest"]).select("digest", "copies", "one", "hashes")
+    wanted = texts.join(places, texts["own"] == places["digest"]).select("digest", "copies", "one", "hashes", "phrases")
     chosen = base.join(wanted, (F.col("own") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("one")))
-    chosen = stored(spark, chosen.select("digest", "text", "hashes", "copies"), "dedup-chosen")
+    chosen = stored(spark, chosen.select("digest", "text", "hashes", "phrases", "copies"), "dedup-chosen")
     discard(spark, met)
 
-    rows = stored(spark, chosen.mapInArrow(_probe_rows(length), PROBE_SQL), "dedup-probes")
+    rows = stored(spark, chosen.where(F.size("hashes") > 0).select(
+        "digest", "text", "hashes", "copies").mapInArrow(_probe_rows(length), PROBE_SQL), "dedup-probes")
     found = [rows.where("core is null").select("digest", "first", (F.col("first") + F.col("size")).alias("last"))]
     done = []
     while True:
@@ -440,23 +614,42 @@ def removals(spark: SparkSession, docs: DataFrame, length: int = LENGTH, words:
         F.collect_set(F.struct("first", "last")).alias("cuts")), "dedup-cuts")
     discard(spark, *done)
 
-    single = chosen.where("copies = 1").select("digest", "text").join(cuts, "digest").mapInArrow(_kept_rows(words), KEPT)
-    copied = texts.where("copies > 1")
-    if words is not None:
-        copied = copied.where((F.col("words") > words) | (F.col("size") >= LENGTH))
-    copied = copied.select(
-        F.col("own").alias("digest"), F.col("size").cast("long").alias("n_removed"),
-        F.array(F.struct(F.lit(0).alias("first"), F.col("size").alias("last"))).alias("spans"),
-        F.lit(b"").alias("kept"))
+    single = chosen.where("copies = 1").select("digest", "text")
+    if passage is None:
+        single = single.join(cuts, "digest").withColumn("starts", F.lit(None).cast("array<int>"))
+    else:
+        passages = _passages(spark, chosen, cuts, passage)
+        single = single.join(cuts.join(passages, "digest", "full"), "digest").select("digest", "text", "cuts", "starts")
+    single = single.mapInArrow(_kept_rows(words, passage), KEPT)
+    span = "array<struct<first: int, last: int>>"
+    all_bytes = F.array(F.struct(F.lit(0).alias("first"), F.col("size").alias("last")))
+    if passage is None:
+        copied = texts.where("copies > 1")
+        if words is not None:
+            copied = copied.where((F.col("words") > words) | (F.col("size") >= LENGTH))
+        copied = copied.select(
+            F.col("own").alias("digest"), F.col("size").cast("long").alias("n_removed"), all_bytes.alias("spans"),
+            F.lit(b"").alias("kept"), F.lit(None).cast("long").alias("n_passage_words"))
+    else:
+        # copies are whole repeats, but below ``length`` bytes nothing is cut
+        gone, count = F.col("size") >= length, F.col("n").cast("long")
+        size = F.octet_length("text")
+        copied = chosen.where("copies > 1").groupBy("digest").agg(  # a row may be there twice
+            F.max(size).alias("size"), F.max(F.regexp_count("text", F.lit(WORD))).alias("n"),
+            F.max(F.when(size < length, F.col("text"))).alias("text")).select(
+            "digest", F.when(gone, F.col("size")).otherwise(0).cast("long").alias("n_removed"),
+            F.when(gone, all_bytes).otherwise(F.array().cast(span)).alias("spans"),
+            F.when(gone, F.lit(b"")).otherwise(F.col("text").cast("binary")).alias("kept"),
+            F.when(count >= passage, count).otherwise(F.lit(0)).alias("n_passage_words"))
     out = stored(spark, single.unionByName(copied), "dedup-removals")
-    discard(spark, texts, chosen, cuts)
+    discard(spark, texts, chosen, cuts, *([passages] if passage is not None else []))
     return out
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
     """``docs`` with n_removed, spans and kept (bytes) of each row's text;
     these replace columns of the same names."""
-    gone = removals(spark, docs, length, words)
+    gone = removals(spark, docs, length, words).drop("n_passage_words")
     docs = docs.drop("n_removed", "spans", "kept")
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), text_digest(F.col("text")).alias("own"))
     none = F.array().cast("array<struct<first: int, last: int>>")
@@ -484,16 +677,19 @@ def whole_characters(kept, spans):
     return F.arrow_udf(_whole_characters, "string")(kept, spans)
 
 
-def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str, passage: int | None = None) -> DataFrame:
+    """The columns of the contract; with ``passage`` n_passage_words follows."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    gone = removals(spark, docs).select("digest", "n_removed", F.size("spans").cast("long").alias("n_spans"),
-                                        F.sha2("kept", 256).alias("kept_sha"))
+    gone = removals(spark, docs, passage=passage).select(
+        "digest", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha"),
+        "n_passage_words")
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select("doc_id", text_digest(F.col("text")).alias("digest"),
                        F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole_sha"))
     return rows.join(gone, "digest", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha", "whole_sha").alias("kept_sha256"))
+        F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha", "whole_sha").alias("kept_sha256"),
+        *([F.coalesce("n_passage_words", F.lit(0)).alias("n_passage_words")] if passage is not None else []))
 
 
 def brute_force(texts: list[bytes], length: int) -> list[tuple[int, int, str]]:
@@ -512,3 +708,14 @@ def brute_force(texts: list[bytes], length: int) -> list[tuple[int, int, str]]:
         runs = sum(1 for i, x in enumerate(gone) if x and not (i and gone[i - 1]))
         out.append((sum(gone), runs, hashlib.sha256(bytes(b for b, x in zip(t, gone, strict=True) if not x)).hexdigest()))
     return out
+
+
+def brute_passages(texts: list[bytes], passage: int) -> list[int]:
+    """Words of each text in stretches of ``passage`` words that also start elsewhere, by counting every stretch."""
+    places = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)] for t in texts]
+    stretch = [[t[w[i][0]:w[i + passage - 1][1]] for i in range(len(w) - passage + 1)]
+               for t, w in zip(texts, places, strict=True)]
+    count: dict[bytes, int] = {}
+    for s in (x for own in stretch for x in own):
+        count[s] = count.get(s, 0) + 1
+    return [len({j for i, s in enumerate(own) if count[s] > 1 for j in range(i, i + passage)}) for own in stretch]

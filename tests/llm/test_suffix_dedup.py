@@ -4,6 +4,7 @@ import numpy as np
 
 from strata.llm import suffix_dedup as sd
 from strata.llm.gsaca import suffix_array
+from strata.llm.queries import QUERIES
 
 
 def test_suffix_array_equals_sorting():
@@ -120,3 +121,64 @@ def test_hot_cores_are_split(spark, write_table, monkeypatch):
         monkeypatch.setattr(sd, "MOST_SEGMENTS", most)
         got = sorted(tuple(r) for r in sd.op1_suffix_array_dedup(spark, base).collect())
         assert got == whole and names.count("dedup-parts") == rounds
+
+
+def with_passages(docs):
+    """The contract's columns of each row and the words in stretches of 51 words that start elsewhere too."""
+    texts = [(t or "").encode() for _, t in docs]
+    rows = zip(docs, texts, sd.brute_force(texts, 400), sd.brute_passages(texts, 51))
+    return sorted((-1 if d is None else d, len(b), *e, n) for (d, _), b, e, n in rows)
+
+
+def passage_docs(rng):
+    def words(n, most=9):
+        return [rng.choice("abcdefgh") + "".join(rng.choice("klmnop\u00e9") for _ in range(rng.randint(0, most))) for _ in range(n)]
+
+    def text(*parts):
+        return rng.choice(["", " ", "\n "]) + " ".join(" ".join(p) for p in parts)
+    docs, short = [], []
+    for n in (49, 50, 51, 52, 58, 70, 90):
+        for most in (1, 3, 9):
+            passage = words(n, most)
+            short += [len(docs)] if n > 50 and len(" ".join(passage).encode()) < 390 else []
+            docs += [text(words(rng.randint(0, 40)), passage, words(rng.randint(0, 40))) for _ in range(2)]
+    shared = words(300, 2)
+    docs += [text(words(rng.randint(0, 9)), shared[a:a + n], words(rng.randint(0, 70)), shared[a + 5:a + 5 + rng.randint(40, 60)])
+             for a, n in ((rng.randrange(240), rng.randint(45, 130)) for _ in range(40))]
+    docs += ["a b " * 40, "c " * 51, "c " * 52, "x " * 600, " ".join(words(60, 1)), " ".join(words(80, 9))]
+    docs += [docs[-2], docs[-1], docs[-2], "q " * 50, "q " * 50, None, ""]
+    return [*enumerate(docs), (3, docs[3]), (None, docs[0])], short
+
+
+def test_short_passages_of_over_fifty_words_are_counted(spark, write_table, monkeypatch):
+    docs, short = passage_docs(random.Random(23))
+    base = write_table(documents=spark.createDataFrame(docs, "doc_id long, text string"))
+    want = with_passages(docs)
+    query = QUERIES["op1_suffix_array_dedup"]
+    out = query(spark, base)
+    assert out.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words"]
+    assert sorted((-1 if r[0] is None else r[0], *r[1:]) for r in out.collect()) == want
+    assert len(short) > 5
+    # nothing of these passages is cut, as they have fewer than 400 bytes, but all their words are counted
+    by = {w[0]: w for w in want}
+    assert all(by[i][5] > 50 for i in short) and any(by[i][2] == 0 for i in short)
+    monkeypatch.setattr(sd, "CUT_BYTES", 700)  # texts in parts
+    assert sd.passage_words(b"a " * 2000, 51, [{"first": 0, "last": 4000}], [0, 3900 - 2]) == 2000
+    texts = [(t or "").encode() for _, t in docs]
+    for t in texts:
+        parts = sd._word_parts(t, 51)
+        each = [s for a, b in parts for s in stretch_texts(t[a:b])]
+        assert each == stretch_texts(t)
+
+
+def stretch_texts(t):
+    words, begin, _, _ = sd.stretches([t], 51)
+    return [t[words.start[i]:words.end[i + 50]] for i in begin]
+
+
+def test_passages_equal_brute_force_on_mixed_texts(spark, write_table):
+    docs = corpus(random.Random(3))
+    base = write_table(documents=spark.createDataFrame(docs, "doc_id long, text string"))
+    got = sorted((-1 if r[0] is None else r[0], *r[1:]) for r in QUERIES["op1_suffix_array_dedup"](spark, base).collect())
+    assert got == with_passages(docs)
+    assert 30 < sum(r[5] > 0 for r in got) < len(got)
