@@ -221,7 +221,7 @@ def _window_rows(passage: int):
         for batch in batches:
             digests, texts, wanted, copies, cuts = (
                 batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(),
-                batch.column(3).to_pylist(), batch.column(4).to_pylist())
+                batch.column(3).to_pylist(), _cut_arrays(batch.column(4)))
             out, held = [], 0
             for digest, t, hashes, c, gone in zip(digests, texts, wanted, copies, cuts, strict=True):
                 hashes = np.array(hashes, dtype=np.int64)
@@ -232,7 +232,7 @@ def _window_rows(passage: int):
                     if not len(begin):
                         continue
                     a, b = words.start[begin] + lo, words.end[begin + passage - 1] + lo
-                    fresh = np.full(len(a), False) if c > 1 else ~within(a, b, gone)
+                    fresh = np.full(len(a), False) if c > 1 else ~within(a, b, *gone)
                     key = np.fromiter((xxhash.xxh3_64_intdigest(t[x:y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)),
                                       dtype=U, count=len(a)).view(np.int64)
                     order = np.lexsort((a, fresh, h))
@@ -249,26 +249,35 @@ def _window_rows(passage: int):
     return run
 
 
-def within(a: np.ndarray, b: np.ndarray, ranges: list[dict] | None) -> np.ndarray:
+def _cut_arrays(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(first, last) of the ranges of each row, none for null."""
+    if pa.types.is_null(column.type):
+        return [(np.zeros(0, dtype=np.int64),) * 2] * len(column)
+    flat = column.flatten()
+    first, last = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+    end = np.cumsum([n or 0 for n in column.value_lengths().to_pylist()], dtype=np.int64)
+    return [(first[x:y], last[x:y]) for x, y in zip([0, *end[:-1].tolist()], end.tolist(), strict=True)]
+
+
+def within(a: np.ndarray, b: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Whether each stretch lies in a single one of the ranges, with the bytes beside it:
     without them its first or last word may be part of a longer one at the other place."""
-    if not ranges:
+    if not len(first):
         return np.full(len(a), False)
-    first = np.array([x["first"] for x in ranges], dtype=np.int64)
     order = np.argsort(first, kind="stable")
-    reach = np.maximum.accumulate(np.array([x["last"] for x in ranges], dtype=np.int64)[order])
+    reach = np.maximum.accumulate(last[order])
     i = np.searchsorted(first[order], a - 1, "right") - 1
     return (i >= 0) & (reach[np.maximum(i, 0)] > b)
 
 
-def passage_words(t: bytes, passage: int, cuts: list[dict] | None, starts: list[int] | None) -> int:
+def passage_words(t: bytes, passage: int, cuts: tuple[np.ndarray, np.ndarray], starts: list[int] | None) -> int:
     """Words in stretches that lie in one of the repeated strings or begin at one of the starts."""
     n, upto = 0, 0  # upto: first byte behind the words counted
     for lo, hi in _word_parts(t, passage):
         words = Words([t[lo:hi]], False, VISIBLE)
         first = np.arange(max(len(words.start) - passage + 1, 0))
         a, b = words.start[first] + lo, words.end[first + passage - 1] + lo
-        hit = first[within(a, b, cuts) | np.isin(a, starts or [])]
+        hit = first[within(a, b, *cuts) | np.isin(a, starts or [])]
         step = np.zeros(len(words.start) + 1, dtype=np.int64)
         np.add.at(step, hit, 1)
         np.add.at(step, hit + passage, -1)
@@ -513,10 +522,10 @@ def _kept_rows(words: int | None, passage: int | None):
     def run(batches):
         for batch in batches:
             gone, spans, kept, counted = [], [], [], []
-            for t, ranges, starts in zip(utf8(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist(),
+            for t, ranges, starts in zip(utf8(batch.column(1)), _cut_arrays(batch.column(2)), batch.column(3).to_pylist(),
                                          strict=True):
                 counted.append(None if passage is None else passage_words(t, passage, ranges, starts))
-                runs = merged((x["first"], x["last"]) for x in ranges or [])
+                runs = merged(zip(*(x.tolist() for x in ranges), strict=True))
                 if words is not None:
                     runs = [(a, b) for a, b in runs if b - a >= LENGTH or whole_words(t, a, b) > words]
                 at, parts = 0, []

@@ -163,7 +163,7 @@ def test_short_passages_of_over_fifty_words_are_counted(spark, write_table, monk
     by = {w[0]: w for w in want}
     assert all(by[i][5] > 50 for i in short) and any(by[i][2] == 0 for i in short)
     monkeypatch.setattr(sd, "CUT_BYTES", 700)  # texts in parts
-    assert sd.passage_words(b"a " * 2000, 51, [{"first": 0, "last": 4000}], [0, 3900 - 2]) == 2000
+    assert sd.passage_words(b"a " * 2000, 51, (np.array([0]), np.array([4000])), [0, 3900 - 2]) == 2000
     texts = [(t or "").encode() for _, t in docs]
     for t in texts:
         parts = sd._word_parts(t, 51)
